@@ -89,11 +89,14 @@ def classify(dim: DataFrame, snapshot: DataFrame, key: str, attrs) -> DataFrame:
 
 def dimension_guards(dim: DataFrame, snapshot: DataFrame, key: str, attrs, load_date,
                      watermark: DataFrame, dataset: str, cls: DataFrame | None = None,
-                     base_priority: int = 0) -> DataFrame:
+                     order: int = 0) -> DataFrame:
     """Violation rows (priority, rule, dataset, key) of one dimension load.
 
     Priority follows the evaluation order of the loader, so the first row
-    by priority is the message a user sees. ``load_date`` is a date string.
+    by priority is the message a user sees: load date; history of every
+    dimension; out-of-order of every dimension; then per dimension (in
+    ``order``) stage keys, same-day new keys, same-day changes.
+    ``load_date`` is a date string.
     """
     ld = F.lit(load_date).cast("date")
     # the watermark holds one row per processed day: a scalar existence probe
@@ -101,7 +104,8 @@ def dimension_guards(dim: DataFrame, snapshot: DataFrame, key: str, attrs, load_
     parts = []
 
     def rows(df, prio, rule, kcol):
-        return df.select(F.lit(base_priority + prio).alias("priority"), F.lit(rule).alias("rule"),
+        prio = prio + order if prio < 30 else prio + 10 * order
+        return df.select(F.lit(prio).alias("priority"), F.lit(rule).alias("rule"),
                          F.lit(dataset).alias("dataset"), F.col(kcol).cast("string").alias("key"))
 
     spark = dim.sparkSession
@@ -110,7 +114,7 @@ def dimension_guards(dim: DataFrame, snapshot: DataFrame, key: str, attrs, load_
     parts.append(rows(validate_history(dim, key), 10, "invalid_history", key))
     later_marks = watermark.filter(F.col("load_date") > ld).withColumn("k", F.lit(None))
     parts.append(rows(later_marks, 20, "out_of_order", "k"))
-    parts.append(rows(dim.filter(F.col("effective_date") > ld), 21, "out_of_order", key))
+    parts.append(rows(dim.filter(F.col("effective_date") > ld), 20, "out_of_order", key))
     dup = (snapshot.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
            .filter((F.col("n") > 1) | F.col(key).isNull()))
     parts.append(rows(dup, 30, "stage_key", key))
@@ -129,7 +133,7 @@ def guard_message(row, key: str) -> str:
 
 
 def scd2_apply(dim: DataFrame, snapshot: DataFrame, key: str, attrs, surrogate: str,
-               load_date, cls: DataFrame | None = None) -> DataFrame:
+               load_date, cls: DataFrame | None = None, parts: bool = False):
     """New full history after applying one daily snapshot.
 
     closed = changed current rows with expiry = load_date, not current;
@@ -155,6 +159,9 @@ def scd2_apply(dim: DataFrame, snapshot: DataFrame, key: str, attrs, surrogate:
     # keys continue after the largest existing one (a single scalar)
     start = dim.agg(F.coalesce(F.max(surrogate), F.lit(0)).cast("long")).first()[0]
     keyed = assign_keys(inserted, key, surrogate, start=start)
+    if parts:  # (newly closed versions, new current rows) for versioned publication
+        return (closed.select(*dim_cols),
+                kept.select(*dim_cols).unionByName(keyed.select(*dim_cols)))
     return reduce(DataFrame.unionByName,
                   [history.select(*dim_cols), kept.select(*dim_cols),
                    closed.select(*dim_cols), keyed.select(*dim_cols)])

@@ -101,7 +101,7 @@ SELECT 10 AS priority, 'invalid_history' AS rule, 'users' AS dataset, CAST(c_cus
     OR (nxt IS NOT NULL AND (expiry_date <> nxt OR is_current))
     OR (nxt IS NULL AND (NOT is_current OR expiry_date <> DATE '9999-12-31'))
 UNION ALL SELECT 20, 'out_of_order', 'users', NULL FROM wm WHERE load_date > DATE '{load_date}'
-UNION ALL SELECT 21, 'out_of_order', 'users', CAST(c_custkey AS VARCHAR) FROM h2 WHERE effective_date > DATE '{load_date}'
+UNION ALL SELECT 20, 'out_of_order', 'users', CAST(c_custkey AS VARCHAR) FROM h2 WHERE effective_date > DATE '{load_date}'
 UNION ALL SELECT 30, 'stage_key', 'users', CAST(c_custkey AS VARCHAR) FROM stage GROUP BY c_custkey
  HAVING count(*) > 1 OR c_custkey IS NULL
 UNION ALL SELECT 31, 'same_day_new_key', 'users', CAST(s.c_custkey AS VARCHAR) FROM stage s
