@@ -79,6 +79,8 @@ def read_manifest(spark: SparkSession, path) -> DataFrame:
 
 def manifest_violations(manifests: DataFrame, key_prefix: str = "") -> DataFrame:
     """(manifest_path, batch_id, dataset, rule) for every broken rule."""
+    if "manifest_path" not in manifests.columns:
+        manifests = manifests.withColumn("manifest_path", F.lit(None).cast("string"))
     canonical = F.array(*[F.lit(d) for d in contracts.DATASETS])
     expected_key = F.concat(F.lit(key_prefix), F.lit("batches/"), F.col("batch_id"),
                             F.lit("/bronze/"), F.col("dataset"), F.lit(".csv"))
