@@ -1,51 +1,32 @@
 """De-duplication by key, skew-safe.
 
-Both variants are a single hash-partitioned aggregate with map-side
-(partial) combine: every task first reduces its own rows to one survivor
-per key, so a key holding a third of all rows never lands as one big group
-in one task - only one candidate per task and key crosses the shuffle.
-The survivor is picked by ``min``/``max`` over an ordering struct, which
-is exact and deterministic (a total order, file position as last tiebreak).
+Both variants are ``row_number() over (partition by key order by ...) = 1``.
+Catalyst turns this into a *partial* ``WindowGroupLimit`` before the
+shuffle plus a final one after it: every map task first keeps only its
+best row per key, so a key holding a third of all rows never crosses the
+shuffle as one big group - at most one candidate per task and key does.
+The order is total (file position or all remaining columns as the last
+tiebreak), so the survivor is deterministic.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
-def _desc_key(df: DataFrame, c: str) -> Column:
-    """A column whose ascending order is the descending order of ``c``."""
-    t = df.schema[c].dataType
-    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-        return -F.unix_micros(F.col(c).cast("timestamp"))
-    if isinstance(t, T.DateType):
-        return -F.unix_date(F.col(c))
-    if isinstance(t, (T.FloatType, T.DoubleType, T.DecimalType)):
-        return -F.col(c)
-    if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return -F.col(c).cast("decimal(20,0)")  # no overflow on the minimum value
-    raise TypeError(f"descending order key not supported for {t}")
-
-
-def _pick(df: DataFrame, keys, order: list[Column], use_max: bool) -> DataFrame:
+def _first(df: DataFrame, keys, order) -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    payload = F.struct(*[F.col(c) for c in rest]).alias("_row")
-    ordered = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], payload)
-    agg = F.max(ordered) if use_max else F.min(ordered)
-    out = df.groupBy(*keys).agg(agg.alias("_best"))
-    return out.select(*keys, *[F.col(f"_best._row.{c}").alias(c) for c in rest]).select(*df.columns)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def dedup_last(df: DataFrame, keys, pos: str = "_pos") -> DataFrame:
     """Keep the last row of each key in file order (``pos`` = scan position)."""
-    return _pick(df, keys, [F.col(pos)], use_max=True)
+    return _first(df, keys, [F.col(pos).desc()])
 
 
 def dedup_latest(df: DataFrame, keys, ts: str, tiebreak=("_pos",)) -> DataFrame:
     """Keep the row with the latest ``ts`` per key; NULL times lose; ties go
     to the smallest ``tiebreak`` values (default: first in file)."""
-    order = [F.col(ts).isNull(), _desc_key(df, ts)] + [F.col(c) for c in tiebreak]
-    return _pick(df, keys, order, use_max=False)
+    return _first(df, keys, [F.col(ts).desc_nulls_last()] + [F.col(c).asc() for c in tiebreak])

@@ -4,7 +4,7 @@
 order_cols)`` (the order columns must identify rows uniquely), computed as
 
   1. range-partition the rows by the order columns and sort each partition;
-  2. checkpoint that (reliable checkpoint in ``spark.checkpoint.dir``) so the
+  2. write that as a table in the shared ``spark.checkpoint.dir`` so the
      row positions cannot move if an executor is lost and tasks re-run;
   3. count rows per partition - one row per partition reaches the tiny
      prefix-sum window (its size is the partition count, a proven bound);
@@ -29,7 +29,8 @@ def assign_keys(df: DataFrame, order_cols, key: str, start=0,
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
     if checkpoint:
-        ranged = ranged.checkpoint(eager=True)
+        from daymart.sinks.materialize import materialize
+        ranged = materialize(ranged, "keys")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from daymart.operators import audit, calendar, clean, dedup, enrich, facts, ledger, scd2
 from daymart.plans import views
+from daymart.sinks.materialize import materialize
 from daymart.sources import files
 
 # ---- fixed values of the driver scenario ----------------------------------
@@ -67,9 +68,12 @@ def history1(spark, d):
                            USER_KEY, DAY1)
 
 
-def history2(spark, d):
-    return scd2.scd2_apply(history1(spark, d), snapshot2(spark, d), USER_NK, USER_ATTRS,
-                           USER_KEY, DAY2)
+def history2(spark, d, written: bool = False):
+    """Day-2 history. ``written``: materialised once (as the warehouse load
+    publishes it) for plans that join it several times (role joins)."""
+    h = scd2.scd2_apply(history1(spark, d), snapshot2(spark, d), USER_NK, USER_ATTRS,
+                        USER_KEY, DAY2)
+    return materialize(h, "dim_users") if written else h
 
 
 def watermark_of(hist: DataFrame) -> DataFrame:
@@ -143,18 +147,18 @@ def q_v_monthly(spark, d):
 
 
 def resolved_sales(spark, d, hist=None, how="inner"):
-    hist = hist if hist is not None else history2(spark, d)
+    hist = hist if hist is not None else history2(spark, d, written=True)
     return facts.resolve_roles(orders_sales(spark, d), "saletime", _roles(hist), how=how)
 
 
 def q_v_seller(spark, d):
-    hist = history2(spark, d)
+    hist = history2(spark, d, written=True)
     return views.seller_performance(resolved_sales(spark, d, hist), hist, username="c_name",
                                     first="c_name", last="c_mktsegment", extra=("c_nationkey",))
 
 
 def q_top_buyers(spark, d):
-    hist = history2(spark, d)
+    hist = history2(spark, d, written=True)
     return views.top_buyers(resolved_sales(spark, d, hist), hist, TOP_N,
                             userid=USER_NK, username="c_name")
 
@@ -275,7 +279,7 @@ def q_scd2_day2(spark, d):
 
 
 def q_scd2_replay(spark, d):
-    h2 = history2(spark, d).checkpoint()
+    h2 = history2(spark, d, written=True)
     snap = snapshot2(spark, d)
     g = scd2.dimension_guards(h2, snap, USER_NK, USER_ATTRS, DAY2, watermark_of(h2), "users")
     if g.limit(1).count():
@@ -351,7 +355,7 @@ def q_fact_resolve(spark, d):
 
 def q_fact_coverage(spark, d):
     stage = facts.new_facts(orders_sales(spark, d), existing_facts(spark, d), "salesid")
-    r = facts.resolve_roles(stage, "saletime", _roles(history2(spark, d)), how="left")
+    r = facts.resolve_roles(stage, "saletime", _roles(history2(spark, d, written=True)), how="left")
     return facts.coverage_counts(r, "saletime", FACT_LOAD_DATE, ["buyer_key", "seller_key"])
 
 
@@ -365,7 +369,7 @@ def q_fact_append_idempotent(spark, d):
 
 
 def q_fact_temporal_audit(spark, d):
-    h2 = history2(spark, d)
+    h2 = history2(spark, d, written=True)
     cur = h2.filter("is_current")
     s = orders_sales(spark, d)
     for col_, alias in (("buyerid", "buyer_key"), ("sellerid", "seller_key")):
