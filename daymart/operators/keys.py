@@ -36,5 +36,7 @@ def assign_keys(df: DataFrame, order_cols, key: str, start=0,
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
     out = ranged.join(F.broadcast(offsets), "_pid")
     pos = F.col("_off") + (F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)) + 1
-    keyed = F.lit(int(start)).cast("long") + pos
+    # ``start`` may be a number or a scalar-subquery Column (evaluated once)
+    base = start if not isinstance(start, (int, float)) else F.lit(int(start))
+    keyed = base.cast("long") + pos
     return out.withColumn(key, keyed.cast("long")).drop("_pid", "_mid", "_off")

@@ -156,7 +156,8 @@ def scd2_apply(dim: DataFrame, snapshot: DataFrame, key: str, attrs, surrogate:
                 .withColumn("effective_date", ld)
                 .withColumn("expiry_date", _open_end())
                 .withColumn("is_current", F.lit(True)))
-    # keys continue after the largest existing one (a single scalar)
+    # keys continue after the largest existing one (one scalar; measured
+    # faster than a scalar subquery, which re-plans the history under it)
     start = dim.agg(F.coalesce(F.max(surrogate), F.lit(0)).cast("long")).first()[0]
     keyed = assign_keys(inserted, key, surrogate, start=start)
     if parts:  # (newly closed versions, new current rows) for versioned publication

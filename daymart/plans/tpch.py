@@ -68,14 +68,20 @@ def history1(spark, d):
                            USER_KEY, DAY1)
 
 
-def history2(spark, d, written: bool = False):
+def history2(spark, d, written: bool = False, h1: DataFrame | None = None):
     """Day-2 history. ``written``: materialised once (as the warehouse load
     publishes it) for plans that join it several times (role joins)."""
-    h = scd2.scd2_apply(history1(spark, d), snapshot2(spark, d), USER_NK, USER_ATTRS,
-                        USER_KEY, DAY2)
+    h = scd2.scd2_apply(h1 if h1 is not None else history1(spark, d), snapshot2(spark, d),
+                        USER_NK, USER_ATTRS, USER_KEY, DAY2)
     return materialize(h, "dim_users") if written else h
 
 
+def histories(spark, d):
+    """(day-1, day-2) histories, each written once like published versions."""
+    h1 = materialize(history1(spark, d), "dim_users_d1")
+    return h1, history2(spark, d, written=True, h1=h1)
+
+
 def watermark_of(hist: DataFrame) -> DataFrame:
     return hist.select(F.col("effective_date").alias("load_date")).distinct()
 
@@ -342,10 +348,11 @@ def q_stage_counts(spark, d):
     return audit.table_counts({t: table(spark, d, t) for t in TABLES})
 
 
-def existing_facts(spark, d):
+def existing_facts(spark, d, h1=None):
     """Facts loaded earlier: orders before 1996 resolved against day-1 history."""
     early = orders_sales(spark, d).filter(F.col("saletime") < F.lit(EXISTING_FACTS_BEFORE).cast("timestamp_ntz"))
-    return facts.resolve_roles(early, "saletime", _roles(history1(spark, d)), how="inner")
+    h1 = h1 if h1 is not None else history1(spark, d)
+    return facts.resolve_roles(early, "saletime", _roles(h1), how="inner")
 
 
 def q_fact_resolve(spark, d):
@@ -354,14 +361,16 @@ def q_fact_resolve(spark, d):
 
 
 def q_fact_coverage(spark, d):
-    stage = facts.new_facts(orders_sales(spark, d), existing_facts(spark, d), "salesid")
-    r = facts.resolve_roles(stage, "saletime", _roles(history2(spark, d, written=True)), how="left")
+    h1, h2 = histories(spark, d)
+    stage = facts.new_facts(orders_sales(spark, d), existing_facts(spark, d, h1), "salesid")
+    r = facts.resolve_roles(stage, "saletime", _roles(h2), how="left")
     return facts.coverage_counts(r, "saletime", FACT_LOAD_DATE, ["buyer_key", "seller_key"])
 
 
 def q_fact_append_idempotent(spark, d):
-    existing = existing_facts(spark, d)
-    r = resolved_sales(spark, d, how="left").filter(
+    h1, h2 = histories(spark, d)
+    existing = existing_facts(spark, d, h1)
+    r = resolved_sales(spark, d, hist=h2, how="left").filter(
         F.col("saletime").cast("date") <= F.lit(FACT_LOAD_DATE).cast("date"))
     new = facts.append_new(r, existing, "salesid", ["buyer_key", "seller_key"], with_load_ts=False)
     cols = ["salesid", "buyer_key", "seller_key", "saletime"]
