@@ -36,6 +36,7 @@ USER_KEY, USER_NK = "user_key", "c_custkey"
 USER_ATTRS = ("c_name", "c_nationkey", "c_mktsegment")
 TOP_N = 10
 PENDING_N = 10
+HOT_KEY_ROWS = 1_000_000         # facts per key above which a role join salts the key
 # ---- end of fixed values --------------------------------------------------
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -154,7 +155,8 @@ def q_v_monthly(spark, d):
 
 def resolved_sales(spark, d, hist=None, how="inner"):
     hist = hist if hist is not None else history2(spark, d, written=True)
-    return facts.resolve_roles(orders_sales(spark, d), "saletime", _roles(hist), how=how)
+    return facts.resolve_roles(orders_sales(spark, d), "saletime", _roles(hist), how=how,
+                               hot_threshold=HOT_KEY_ROWS)
 
 
 def q_v_seller(spark, d):

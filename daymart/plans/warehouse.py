@@ -83,7 +83,7 @@ def check_request(wh: Warehouse, state: dict, req: BatchRequest, today: str) ->
 
 
 def load_batch(spark: SparkSession, wh: Warehouse, stage: dict, req: BatchRequest,
-               today: str | None = None) -> dict:
+               today: str | None = None, hot_threshold: int | None = 1_000_000) -> dict:
     """Load one batch of six stage frames (stage contracts) atomically."""
     import datetime as _dt
     today = today or _dt.datetime.now(_dt.timezone.utc).date().isoformat()
@@ -145,7 +145,8 @@ def load_batch(spark: SparkSession, wh: Warehouse, stage: dict, req: BatchReques
         existing = wh.table(f"fact_{t}", state)
         existing = existing if existing is not None else spark.createDataFrame([], schema)
         newf = facts.new_facts(stage[t], existing, k)
-        resolved[t] = facts.resolve_roles(newf, ts, roles).persist(StorageLevel.MEMORY_AND_DISK)
+        resolved[t] = facts.resolve_roles(newf, ts, roles, hot_threshold=hot_threshold
+                                          ).persist(StorageLevel.MEMORY_AND_DISK)
         bad[t] = facts.coverage_counts(resolved[t], ts, ld, [r.alias for r in roles]).select(
             F.lit(t).alias("table"), "bad")
         appended[t] = resolved[t].withColumn("load_ts", F.current_timestamp()).select(

@@ -151,3 +151,18 @@ def test_audits(spark):
     df = spark.createDataFrame([(1, "a"), (1, None), (2, "b")], "k int, v string")
     assert [tuple(r) for r in audit.duplicate_keys(df, "k").collect()] == [(1, 2)]
     assert tuple(audit.null_audit(df, ["v"]).first()) == (3, 1)
+
+
+def test_hot_key_split_equals_plain_join(spark):
+    from daymart.operators import facts
+    # seller 1 holds most of the facts
+    rows = [(i, 1 if i % 3 else (i % 50) + 2, dt.datetime(2026, 10, 29 + (i % 3), 12)) for i in range(3000)]
+    fact = spark.createDataFrame(rows, "salesid int, sellerid int, saletime timestamp_ntz")
+    dim_rows = [(1, 1, "2026-10-01", "2026-10-30", False), (2, 1, "2026-10-30", "9999-12-31", True)]
+    dim_rows += [(k + 10, k, "2026-10-01", "9999-12-31", True) for k in range(2, 52)]
+    dim = _hist(spark, dim_rows)
+    role = [facts.Role(dim, "userid", "sellerid", "user_key", "seller_key")]
+    plain = sorted(tuple(r) for r in facts.resolve_roles(fact, "saletime", role).collect())
+    split = sorted(tuple(r) for r in facts.resolve_roles(fact, "saletime", role, hot_threshold=500).collect())
+    assert plain == split and len(plain) == 3000
+    assert facts.hot_keys(fact, "sellerid", 500).collect()[0]["_hot"] == 1
