@@ -20,7 +20,8 @@ from daymart.session import get_spark  # noqa: E402
 HEADLINE = [
     "clean_sales",          # listing/sales clean + dedup (latest wins)
     "clean_users",          # pandas-style users cleaner, now a Spark plan
-    "denormalise_star",     # event clean + denormalise analogue
+    "clean_event",          # event clean + venue/category denormalisation
+    "denormalise_star",     # star denormalisation of the line facts
     "dedup_latest",
     "scd2_day2",            # SCD2 dimension load (two daily snapshots)
     "fact_resolve",         # point-in-time fact resolution, two roles

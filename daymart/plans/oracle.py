@@ -144,7 +144,39 @@ def _secret_sql() -> str:
             "SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, category, matches FROM hits WHERE matches > 0")
 
 
+RAW_SALES = """raw AS (SELECT CAST(l_orderkey * 10 + l_linenumber AS INTEGER) AS salesid FROM lineitem)"""
+
 ORACLE = {
+    "clean_event": """WITH v AS (
+  SELECT s_suppkey, s_name AS venuename, s_acctbal, 0 AS delivery FROM supplier
+  UNION ALL SELECT s_suppkey, s_name || '   (renamed)', s_acctbal, 1 FROM supplier WHERE s_acctbal > 9000),
+venue AS (SELECT CAST(s_suppkey AS SMALLINT) AS venueid, venuename, 'Metropolis' AS venuecity,
+    CASE WHEN s_acctbal > 5000 THEN 'TX' END AS venuestate,
+    CASE WHEN s_acctbal < 0 THEN 0 ELSE CAST(trunc(s_acctbal) AS INTEGER) END AS venueseats
+  FROM (SELECT *, row_number() OVER (PARTITION BY s_suppkey ORDER BY delivery DESC) AS rn FROM v) WHERE rn = 1),
+cat AS (SELECT CAST(n_nationkey AS SMALLINT) AS catid, upper(n_name) AS catgroup, n_name AS catname,
+    'Nation ' || n_name AS catdesc FROM nation),
+ev AS (SELECT CAST(p_partkey AS INTEGER) AS eventid, CAST(p_size AS SMALLINT) AS venueid,
+    CASE WHEN p_retailprice > 990 THEN NULL ELSE CAST(substr(p_brand, 7, 3) AS SMALLINT) END AS catid,
+    CAST(1827 + p_size AS INTEGER) AS dateid, p_name AS eventname,
+    CASE WHEN p_retailprice < 905 THEN NULL
+         ELSE CAST(DATE '2008-01-01' + p_size AS TIMESTAMP) + INTERVAL 18 HOUR END AS starttime
+  FROM part)
+SELECT ev.eventid, ev.venueid, ev.catid, ev.dateid, ev.eventname, ev.starttime, venue.venuename, venue.venuecity,
+  venue.venuestate, venue.venueseats, cat.catgroup, cat.catname, cat.catdesc
+FROM ev LEFT JOIN venue ON ev.venueid = venue.venueid LEFT JOIN cat ON ev.catid = cat.catid""",
+    "receipt_status": f"""WITH req AS ({_ledger('1.0')}), com AS (SELECT * FROM ({_ledger()})
+  WHERE starts_with(batch_id, 'purchase-') OR starts_with(batch_id, 'view-'))
+SELECT r.batch_id, CASE WHEN c.input_sha IS NULL THEN 'new' WHEN c.input_sha = r.input_sha THEN 'duplicate'
+  ELSE 'conflict' END AS status FROM req r LEFT JOIN com c ON r.batch_id = c.batch_id""",
+    "stage_key_violations": f"WITH {RAW_SALES} SELECT salesid, count(*) AS n FROM raw GROUP BY salesid "
+                            "HAVING count(*) > 1 OR salesid IS NULL",
+    "fact_not_null": f"""{HIST}, {SALES}, {LEFT_RESOLVED},
+c AS (SELECT 'salesid' AS "column", count(*) FILTER (WHERE salesid IS NULL) AS n FROM lresolved
+  UNION ALL SELECT 'buyer_key', count(*) FILTER (WHERE buyer_key IS NULL) FROM lresolved
+  UNION ALL SELECT 'seller_key', count(*) FILTER (WHERE seller_key IS NULL) FROM lresolved
+  UNION ALL SELECT 'saletime', count(*) FILTER (WHERE saletime IS NULL) FROM lresolved)
+SELECT 'fact_sales' AS "table", "column", n FROM c WHERE n > 0""",
     "v_venue": f"WITH {LINE_SALES}, {VENUE} SELECT v.venuename, v.venuecity, v.venuestate, {MEASURES} "
                "FROM lsales s JOIN venue v ON s.venue_key = v.venue_key GROUP BY 1, 2, 3",
     "v_top_events": f"WITH {LINE_SALES}, {VENUE}, {PART} SELECT p.eventname, p.catname, v.venuename, v.venuecity, "

@@ -278,6 +278,58 @@ def q_clean_venue(spark, d):
     return clean.clean_venue(raw_venue(spark, d))
 
 
+def raw_event_inputs(spark, d):
+    """Bronze-like event, venue and category text: events from part (venue
+    = p_size, category = brand number, some start times unparsable, some
+    categories missing), venues from supplier delivered twice (the second
+    delivery renames high-balance suppliers; the last one wins), categories
+    from nation."""
+    p = table(spark, d, "part")
+    ev = p.select(
+        F.concat(F.lit(" "), F.col("p_partkey").cast("string")).alias("eventid"),
+        F.col("p_size").cast("string").alias("venueid"),
+        F.when(F.col("p_retailprice") > 990, F.lit(None)).otherwise(F.substring("p_brand", 7, 3)).alias("catid"),
+        (F.col("p_size") + 1827).cast("string").alias("dateid"),
+        F.concat(F.lit("  "), F.col("p_name")).alias("eventname"),
+        F.when(F.col("p_retailprice") < 905, F.lit("TBD"))
+         .otherwise(F.concat(F.date_add(F.lit("2008-01-01").cast("date"), F.col("p_size")).cast("string"),
+                             F.lit(" 18:00:00"))).alias("starttime"),
+        F.col("p_partkey").alias("_pos"))
+    v1 = raw_venue(spark, d)
+    s = table(spark, d, "supplier").filter(F.col("s_acctbal") > 9000)
+    v2 = raw_venue(spark, d).join(s.select(F.col("s_suppkey").alias("_pos")), "_pos", "left_semi") \
+        .withColumn("venuename", F.concat(F.col("venuename"), F.lit(" (renamed)"))) \
+        .withColumn("_pos", F.col("_pos") + 1_000_000_000)
+    n = table(spark, d, "nation")
+    cat = n.select(F.col("n_nationkey").cast("string").alias("catid"),
+                   F.concat(F.lit(" "), F.lower("n_name")).alias("catgroup"),
+                   F.col("n_name").alias("catname"),
+                   F.concat(F.lit("Nation "), F.col("n_name")).alias("catdesc"),
+                   F.col("n_nationkey").cast("long").alias("_pos"))
+    return ev, v1.unionByName(v2), cat
+
+
+def q_clean_event(spark, d):
+    ev, venue, cat = raw_event_inputs(spark, d)
+    return clean.clean_event(ev, venue, cat, mode="strict")
+
+
+def q_receipt_status(spark, d):
+    requests = batch_ledger(spark, d, value_floor=1.0).select("batch_id", "input_sha")
+    commits = batch_ledger(spark, d).filter(
+        F.col("batch_id").startswith("purchase-") | F.col("batch_id").startswith("view-"))
+    return ledger.receipt_status(requests, commits).select("batch_id", "status")
+
+
+def q_stage_key_violations(spark, d):
+    return facts.stage_key_violations(raw_sales(spark, d), "salesid")
+
+
+def q_fact_not_null(spark, d):
+    r = resolved_sales(spark, d, how="left")
+    return facts.not_null_violations(r, ["salesid", "buyer_key", "seller_key", "saletime"], "fact_sales")
+
+
 def q_scd2_day1(spark, d):
     return history1(spark, d)
 
