@@ -492,3 +492,83 @@ def q_stale_epochs(spark, d):
 
 
 QUERIES = {name[2:]: fn for name, fn in dict(globals()).items() if name.startswith("q_")}
+
+
+# ------------------------------------------------- full warehouse load --
+def stage_frames(spark, d) -> dict:
+    """Six stage frames (stage contracts) derived from the given tables:
+    category <- nation, venue <- supplier, users <- customer,
+    event <- part (denormalised with venue = p_size, category = brand no.),
+    listing <- de-duplicated lineitem, sales <- its fulfilled lines with the
+    order's customer as buyer."""
+    from daymart import contracts
+    from daymart.operators.enrich import enrich_event
+
+    def conform(df, name):
+        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
+                           for f in contracts.stage_schema(name).fields])
+
+    n = table(spark, d, "nation")
+    category = conform(n.select(F.col("n_nationkey").alias("catid"), F.upper("n_name").alias("catgroup"),
+                                F.col("n_name").alias("catname"),
+                                F.concat(F.lit("Nation "), F.col("n_name")).alias("catdesc")), "category")
+    s = table(spark, d, "supplier")
+    venue = conform(s.select(F.col("s_suppkey").alias("venueid"), F.col("s_name").alias("venuename"),
+                             F.col("s_nationkey").cast("string").alias("venuecity"),
+                             F.lit("TX").alias("venuestate"),
+                             F.greatest(F.col("s_acctbal"), F.lit(0.0)).cast("int").alias("venueseats")), "venue")
+    from daymart.contracts import BOOL_COLUMNS
+    c = table(spark, d, "customer")
+    users = conform(c.select(
+        F.col("c_custkey").alias("userid"), F.col("c_name").alias("username"),
+        F.col("c_mktsegment").alias("firstname"), F.lit("Person").alias("lastname"),
+        F.col("c_nationkey").cast("string").alias("city"), F.lit("TX").alias("state"),
+        F.lower(F.concat(F.col("c_name"), F.lit("@example.invalid"))).alias("email"),
+        F.lit("000-000-0000").alias("phone"),
+        *[(F.col("c_acctbal") > F.lit(1000.0 * i)).alias(b) for i, b in enumerate(BOOL_COLUMNS)]), "users")
+    p = table(spark, d, "part")
+    ev = p.select(F.col("p_partkey").alias("eventid"), F.col("p_size").cast("short").alias("venueid"),
+                  F.substring("p_brand", 7, 3).cast("short").alias("catid"),
+                  (F.col("p_size") + 1827).alias("dateid"), F.col("p_name").alias("eventname"),
+                  (F.date_add(F.lit("2008-01-01").cast("date"), F.col("p_size")).cast("timestamp_ntz")
+                   + F.expr("INTERVAL 18 HOURS")).alias("starttime"))
+    event = conform(enrich_event(ev, venue, category), "event")
+    li = dedup.dedup_latest(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate",
+                            tiebreak=["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+                                      "l_discount", "l_tax", "l_returnflag", "l_linestatus"])
+    price = F.col("l_extendedprice").cast("decimal(12,2)")
+    lid = (F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    listing = conform(li.select(
+        lid.alias("listid"), F.col("l_suppkey").alias("sellerid"), F.col("l_partkey").alias("eventid"),
+        calendar.date_to_id("l_shipdate").alias("dateid"), F.col("l_quantity").alias("numtickets"),
+        F.round(price / F.col("l_quantity").cast("decimal(4,0)"), 2).alias("priceperticket"),
+        price.alias("totalprice"), F.col("l_shipdate").alias("listtime")), "listing")
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    sold = li.filter(F.col("l_linestatus") == "F").join(o, "l_orderkey")
+    sales = conform(sold.select(
+        lid.alias("salesid"), lid.alias("listid"), F.col("l_suppkey").alias("sellerid"),
+        F.col("o_custkey").alias("buyerid"), F.col("l_partkey").alias("eventid"),
+        calendar.date_to_id("l_shipdate").alias("dateid"), F.col("l_quantity").alias("qtysold"),
+        price.alias("pricepaid"),
+        F.round(price * F.lit(0.15).cast("decimal(2,2)"), 2).alias("commission"),
+        F.col("l_shipdate").alias("saletime")), "sales")
+    return {"category": category, "venue": venue, "users": users, "event": event,
+            "listing": listing, "sales": sales}
+
+
+def daily_loads(spark, d, root: str) -> list:
+    """Two daily loads into a fresh warehouse under ``root``: day A brings the
+    dimensions (no facts yet), day B the unchanged snapshot plus all facts -
+    stage, SCD2 compare, point-in-time resolution of every fact, write, commit."""
+    from daymart.plans.warehouse import BatchRequest, load_batch
+    from daymart.sinks.publish import Warehouse
+
+    wh = Warehouse(spark, root)
+    st = stage_frames(spark, d)
+    day_a, day_b = "1994-12-31", "2002-12-31"
+    first = dict(st)
+    for t, ts in (("listing", "listtime"), ("sales", "saletime")):
+        first[t] = st[t].filter(F.col(ts).cast("date") <= F.lit(day_a).cast("date"))
+    out = [load_batch(spark, wh, first, BatchRequest("day-a", day_a))]
+    out.append(load_batch(spark, wh, st, BatchRequest("day-b", day_b)))
+    return out

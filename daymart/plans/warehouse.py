@@ -50,6 +50,17 @@ class BatchRequest:
                 "attempt": self.attempt, "fence_epoch": self.fence_epoch, "load_date": self.load_date}
 
 
+def run_concurrently(tasks: dict) -> dict:
+    """Run independent Spark jobs from several driver threads at once (the
+    scheduler interleaves their tasks; results keyed like ``tasks``)."""
+    from concurrent.futures import ThreadPoolExecutor
+    if len(tasks) <= 1:
+        return {k: f() for k, f in tasks.items()}
+    with ThreadPoolExecutor(max_workers=min(8, len(tasks))) as pool:
+        futures = {k: pool.submit(f) for k, f in tasks.items()}
+        return {k: fut.result() for k, fut in futures.items()}
+
+
 def _empty_dim(spark, name):
     return spark.createDataFrame([], contracts.dim_schema(name))
 
@@ -82,15 +93,47 @@ def check_request(wh: Warehouse, state: dict, req: BatchRequest, today: str) ->
     return None
 
 
+class _Trace:
+    """Step timings when DAYMART_TRACE is set (stderr)."""
+
+    def __init__(self):
+        import os
+        import time
+        self.on = bool(os.environ.get("DAYMART_TRACE"))
+        self.time = time.perf_counter
+        self.t = self.time()
+
+    def __call__(self, step: str):
+        if self.on:
+            import sys
+            now = self.time()
+            print(f"[daymart] {step}: {now - self.t:.2f}s", file=sys.stderr)
+            self.t = now
+
+
 def load_batch(spark: SparkSession, wh: Warehouse, stage: dict, req: BatchRequest,
-               today: str | None = None, hot_threshold: int | None = 1_000_000) -> dict:
-    """Load one batch of six stage frames (stage contracts) atomically."""
+               today: str | None = None, hot_threshold: int | None = 1_000_000,
+               materialize_stage: bool = True) -> dict:
+    """Load one batch of six stage frames (stage contracts) atomically.
+
+    ``materialize_stage``: the stage frames are written once as tables in
+    the checkpoint folder (the stage load); every guard, the resolution and
+    the writes then read them instead of re-running the cleaners.
+    """
     import datetime as _dt
+    from daymart.sinks.materialize import materialize
+
+    trace = _Trace()
     today = today or _dt.datetime.now(_dt.timezone.utc).date().isoformat()
     state = wh.latest()
     if check_request(wh, state, req, today) == "duplicate":
         return {"status": "duplicate", "version": state["version"]}
     ld = req.load_date
+    if materialize_stage:
+        stage = run_concurrently({
+            n: (lambda n=n, df=df: materialize(df.select(*contracts.stage_columns(n)), f"stage_{n}"))
+            for n, df in stage.items()})
+    trace("stage")
 
     # stage: declared row counts reconcile with what was staged (one job)
     if req.declared_rows:
@@ -111,10 +154,15 @@ def load_batch(spark: SparkSession, wh: Warehouse, stage: dict, req: BatchReques
         scd2.dimension_guards(dims[n], snaps[n], key[n], DIMS[n][1], ld, watermark, n, cls[n], order=i)
         for i, n in enumerate(DIMS)])
     _raise_first(guards, lambda ds: key[ds])
+    trace("dimension guards")
 
     new_closed, new_current, new_dims = {}, {}, {}
-    for n, (sk, attrs) in DIMS.items():
-        closed, current = scd2.scd2_apply(dims[n], snaps[n], key[n], attrs, sk, ld, cls[n], parts=True)
+    applied = run_concurrently({
+        n: (lambda n=n, sk=sk, attrs=attrs:
+            scd2.scd2_apply(dims[n], snaps[n], key[n], attrs, sk, ld, cls[n], parts=True))
+        for n, (sk, attrs) in DIMS.items()})
+    for n in DIMS:
+        closed, current = applied[n]
         new_closed[n], new_current[n] = _conform_dim(closed, n), _conform_dim(current, n)
         old_closed = dims[n].filter(~F.col("is_current"))
         new_dims[n] = old_closed.unionByName(new_closed[n]).unionByName(new_current[n])
@@ -124,6 +172,7 @@ def load_batch(spark: SparkSession, wh: Warehouse, stage: dict, req: BatchReques
             F.lit(n).alias("dataset"), F.col(key[n]).cast("string").alias("key"))
         for i, n in enumerate(DIMS)])
     _raise_first(post, lambda ds: key[ds])
+    trace("scd2 apply + history check")
 
     # facts: stage keys, point-in-time resolution, coverage, append
     fact_specs = {
@@ -140,6 +189,7 @@ def load_batch(spark: SparkSession, wh: Warehouse, stage: dict, req: BatchReques
     for t, (k, _, _, _) in fact_specs.items():
         if facts.stage_key_violations(stage[t], k).limit(1).count():
             raise DataContractError(STAGE_FACT_KEY.format(table=t, key=k))
+    trace("fact stage keys")
     resolved, appended, bad = {}, {}, {}
     for t, (k, ts, roles, schema) in fact_specs.items():
         existing = wh.table(f"fact_{t}", state)
@@ -154,29 +204,38 @@ def load_batch(spark: SparkSession, wh: Warehouse, stage: dict, req: BatchReques
     counts = {r["table"]: r["bad"] for r in bad["sales"].unionByName(bad["listing"]).collect()}
     if counts["sales"] or counts["listing"]:
         raise DataContractError(MISSING_REFS.format(sales=counts["sales"], listings=counts["listing"]))
+    trace("fact resolution + coverage")
     nn = reduce(DataFrame.unionByName, [
         facts.not_null_violations(appended[t], contracts.NOT_NULL[f"fact_{t}"], f"fact_{t}")
         for t in fact_specs]).limit(1).collect()
     if nn:
         raise DataContractError(NOT_NULL_MSG.format(table=nn[0]["table"], column=nn[0]["column"]))
+    trace("not null")
 
     # publish: write versions, then one exclusive commit
     # write-once directory per (batch, attempt, target commit)
     tag = f"{req.batch_id}-a{req.attempt}-c{state['version'] + 1}"
-    replace, append, schemas = {}, {}, {}
+    replace, append, schemas, writes = {}, {}, {}, {}
     for n in DIMS:
-        append[f"dim_{n}_closed"] = wh.write_version(f"dim_{n}_closed", new_closed[n], tag, [key[n]])
-        replace[f"dim_{n}_current"] = wh.write_version(f"dim_{n}_current", new_current[n], tag, [key[n]])
+        writes[("append", f"dim_{n}_closed")] = (new_closed[n], [key[n]])
+        writes[("replace", f"dim_{n}_current")] = (new_current[n], [key[n]])
         schemas[f"dim_{n}_closed"] = schemas[f"dim_{n}_current"] = contracts.dim_schema(n).json()
     for t, (k, ts, _, schema) in fact_specs.items():
-        append[f"fact_{t}"] = wh.write_version(f"fact_{t}", appended[t], tag, ["dateid", "eventid"])
+        writes[("append", f"fact_{t}")] = (appended[t], ["dateid", "eventid"])
         schemas[f"fact_{t}"] = schema.json()
+    paths = run_concurrently({
+        w: (lambda w=w, df=df, cols=cols: wh.write_version(w[1], df, tag, cols))
+        for w, (df, cols) in writes.items()})
+    for (kind, name), path in paths.items():
+        (append if kind == "append" else replace)[name] = path
     for n in DIMS:
         cls[n].unpersist()
     for t in fact_specs:
         resolved[t].unpersist()
+    trace("write versions")
     version = wh.commit(state, replace, append, schemas, watermark=[ld],
                         receipt=req.receipt() if req.input_sha else None)
+    trace("commit")
     return {"status": "committed", "version": version}
 
 
