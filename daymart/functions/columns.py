@@ -12,7 +12,7 @@ __all__ = [
     "NULL_TOKENS", "BOOL_TOKENS", "strip", "null_if_token", "lenient_number",
     "lenient_int", "strict_int", "state_code", "bool_token", "seats",
     "parse_timestamp", "null_safe_changed", "canonical_sha256", "load_date_rules",
-    "INT_RANGES",
+    "INT_RANGES", "money",
 ]
 
 # ---- fixed values ---------------------------------------------------------
@@ -127,3 +127,14 @@ def load_date_rules(text, today, timezone: str = "UTC") -> Column:
             .when(d.isNull() | (F.date_format(d, "yyyy-MM-dd") != x), F.lit("calendar"))
             .when(d >= F.lit("9999-12-31").cast("date"), F.lit("open_end"))
             .when(d > F.lit(today).cast("date"), F.lit("future")))
+
+
+def money(c, precision: int = 8, scale: int = 2) -> Column:
+    """Decimal text/number -> DECIMAL(precision, scale) with banker's rounding
+    (half to even: 10.005 -> 10.00, 10.015 -> 10.02); unparsable or out of
+    range -> NULL."""
+    x = strip(c) if isinstance(c, str) else c
+    wide = x.try_cast(T.DecimalType(38, 10))
+    rounded = F.bround(wide, scale)
+    limit = F.lit(10 ** (precision - scale)).cast(T.DecimalType(38, 0))
+    return F.when(F.abs(rounded) < limit, rounded).cast(T.DecimalType(precision, scale))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from daymart import contracts
-from daymart.functions.columns import (bool_token, lenient_int, parse_timestamp, seats,
+from daymart.functions.columns import (bool_token, lenient_int, money, parse_timestamp, seats,
                                        state_code, strict_int, strip)
 from daymart.operators.dedup import dedup_last, dedup_latest
 
@@ -101,6 +101,9 @@ def _typed(c: str, t: str, mode: str):
     x = strip(c)
     if t == "timestamp_ntz":
         parsed = parse_timestamp(c)
+    elif t.startswith("decimal"):
+        p, sc = (int(v) for v in t[len("decimal("):-1].split(","))
+        parsed = money(c, p, sc)
     else:
         parsed = x.try_cast(t)
     if mode != "strict":
@@ -145,3 +148,14 @@ def clean_sales(raw: DataFrame, mode: str = "strict") -> DataFrame:
     qty_ok = F.col("qtysold").isNull() | (F.col("qtysold") >= 1)
     return _transactions(raw, "sales", "saletime",
                          {"commission": 0, "pricepaid": 0}, mode, extra_filter=qty_ok)
+
+
+def observed(df: DataFrame, name: str, key: str | None = None):
+    """Attach step metrics to a frame without an extra action: returns
+    (frame, Observation). After the first action on the frame,
+    ``obs.get`` holds rows and NULL keys."""
+    obs = Observation(name)
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if key:
+        metrics.append(F.count(F.when(F.col(key).isNull(), 1)).alias("null_keys"))
+    return df.observe(obs, *metrics), obs

@@ -73,3 +73,28 @@ def run_pending(ledger: DataFrame, n: int, process) -> list:
             break
         done.append((row["batch_id"], "COMMITTED", None))
     return done
+
+
+def lineage_violations(descriptors: DataFrame, prefix: str, batch_id: str) -> DataFrame:
+    """Output lineage rules over descriptor rows (dataset, path, bytes,
+    sha256, rows): every object under the attempt prefix, no object listed
+    twice, hashes well-formed, sizes and row counts non-negative, all six
+    datasets present."""
+    from daymart import contracts
+    checks = [
+        ("outside_prefix", ~F.col("path").startswith(prefix)),
+        ("wrong_batch", ~F.col("path").contains(f"batch={batch_id}")),
+        ("sha256", ~F.coalesce(F.col("sha256").rlike(r"^[a-f0-9]{64}$"), F.lit(False))),
+        ("size", F.coalesce(F.col("bytes") < 0, F.lit(True)) | F.coalesce(F.col("rows") < 0, F.lit(True))),
+    ]
+    per_row = descriptors.select(
+        "dataset", "path",
+        F.explode(F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in checks]),
+                           lambda x: x.isNotNull())).alias("rule"))
+    dups = (descriptors.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.first("dataset").alias("dataset"))
+            .filter("n > 1").select("dataset", "path", F.lit("duplicate_object").alias("rule")))
+    present = descriptors.select("dataset").distinct()
+    expected = descriptors.sparkSession.createDataFrame([(d,) for d in contracts.DATASETS], "dataset string")
+    missing = expected.join(present, "dataset", "left_anti").select(
+        "dataset", F.lit(None).cast("string").alias("path"), F.lit("missing_dataset").alias("rule"))
+    return per_row.unionByName(dups).unionByName(missing)

@@ -129,6 +129,7 @@ def load_batch(spark: SparkSession, wh: Warehouse, stage: dict, req: BatchReques
     if check_request(wh, state, req, today) == "duplicate":
         return {"status": "duplicate", "version": state["version"]}
     ld = req.load_date
+    stage = {n: df for n, df in stage.items() if not n.startswith("_")}
     if materialize_stage:
         stage = run_concurrently({
             n: (lambda n=n, df=df: materialize(df.select(*contracts.stage_columns(n)), f"stage_{n}"))
@@ -249,6 +250,10 @@ def stage_batch(spark: SparkSession, paths: dict, mode: str = "strict") -> dict:
     from daymart.sources.scan import read_dataset
 
     raw = {n: read_dataset(spark, n, paths[n], mode=mode) for n in contracts.DATASETS}
+    # input row metrics, filled by the first action on each frame
+    metrics = {}
+    for n in contracts.DATASETS:
+        raw[n], metrics[n] = clean.observed(raw[n], f"bronze_{n}")
     out = {
         "category": clean.clean_category(raw["category"]),
         "venue": clean.clean_venue(raw["venue"]),
@@ -262,6 +267,7 @@ def stage_batch(spark: SparkSession, paths: dict, mode: str = "strict") -> dict:
             raise DataContractError(f"{n}: NULL {ts} detected after CSV parsing")
     out["listing"] = clean.clean_listing(raw["listing"], mode=mode)
     out["sales"] = clean.clean_sales(raw["sales"], mode=mode)
+    out["_metrics"] = metrics
     return out
 
 
