@@ -89,18 +89,20 @@ def classify(dim: DataFrame, snapshot: DataFrame, key: str, attrs) -> DataFrame:
 
 def dimension_guards(dim: DataFrame, snapshot: DataFrame, key: str, attrs, load_date,
                      watermark: DataFrame, dataset: str, cls: DataFrame | None = None,
-                     order: int = 0) -> DataFrame:
+                     order: int = 0, processed: bool | None = None) -> DataFrame:
     """Violation rows (priority, rule, dataset, key) of one dimension load.
 
     Priority follows the evaluation order of the loader, so the first row
     by priority is the message a user sees: load date; history of every
     dimension; out-of-order of every dimension; then per dimension (in
     ``order``) stage keys, same-day new keys, same-day changes.
-    ``load_date`` is a date string.
+    ``load_date`` is a date string. ``processed`` (load date already in the
+    watermark) may be passed by callers that hold the watermark as metadata.
     """
     ld = F.lit(load_date).cast("date")
-    # the watermark holds one row per processed day: a scalar existence probe
-    processed = watermark.filter(F.col("load_date") == ld).limit(1).count() > 0
+    if processed is None:
+        # the watermark holds one row per processed day: a scalar existence probe
+        processed = watermark.filter(F.col("load_date") == ld).limit(1).count() > 0
     parts = []
 
     def rows(df, prio, rule, kcol):

@@ -152,7 +152,8 @@ def load_batch(spark: SparkSession, wh: Warehouse, stage: dict, req: BatchReques
     cls = {n: scd2.classify(dims[n], snaps[n], key[n], DIMS[n][1]).persist(StorageLevel.MEMORY_AND_DISK)
            for n in DIMS}
     guards = reduce(DataFrame.unionByName, [
-        scd2.dimension_guards(dims[n], snaps[n], key[n], DIMS[n][1], ld, watermark, n, cls[n], order=i)
+        scd2.dimension_guards(dims[n], snaps[n], key[n], DIMS[n][1], ld, watermark, n, cls[n], order=i,
+                              processed=ld in state.get("watermark", []))
         for i, n in enumerate(DIMS)])
     _raise_first(guards, lambda ds: key[ds])
     trace("dimension guards")
