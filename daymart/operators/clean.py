@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daymart import contracts
 from daymart.functions.columns import (bool_token, lenient_int, money, parse_timestamp, seats,
@@ -119,15 +120,24 @@ def time_gate_violations(df: DataFrame, ts: str, key: str) -> DataFrame:
                                                 F.lit(f"null_{ts}").alias("rule"))
 
 
+def _to_contract(raw: DataFrame, name: str, mode: str) -> DataFrame:
+    """Text columns are parsed to their contract type (strict raises on
+    malformed cells); already-typed columns are cast."""
+    cols = []
+    for f in contracts.stage_schema(name).fields:
+        is_text = isinstance(raw.schema[f.name].dataType, T.StringType)
+        if is_text and not isinstance(f.dataType, T.StringType):
+            cols.append(_typed(f.name, f.dataType.simpleString(), mode).alias(f.name))
+        else:
+            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+    return raw.select(*cols, "_pos")
+
+
 def _transactions(raw: DataFrame, name: str, ts: str, defaults: dict, mode: str,
                   extra_filter=None) -> DataFrame:
-    schema = contracts.stage_schema(name)
     if "_pos" not in raw.columns:
         raw = raw.withColumn("_pos", F.monotonically_increasing_id())
-    typed = raw.select(*[(_typed(f.name, f.dataType.simpleString(), mode)
-                          if raw.schema[f.name].dataType.simpleString() == "string"
-                          and f.dataType.simpleString() != "string" else F.col(f.name).cast(f.dataType))
-                         .alias(f.name) for f in schema.fields], "_pos")
+    typed = _to_contract(raw, name, mode)
     key = contracts.KEYS[name]
     df = typed.filter(F.col(key).isNotNull())
     if extra_filter is not None:
