@@ -228,8 +228,10 @@ def load_batch(spark: SparkSession, wh: Warehouse, stage: dict, req: BatchReques
     paths = run_concurrently({
         w: (lambda w=w, df=df, cols=cols: wh.write_version(w[1], df, tag, cols))
         for w, (df, cols) in writes.items()})
-    for (kind, name), path in paths.items():
+    affected = {}
+    for (kind, name), (path, rows) in paths.items():
         (append if kind == "append" else replace)[name] = path
+        affected[name] = rows
     for n in DIMS:
         cls[n].unpersist()
     for t in fact_specs:
@@ -238,7 +240,8 @@ def load_batch(spark: SparkSession, wh: Warehouse, stage: dict, req: BatchReques
     version = wh.commit(state, replace, append, schemas, watermark=[ld],
                         receipt=req.receipt() if req.input_sha else None)
     trace("commit")
-    return {"status": "committed", "version": version}
+    # affected rows: newly closed versions, current rows, appended facts
+    return {"status": "committed", "version": version, "rows": affected}
 
 
 def stage_batch(spark: SparkSession, paths: dict, mode: str = "strict") -> dict:

@@ -97,12 +97,16 @@ class Warehouse:
         return current if closed is None else closed.unionByName(current)
 
     # ------------------------------------------------------------ writes --
-    def write_version(self, name: str, df: DataFrame, tag: str, sort_cols=None) -> str:
-        """Write-once directory for one table version."""
+    def write_version(self, name: str, df: DataFrame, tag: str, sort_cols=None):
+        """Write-once directory for one table version -> (path, rows written).
+        The row count is observed during the write (no extra job)."""
+        from pyspark.sql import Observation
         path = f"{self.root}/tables/{name}/v={tag}"
+        obs = Observation(f"{name}-{tag}")
         out = df.sortWithinPartitions(*sort_cols) if sort_cols else df
-        out.write.mode("errorifexists").option("compression", "snappy").parquet(path)
-        return path
+        out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists") \
+            .option("compression", "snappy").parquet(path)
+        return path, obs.get["rows"]
 
     def commit(self, base: dict, replace: dict, append: dict, schemas: dict,
                watermark=None, receipt=None) -> int:

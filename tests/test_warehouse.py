@@ -48,7 +48,9 @@ def test_sequence(env):
     load(env, "initial")
     assert snapshot(wh) == s1
 
-    load(env, "changed")
+    res = load(env, "changed")
+    assert res["rows"]["dim_users_closed"] == 1 and res["rows"]["dim_event_closed"] == 1
+    assert res["rows"]["fact_sales"] == 2 and res["rows"]["fact_listing"] == 2
     s2 = snapshot(wh)
     assert len(s2["dim_users"]) == 3 and len(s2["dim_event"]) == 2
     st = wh.latest()
