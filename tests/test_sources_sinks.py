@@ -76,3 +76,14 @@ def test_manifest_rules(spark, tmp_path):
         by_batch.setdefault(r["batch_id"], set()).add(r["rule"])
     assert "b-1" not in by_batch
     assert {"batch_id", "timezone", "load_date", "sha256", "file_key", "dataset_set"} <= by_batch["B_1"]
+
+
+def test_strict_cast_violation_rows(spark, tmp_path):
+    from daymart.sources.scan import strict_cast_violations
+    raw = spark.createDataFrame(
+        [("10", "1", "11", "1827", "1", "10.00", "10.00", "2026-10-29 10:00:00.000000"),
+         ("11", "x", "11", "1827", "1", "ten", "10.00", "yesterday")],
+        ", ".join(f"{c} string" for c in ["listid", "sellerid", "eventid", "dateid", "numtickets",
+                                          "priceperticket", "totalprice", "listtime"]))
+    got = sorted((r["key"], r["column"]) for r in strict_cast_violations(raw, "listing").collect())
+    assert got == [("11", "listtime"), ("11", "priceperticket"), ("11", "sellerid")]
