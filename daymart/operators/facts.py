@@ -94,7 +94,10 @@ def resolve_roles(fact: DataFrame, ts: str, roles, how: str = "left",
     out = fact
     hot = None
     if hot_threshold is not None:
-        hot = F.broadcast(hot_role_keys(fact, roles, hot_threshold))
+        # computed once and written (it is referenced by every role on both
+        # join sides); small by construction, so the broadcast is bounded
+        from daymart.sinks.materialize import materialize
+        hot = F.broadcast(materialize(hot_role_keys(fact, roles, hot_threshold), "hot_keys"))
     for i, r in enumerate(roles):
         if hot is None:
             out = _role_join(out, r, i, ts, how)
