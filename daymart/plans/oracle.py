@@ -144,9 +144,45 @@ def _secret_sql() -> str:
             "SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, category, matches FROM hits WHERE matches > 0")
 
 
+def _event_snapshot(day2: bool) -> str:
+    start = "CAST(DATE '2008-01-01' + p_size AS TIMESTAMP) + INTERVAL 18 HOUR"
+    if day2:
+        start = f"CASE WHEN p_retailprice > 995 THEN {start} + INTERVAL 1 HOUR ELSE {start} END"
+    name = "CASE WHEN s.s_acctbal > 9000 THEN s.s_name || ' (renamed)' ELSE s.s_name END" if day2 else "s.s_name"
+    where = "p_retailprice >= 901" if day2 else "p_size < 50"
+    return f"""SELECT CAST(p_partkey AS INTEGER) AS eventid, CAST(p_size AS SMALLINT) AS venueid,
+  CAST(substr(p_brand, 7, 3) AS SMALLINT) AS catid, CAST(p_size + 1827 AS INTEGER) AS dateid, p_name AS eventname,
+  {start} AS starttime, {name} AS venuename, CAST(s.s_nationkey AS VARCHAR) AS venuecity,
+  CASE WHEN s.s_suppkey IS NULL THEN NULL ELSE 'TX' END AS venuestate,
+  CASE WHEN s.s_suppkey IS NULL THEN NULL ELSE CAST(trunc(greatest(s.s_acctbal, 0.0)) AS INTEGER) END AS venueseats,
+  upper(n.n_name) AS catgroup, n.n_name AS catname, 'Nation ' || n.n_name AS catdesc
+FROM part p LEFT JOIN supplier s ON CAST(p.p_size AS SMALLINT) = s.s_suppkey
+LEFT JOIN nation n ON CAST(substr(p.p_brand, 7, 3) AS SMALLINT) = n.n_nationkey WHERE {where}"""
+
+
+EV_ATTRS = ['venueid', 'catid', 'dateid', 'eventname', 'starttime', 'venuename', 'venuecity', 'venuestate', 'venueseats', 'catgroup', 'catname', 'catdesc']
+EV_COLS = ", ".join(EV_ATTRS)
+EV_CHANGED = " OR ".join(f"d.{a} IS DISTINCT FROM s.{a}" for a in EV_ATTRS)
+EV_HIST = f"""WITH e1 AS ({_event_snapshot(False)}), e2 AS ({_event_snapshot(True)}),
+h1 AS (SELECT CAST(row_number() OVER (ORDER BY eventid) AS BIGINT) AS event_key, eventid, {EV_COLS},
+  DATE '{D1}' AS effective_date, DATE '9999-12-31' AS expiry_date, TRUE AS is_current FROM e1),
+c AS (SELECT d.event_key AS d_key, d.eventid AS d_id, s.eventid AS s_id,
+  (d.eventid IS NOT NULL AND s.eventid IS NOT NULL AND ({EV_CHANGED})) AS changed
+  FROM (SELECT * FROM h1 WHERE is_current) d FULL OUTER JOIN e2 s ON d.eventid = s.eventid),
+h2 AS (
+  SELECT * FROM h1 WHERE NOT is_current
+  UNION ALL SELECT h1.* FROM h1 JOIN c ON h1.event_key = c.d_key WHERE NOT c.changed
+  UNION ALL SELECT h1.event_key, h1.eventid, {", ".join("h1." + a for a in EV_ATTRS)}, h1.effective_date,
+    DATE '{D2}', FALSE FROM h1 JOIN c ON h1.event_key = c.d_key WHERE c.changed
+  UNION ALL SELECT (SELECT max(event_key) FROM h1) + CAST(row_number() OVER (ORDER BY e2.eventid) AS BIGINT),
+    e2.eventid, {", ".join("e2." + a for a in EV_ATTRS)}, DATE '{D2}', DATE '9999-12-31', TRUE
+    FROM e2 JOIN c ON e2.eventid = c.s_id WHERE c.d_id IS NULL OR c.changed)
+SELECT * FROM h2"""
+
 RAW_SALES = """raw AS (SELECT CAST(l_orderkey * 10 + l_linenumber AS INTEGER) AS salesid FROM lineitem)"""
 
 ORACLE = {
+    "scd2_event_dim": EV_HIST,
     "clean_event": """WITH v AS (
   SELECT s_suppkey, s_name AS venuename, s_acctbal, 0 AS delivery FROM supplier
   UNION ALL SELECT s_suppkey, s_name || '   (renamed)', s_acctbal, 1 FROM supplier WHERE s_acctbal > 9000),

@@ -491,10 +491,59 @@ def q_stale_epochs(spark, d):
     return ledger.stale_requests(requests, commits).select("batch_id", "fence_epoch")
 
 
-QUERIES = {name[2:]: fn for name, fn in dict(globals()).items() if name.startswith("q_")}
+
 
 
 # ------------------------------------------------- full warehouse load --
+def _event_rows(spark, d, day2: bool = False):
+    """Events from part: venue = p_size, category = brand number, start =
+    2008-01-01 + p_size days at 18:00. Day 2 moves the start of parts
+    priced above 995 by one hour."""
+    p = table(spark, d, "part")
+    start = (F.date_add(F.lit("2008-01-01").cast("date"), F.col("p_size")).cast("timestamp_ntz")
+             + F.expr("INTERVAL 18 HOURS"))
+    if day2:
+        start = F.when(F.col("p_retailprice") > 995, start + F.expr("INTERVAL 1 HOURS")).otherwise(start)
+    return p.select(F.col("p_partkey").alias("eventid"), F.col("p_size").cast("short").alias("venueid"),
+                    F.substring("p_brand", 7, 3).cast("short").alias("catid"),
+                    (F.col("p_size") + 1827).alias("dateid"), F.col("p_name").alias("eventname"),
+                    start.alias("starttime"), "p_size", "p_retailprice")
+
+
+def event_snapshot(spark, d, day2: bool = False):
+    """Denormalised event snapshot (stage.event contract). Day 1 holds parts
+    of size below 50; day 2 holds parts priced from 901 (the cheaper ones
+    stay current), renames high-balance suppliers' venues and moves some
+    start times."""
+    from daymart import contracts
+    from daymart.operators.enrich import enrich_event
+    ev = _event_rows(spark, d, day2)
+    ev = ev.filter(F.col("p_retailprice") >= 901) if day2 else ev.filter(F.col("p_size") < 50)
+    s = table(spark, d, "supplier")
+    name = F.col("s_name")
+    if day2:
+        name = F.when(F.col("s_acctbal") > 9000, F.concat(name, F.lit(" (renamed)"))).otherwise(name)
+    venue = s.select(F.col("s_suppkey").cast("short").alias("venueid"), name.alias("venuename"),
+                     F.col("s_nationkey").cast("string").alias("venuecity"), F.lit("TX").alias("venuestate"),
+                     F.greatest(F.col("s_acctbal"), F.lit(0.0)).cast("int").alias("venueseats"))
+    n = table(spark, d, "nation")
+    cat = n.select(F.col("n_nationkey").cast("short").alias("catid"), F.upper("n_name").alias("catgroup"),
+                   F.col("n_name").alias("catname"), F.concat(F.lit("Nation "), F.col("n_name")).alias("catdesc"))
+    out = enrich_event(ev.drop("p_size", "p_retailprice"), venue, cat)
+    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
+                        for f in contracts.stage_schema("event").fields])
+
+
+def q_scd2_event_dim(spark, d):
+    """Two daily loads of the denormalised event dimension (12 attributes)."""
+    from daymart import contracts
+    s1 = event_snapshot(spark, d)
+    h1 = scd2.scd2_apply(scd2.empty_dim(spark, s1, "event_key"), s1, "eventid", contracts.EVENT_ATTRS,
+                         "event_key", DAY1)
+    return scd2.scd2_apply(h1, event_snapshot(spark, d, day2=True), "eventid", contracts.EVENT_ATTRS,
+                           "event_key", DAY2)
+
+
 def stage_frames(spark, d) -> dict:
     """Six stage frames (stage contracts) derived from the given tables:
     category <- nation, venue <- supplier, users <- customer,
@@ -526,13 +575,7 @@ def stage_frames(spark, d) -> dict:
         F.lower(F.concat(F.col("c_name"), F.lit("@example.invalid"))).alias("email"),
         F.lit("000-000-0000").alias("phone"),
         *[(F.col("c_acctbal") > F.lit(1000.0 * i)).alias(b) for i, b in enumerate(BOOL_COLUMNS)]), "users")
-    p = table(spark, d, "part")
-    ev = p.select(F.col("p_partkey").alias("eventid"), F.col("p_size").cast("short").alias("venueid"),
-                  F.substring("p_brand", 7, 3).cast("short").alias("catid"),
-                  (F.col("p_size") + 1827).alias("dateid"), F.col("p_name").alias("eventname"),
-                  (F.date_add(F.lit("2008-01-01").cast("date"), F.col("p_size")).cast("timestamp_ntz")
-                   + F.expr("INTERVAL 18 HOURS")).alias("starttime"))
-    event = conform(enrich_event(ev, venue, category), "event")
+    event = conform(enrich_event(_event_rows(spark, d), venue, category), "event")
     li = dedup.dedup_latest(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate",
                             tiebreak=["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                                       "l_discount", "l_tax", "l_returnflag", "l_linestatus"])
@@ -572,3 +615,6 @@ def daily_loads(spark, d, root: str) -> list:
     out = [load_batch(spark, wh, first, BatchRequest("day-a", day_a))]
     out.append(load_batch(spark, wh, st, BatchRequest("day-b", day_b)))
     return out
+
+
+QUERIES = {name[2:]: fn for name, fn in dict(globals()).items() if name.startswith("q_")}
