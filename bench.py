@@ -46,17 +46,23 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = get_spark(f"local[{cpus}]", app="daymart-bench", shuffle_partitions=int(cpus) * 2)
     names = sys.argv[1:] or HEADLINE
-    times = {}
+    times, failed = {}, {}
     for name in names:
         # first run warms the JVM (class loading, codegen); the second is timed
-        for _ in range(2):
-            t0 = time.perf_counter()
-            run(spark, name, sf_dir)
-            elapsed = time.perf_counter() - t0
-        times[name] = round(elapsed, 3)
+        try:
+            for _ in range(2):
+                t0 = time.perf_counter()
+                run(spark, name, sf_dir)
+                elapsed = time.perf_counter() - t0
+            times[name] = round(elapsed, 3)
+        except Exception as exc:  # noqa: BLE001 - report, keep benchmarking
+            failed[name] = str(exc)[:200]
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else sf_dir}))
+    out = {"metric": "headline_total", "value": round(sum(times.values()), 3),
+           "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else sf_dir}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
     spark.stop()
 
 
