@@ -1,11 +1,14 @@
 """Arriving batch manifests as a micro-batch stream (file source).
 
 Each manifest names the six Bronze files of one daily batch. The stream
-reads manifests with an explicit schema, one file per trigger, and hands
-every micro-batch to ``foreachBatch``: the manifests are validated as a
-DataFrame (rule columns), ordered by (load_date, batch_id) and loaded one
-after another; the first failure stops the run so a failed date blocks
-later dates. Receipts in the warehouse make re-delivered manifests no-ops,
+reads manifests with an explicit schema and hands every micro-batch to
+``foreachBatch``: the manifests are validated as a DataFrame (rule
+columns), ordered by (load_date, batch_id) and loaded one after another;
+the first failure stops the run so a failed date blocks later dates. By
+default a trigger takes every pending manifest, so the date order holds
+across all of them even when a later day arrives first;
+``max_files_per_trigger`` caps a trigger instead (arrival order between
+triggers). Receipts in the warehouse make re-delivered manifests no-ops,
 and the stream checkpoint records which manifest files were consumed.
 """
 
@@ -30,10 +33,11 @@ def canonical_input_sha(m: DataFrame) -> F.Column:
     return F.sha2(F.to_json(doc), 256)
 
 
-def manifest_stream(spark: SparkSession, inbox: str) -> DataFrame:
-    return (spark.readStream.schema(MANIFEST_SCHEMA).option("multiLine", True)
-            .option("maxFilesPerTrigger", 1).json(inbox)
-            .withColumn("manifest_path", F.col("_metadata.file_path")))
+def manifest_stream(spark: SparkSession, inbox: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    r = spark.readStream.schema(MANIFEST_SCHEMA).option("multiLine", True)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.json(inbox).withColumn("manifest_path", F.col("_metadata.file_path"))
 
 
 def process_manifests(spark: SparkSession, manifests: DataFrame, wh, bronze_root: str,
@@ -59,7 +63,8 @@ def process_manifests(spark: SparkSession, manifests: DataFrame, wh, bronze_root
 
 
 def stream_batches(spark: SparkSession, inbox: str, wh, bronze_root: str, checkpoint: str,
-                   mode: str = "strict", today: str | None = None, available_now: bool = True):
+                   mode: str = "strict", today: str | None = None, available_now: bool = True,
+                   max_files_per_trigger: int | None = None):
     """Consume manifests from ``inbox``; returns the per-batch statuses."""
     log = []
 
@@ -67,7 +72,7 @@ def stream_batches(spark: SparkSession, inbox: str, wh, bronze_root: str, checkp
         if batch_df.take(1):
             log.extend(process_manifests(spark, batch_df, wh, bronze_root, mode, today))
 
-    w = manifest_stream(spark, inbox).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    w = manifest_stream(spark, inbox, max_files_per_trigger).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     q = (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")).start()
     q.awaitTermination()
     return log

@@ -44,3 +44,17 @@ def test_stream_loads_in_order_and_replays_as_noop(spark, tmp_path):
     log = stream_batches(spark, str(inbox), wh, bronze, str(tmp_path / "ckpt"), today="2026-10-31")
     assert sorted(s for _, s in log) == ["duplicate", "duplicate"]
     assert wh.latest()["version"] == 2
+
+
+def test_stream_orders_pending_manifests_by_date(spark, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    data = batches()
+    for name, bid in (("changed", "b-changed"), ("initial", "b-initial")):  # later day arrives first
+        paths = write_batch(os.path.join(bronze, "batches"), bid, data[name])
+        (inbox / f"{bid}.json").write_text(json.dumps(_manifest(bronze, bid, DAYS[name], paths, data[name])))
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    log = stream_batches(spark, str(inbox), wh, bronze, str(tmp_path / "ckpt"), today="2026-10-31")
+    assert log == [("b-initial", "committed"), ("b-changed", "committed")]
+    assert len(wh.dimension("dim_users").collect()) == 3
