@@ -145,12 +145,29 @@ def load_batch(spark: SparkSession, wh: Warehouse, stage: dict, req: BatchReques
             if r["rows"] != req.declared_rows[r["dataset"]]:
                 raise DataContractError(f"{ROW_MISMATCH}: {r['dataset']}")
 
+    cached = []
+
+    def cache(df: DataFrame) -> DataFrame:
+        # reused by guards/resolution and writes; MEMORY_AND_DISK, and lost
+        # blocks recompute from the staged tables
+        cached.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return cached[-1]
+
+    try:
+        return _load_staged(spark, wh, state, stage, req, ld, hot_threshold, trace, cache)
+    finally:
+        for df in cached:
+            df.unpersist()
+
+
+def _load_staged(spark: SparkSession, wh: Warehouse, state: dict, stage: dict, req: BatchRequest,
+                 ld: str, hot_threshold, trace, cache) -> dict:
+    """Dimensions, facts and publication of one staged batch."""
     watermark = wh.watermark(state)
     dims = {n: wh.dimension(f"dim_{n}", state) or _empty_dim(spark, n) for n in DIMS}
     snaps = {n: stage[n].select(*contracts.stage_columns(n)) for n in DIMS}
     key = contracts.KEYS
-    cls = {n: scd2.classify(dims[n], snaps[n], key[n], DIMS[n][1]).persist(StorageLevel.MEMORY_AND_DISK)
-           for n in DIMS}
+    cls = {n: cache(scd2.classify(dims[n], snaps[n], key[n], DIMS[n][1])) for n in DIMS}
     guards = reduce(DataFrame.unionByName, [
         scd2.dimension_guards(dims[n], snaps[n], key[n], DIMS[n][1], ld, watermark, n, cls[n], order=i,
                               processed=ld in state.get("watermark", []))
@@ -197,8 +214,7 @@ def load_batch(spark: SparkSession, wh: Warehouse, stage: dict, req: BatchReques
         existing = wh.table(f"fact_{t}", state)
         existing = existing if existing is not None else spark.createDataFrame([], schema)
         newf = facts.new_facts(stage[t], existing, k)
-        resolved[t] = facts.resolve_roles(newf, ts, roles, hot_threshold=hot_threshold
-                                          ).persist(StorageLevel.MEMORY_AND_DISK)
+        resolved[t] = cache(facts.resolve_roles(newf, ts, roles, hot_threshold=hot_threshold))
         bad[t] = facts.coverage_counts(resolved[t], ts, ld, [r.alias for r in roles]).select(
             F.lit(t).alias("table"), "bad")
         appended[t] = resolved[t].withColumn("load_ts", F.current_timestamp()).select(
@@ -232,10 +248,6 @@ def load_batch(spark: SparkSession, wh: Warehouse, stage: dict, req: BatchReques
     for (kind, name), (path, rows) in paths.items():
         (append if kind == "append" else replace)[name] = path
         affected[name] = rows
-    for n in DIMS:
-        cls[n].unpersist()
-    for t in fact_specs:
-        resolved[t].unpersist()
     trace("write versions")
     version = wh.commit(state, replace, append, schemas, watermark=[ld],
                         receipt=req.receipt() if req.input_sha else None)
