@@ -50,9 +50,10 @@ def hot_keys(fact: DataFrame, col: str, min_rows: int) -> DataFrame:
 
 def hot_role_keys(fact: DataFrame, roles, min_rows: int) -> DataFrame:
     """(role index, key) of every role key with at least ``min_rows`` rows,
-    found in ONE pass: the role key columns are unpivoted and counted with
-    a partial aggregate. Bounded by roles x total_rows / min_rows rows."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("_role"), F.col(r.fact_col).cast("long").alias("_hot"))
+    found in ONE pass: the role key columns are unpivoted (as text, the
+    common type of any key) and counted with a partial aggregate. Bounded
+    by roles x total_rows / min_rows rows."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("_role"), F.col(r.fact_col).cast("string").alias("_hot"))
                                 for i, r in enumerate(roles)])).alias("_p")
     return (fact.select(pairs).groupBy("_p._role", "_p._hot").agg(F.count(F.lit(1)).alias("_n"))
             .filter(F.col("_n") >= min_rows).select("_role", "_hot", F.lit(True).alias("_is_hot")))
@@ -66,10 +67,10 @@ def _salted_role_join(out: DataFrame, hot: DataFrame, r: Role, i: int, ts: str,
     d = F.col(ts).cast("date")
     h = hot.filter(F.col("_role") == i)
     row_hash = F.xxhash64(*[F.col(c) for c in out.columns])
-    o = (out.join(h, F.col(r.fact_col).cast("long") == F.col("_hot"), "left")
+    o = (out.join(h, F.col(r.fact_col).cast("string") == F.col("_hot"), "left")
          .withColumn(f"_salt{i}", F.when(F.col("_is_hot"), F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)))
          .drop("_role", "_hot", "_is_hot", "_n"))
-    v = (r.dim.join(h, F.col(r.natural).cast("long") == F.col("_hot"), "left")
+    v = (r.dim.join(h, F.col(r.natural).cast("string") == F.col("_hot"), "left")
          .select(F.col(r.natural).alias(f"_nk{i}"), F.col(r.surrogate).alias(r.alias),
                  F.col("effective_date").alias(f"_eff{i}"), F.col("expiry_date").alias(f"_exp{i}"),
                  F.explode(F.when(F.col("_is_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))

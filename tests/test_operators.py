@@ -166,3 +166,16 @@ def test_hot_key_split_equals_plain_join(spark):
     split = sorted(tuple(r) for r in facts.resolve_roles(fact, "saletime", role, hot_threshold=500).collect())
     assert plain == split and len(plain) == 3000
     assert facts.hot_keys(fact, "sellerid", 500).collect()[0]["_hot"] == 1
+
+
+def test_hot_key_split_with_text_keys(spark):
+    from daymart.operators import facts
+    fact = spark.createDataFrame([(i, "u1" if i % 4 else "u2", dt.datetime(2026, 10, 29, 12)) for i in range(400)],
+                                 "salesid int, sellerid string, saletime timestamp_ntz")
+    dim = spark.createDataFrame([(1, "u1", dt.date(2026, 10, 1), dt.date(9999, 12, 31), True),
+                                 (2, "u2", dt.date(2026, 10, 1), dt.date(9999, 12, 31), True)],
+                                "user_key long, userid string, effective_date date, expiry_date date, is_current boolean")
+    role = [facts.Role(dim, "userid", "sellerid", "user_key", "seller_key")]
+    out = facts.resolve_roles(fact, "saletime", role, hot_threshold=100, salts=8)
+    assert sorted((r["seller_key"], r["n"]) for r in out.groupBy("seller_key").agg(F.count("*").alias("n")).collect()) \
+        == [(1, 300), (2, 100)]
