@@ -43,12 +43,21 @@ DATE_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 # ---- end of fixed values --------------------------------------------------
 
 
-def file_inventory(spark: SparkSession, paths, glob: str | None = None) -> DataFrame:
-    """(path, bytes, sha256) per file."""
+MAX_FILE_BYTES = 2**31 - 1  # one file's bytes are hashed inside one task
+
+
+def file_inventory(spark: SparkSession, paths, glob: str | None = None,
+                   max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+    """(path, bytes, sha256) per file. Files larger than ``max_bytes`` are
+    rejected up front (a metadata-only pass: the content column is pruned)."""
+    from daymart.errors import DataContractError
     r = spark.read.format("binaryFile")
     if glob:
         r = r.option("pathGlobFilter", glob)
     df = r.load(paths if isinstance(paths, (list, tuple)) else [paths])
+    big = df.select("path", "length").filter(F.col("length") > max_bytes).limit(5).collect()
+    if big:
+        raise DataContractError(f"files too large to hash in one task: {[(b.path, b.length) for b in big]}")
     return df.select(F.col("path"), F.col("length").alias("bytes"),
                      F.sha2(F.col("content"), 256).alias("sha256"))
 

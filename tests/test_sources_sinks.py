@@ -87,3 +87,11 @@ def test_strict_cast_violation_rows(spark, tmp_path):
                                           "priceperticket", "totalprice", "listtime"]))
     got = sorted((r["key"], r["column"]) for r in strict_cast_violations(raw, "listing").collect())
     assert got == [("11", "listtime"), ("11", "priceperticket"), ("11", "sellerid")]
+
+
+def test_inventory_rejects_oversized_files(spark, tmp_path):
+    p = tmp_path / "a.csv"
+    p.write_text("x\n" * 100)
+    with pytest.raises(DataContractError, match="too large"):
+        files.file_inventory(spark, str(p), max_bytes=10)
+    assert files.file_inventory(spark, str(p)).first()["bytes"] == 200
