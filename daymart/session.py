@@ -37,9 +37,18 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in CORE_CONF.items():
         spark.conf.set(key, value)
     checkpoint_dir(spark)
+    share_package(spark)
     return spark
 
 
+def share_package(spark: SparkSession) -> None:
+    """Python workers find this package where the driver did (installed or mounted alike on all nodes)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
