@@ -10,9 +10,9 @@ the threshold with probability below ``miss``.
 * Prefix: of a set's m shared postings, ordered from rare to common, a partner with ``matches`` common ones must
   share one of the first m - matches + 1. Only these meet in the join, so frequent values rarely do.
 
-Groups of copies would meet in pairs. First, equal sets are one set. Then every posting links its members to one
-*leader* each (a member per posting, not per pair), confirmed on full sets; what that links is one class, and only
-postings that still hold several classes are joined, pairs of one class excepted. The links kept there complete the
+Groups of copies would meet in pairs. First, equal sets are one set. Then every posting names one member its
+*leader*, and every set is compared with the leader it shares most postings with, on full sets; what that links is
+one class, and only postings that still hold several classes are joined, pairs of one class excepted. The links kept there complete the
 classes, so no link between different texts is lost, and no group is expanded into all its pairs.
 
 Coordinates of a class of documents that share a long passage are skewed: hot values are late in the rare-first
@@ -35,9 +35,10 @@ from pyspark.sql import functions as F
 
 from daymart.llm.common import arrow_rows, components, lower_words, materialize
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_shingles", pa.int64()),
-                   ("set_key", pa.binary()), ("signature", pa.list_(pa.int64()))])
-SETS = "doc_id long, text string, n_shingles long, set_key binary, signature array<long>"
+_SETS = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64()),
+                   ("signature", pa.list_(pa.int64()))])
+SETS = "doc_id long, n_shingles long, set_id long, signature array<long>"
+BROADCAST = 2_000_000  # rows of two longs
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -56,6 +57,10 @@ def shingle_hashes(text: str | None, words: int) -> np.ndarray:
     return np.unique(mixed ^ mixed >> np.uint64(29))
 
 
+def set_id(hashes: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63)
+
+
 def families(coordinates: int, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(seed)
     return (rng.integers(1, 1 << 62, coordinates, dtype=np.uint64) * np.uint64(2) + np.uint64(1),
@@ -84,8 +89,8 @@ def least_matches(coordinates: int, share: float, miss: float) -> int:
         t += 1
 
 
-def sets_of(docs: DataFrame, words: int, coordinates: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text, n_shingles, set_key, signature) of every row."""
+def sets_of(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
+    """(doc_id, n_shingles, set_id, signature) of every row; empty sets have neither set_id nor signature."""
     a, b = families(coordinates)
 
     def run(found):
@@ -93,32 +98,41 @@ def sets_of(docs: DataFrame, words: int, coordinates: int, id_col: str, text_col
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 h = shingle_hashes(text, words)
-                rows.append((doc, text, len(h), xxhash.xxh3_128_digest(h.tobytes()),
-                             signature(h, a, b).view(np.int64) if len(h) else []))
+                rows.append((doc, len(h), set_id(h) if len(h) else None,
+                             signature(h, a, b).view(np.int64) if len(h) else None))
                 if len(rows) >= 512:
                     yield arrow_rows(rows, _SETS)
                     rows = []
             if rows:
                 yield arrow_rows(rows, _SETS)
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")) \
-        .mapInArrow(run, SETS)
+    return docs.select("doc_id", "text").mapInArrow(run, SETS)
 
 
-def _full_sets(texts: DataFrame, words: int) -> DataFrame:
-    """(set_id, hashes): the whole shingle sets of some sets, from one text of each."""
+def _full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(set_id, hashes): the whole shingle sets of ``wanted`` (set_id, first_id), from the texts that carry that id."""
 
     def run(found):
         for batch in found:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([shingle_hashes(t, words).tobytes() for t in batch.column(1).to_pylist()],
-                                           pa.binary())], names=["set_id", "hashes"])
+            ids, sets = [], []
+            for number, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                h = shingle_hashes(text, words)
+                if len(h) and set_id(h) == number:  # an id may be carried by other texts as well
+                    ids.append(number)
+                    sets.append(h.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())],
+                                             names=["set_id", "hashes"])
 
-    return texts.select("set_id", "text").mapInArrow(run, "set_id long, hashes binary")
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST else wanted
+    return docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["first_id"])).select("set_id", "text") \
+        .mapInArrow(run, "set_id long, hashes binary")
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, own: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets intersect in at least ``percent`` hundredths of their union."""
+    pairs = materialize(pairs, "minhash-pairs")
+    both = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+    sets = _full_sets(docs, materialize(own.select("set_id", "first_id").join(both, "set_id"), "minhash-wanted"), words)
     side = lambda name: sets.select(F.col("set_id").alias(name), F.col("hashes").alias(f"{name}_hashes"))
 
     def run(found):
@@ -139,56 +153,55 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordinates: int = 64, miss: float = 1e-5,
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordinates: int = 40, miss: float = 1e-5,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
     matches = least_matches(coordinates, percent / 100, miss)
-    rows = materialize(sets_of(docs, words, coordinates, id_col, text_col), "minhash-rows")
-    held = rows.where("n_shingles > 0").withColumn("set_id", F.xxhash64("set_key"))
-    own = materialize(held.groupBy("set_id").agg(F.min("doc_id").alias("first_id"),
-                                                 F.first("signature").alias("signature")), "minhash-sets")
+    docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
+    rows = materialize(sets_of(docs, words, coordinates), "minhash-rows")
+    own = materialize(rows.where("set_id is not null").groupBy("set_id").agg(
+        F.min("doc_id").alias("first_id"), F.first("signature").alias("signature")), "minhash-sets")
     posted = own.select("set_id", F.posexplode("signature").alias("coordinate", "value")) \
         .select("set_id", F.xxhash64("coordinate", "value").alias("posting"))
     shared = posted.groupBy("posting").agg(F.count(F.lit(1)).alias("n"), F.min("set_id").alias("leader")).where("n > 1")
-    # skip: shared postings only, and only of sets that have enough of them
-    lists = posted.join(shared, "posting")
-    counted = lists.groupBy("set_id").agg(F.sort_array(F.collect_list(F.struct("n", "posting", "leader"))).alias("p")) \
-        .where(F.size("p") >= matches)
-    # prefix: the rarest of them that a partner must share one of
-    counted = materialize(counted.select("set_id", F.slice("p", 1, F.size("p") - (matches - 1)).alias("p"),
-                                         F.transform("p", lambda x: x["posting"]).alias("postings")),
-                          "minhash-prefixes")
-    texts = held.join(counted.select("set_id"), "set_id", "left_semi").groupBy("set_id").agg(F.first("text").alias("text"))
-    sets = materialize(_full_sets(texts, words), "minhash-full-sets")
-    prefix = counted.select("set_id", F.explode("p").alias("p")) \
-        .select("set_id", F.col("p.posting").alias("posting"))
-    leaders = counted.select("set_id", F.explode("p.leader").alias("leader")).where("leader <> set_id") \
-        .select(F.least("set_id", "leader").alias("a"), F.greatest("set_id", "leader").alias("b")).distinct()
-    links = materialize(_confirm(_enough(leaders, counted, matches), sets, percent), "minhash-leader-links")
+    # skip: shared postings only, and only of sets that have enough of them; rare ones first
+    counted = posted.join(shared, "posting").groupBy("set_id") \
+        .agg(F.sort_array(F.collect_list(F.struct("n", "posting", "leader"))).alias("p")).where(F.size("p") >= matches)
+    # prefix: the rarest postings that a partner must share one of
+    counted = materialize(counted.select(
+        "set_id", F.transform("p", lambda x: x["posting"]).alias("postings"),
+        F.array_distinct(F.transform(F.slice("p", 1, F.size("p") - (matches - 1)), lambda x: x["leader"]))
+        .alias("leaders")), "minhash-postings")
+    # every set against its best leader
+    led = counted.select("set_id", F.explode("leaders").alias("a")).where("a <> set_id") \
+        .select("a", F.col("set_id").alias("b"))
+    led = _enough(led, counted, matches).groupBy("b").agg(F.max(F.struct("n", "a")).alias("m")).select("m.a", "b")
+    links = materialize(_confirm(led, own, docs, words, percent), "minhash-leader-links")
+    # sets of different classes under one posting
     classes = components(links, "minhash-classes").withColumnRenamed("node", "set_id")
+    prefix = counted.select("set_id", F.explode(F.slice("postings", 1, F.size("postings") - (matches - 1))).alias("posting"))
     classed = materialize(prefix.join(classes, "set_id", "left")
                           .select("set_id", "posting", F.coalesce("component", "set_id").alias("class")),
-                          "minhash-postings")
+                          "minhash-prefixes")
     mixed = classed.groupBy("posting").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi")
     open_ = classed.join(mixed.select("posting"), "posting", "left_semi")
     left, right = (open_.select("posting", F.col("set_id").alias(x), F.col("class").alias(f"class_{x}")) for x in "ab")
     pairs = left.join(right, "posting").where("a < b and class_a <> class_b").select("a", "b").distinct()
-    more = _confirm(_enough(pairs, counted, matches), sets, percent)
+    more = _confirm(_enough(pairs, counted, matches).select("a", "b"), own, docs, words, percent)
     found = components(materialize(links.union(more), "minhash-links"), "minhash-components")
     label = materialize(own.select("set_id", "first_id").join(found.withColumnRenamed("node", "set_id"), "set_id", "left")
                         .select("set_id", "first_id", F.coalesce("component", "set_id").alias("class")),
                         "minhash-labels")
     least = label.groupBy("class").agg(F.min("first_id").alias("component_id"))
     by_set = label.join(least, "class").select("set_id", "component_id")
-    out = rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.xxhash64("set_key")).alias("set_id")) \
-        .join(by_set, "set_id", "left")
+    out = rows.select("doc_id", "n_shingles", "set_id").join(by_set, "set_id", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
 def _enough(pairs: DataFrame, counted: DataFrame, matches: int) -> DataFrame:
-    """Pairs with at least ``matches`` postings in common, counted on the whole posting lists."""
+    """(a, b, n): pairs with n >= ``matches`` postings in common, counted on the whole posting lists."""
     side = lambda name: counted.select(F.col("set_id").alias(name), F.col("postings").alias(f"{name}_postings"))
     return pairs.join(side("a"), "a").join(side("b"), "b") \
-        .where(F.size(F.array_intersect("a_postings", "b_postings")) >= matches).select("a", "b")
+        .select("a", "b", F.size(F.array_intersect("a_postings", "b_postings")).alias("n")).where(F.col("n") >= matches)
