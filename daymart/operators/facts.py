@@ -39,71 +39,57 @@ def _role_join(fact: DataFrame, r: Role, i: int, ts: str, how: str) -> DataFrame
 
 
 def hot_keys(fact: DataFrame, col: str, min_rows: int) -> DataFrame:
-    """Keys holding at least ``min_rows`` fact rows (partial aggregate).
+    """(_hot, _salts): keys holding at least ``min_rows`` fact rows and over
+    how many tasks each is spread, so that a task gets about ``min_rows``.
 
-    At most ``total_rows / min_rows`` keys qualify - the proven bound that
-    makes broadcasting them (and replicating their versions) safe.
+    A partial aggregate; at most ``total_rows / min_rows`` keys qualify. The
+    key keeps its type, so it compares with a dimension key as the plain
+    join does.
     """
-    return (fact.groupBy(F.col(col).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") >= min_rows).select("_hot"))
+    return (fact.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("_hot"))
+            .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_rows)
+            .select("_hot", F.ceil(F.col("_n") / F.lit(min_rows)).cast("int").alias("_salts")))
 
 
-def hot_role_keys(fact: DataFrame, roles, min_rows: int) -> DataFrame:
-    """(role index, key) of every role key with at least ``min_rows`` rows,
-    found in ONE pass: the role key columns are unpivoted (as text, the
-    common type of any key) and counted with a partial aggregate. Bounded
-    by roles x total_rows / min_rows rows."""
-    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("_role"), F.col(r.fact_col).cast("string").alias("_hot"))
-                                for i, r in enumerate(roles)])).alias("_p")
-    return (fact.select(pairs).groupBy("_p._role", "_p._hot").agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") >= min_rows).select("_role", "_hot", F.lit(True).alias("_is_hot")))
-
-
-def _salted_role_join(out: DataFrame, hot: DataFrame, r: Role, i: int, ts: str, how: str,
-                      salts: int) -> DataFrame:
+def _salted_role_join(out: DataFrame, hot: DataFrame, r: Role, i: int, ts: str, how: str) -> DataFrame:
     """One equi+interval join on (natural key, salt). Rows of hot keys get a
-    salt in [0, salts) from a hash of the row; the hot keys' versions are
-    replicated once per salt, cold keys keep salt 0 and are not replicated."""
+    salt below the key's number of salts from a hash of the row; the hot
+    keys' versions are replicated once per salt, cold keys keep salt 0 and
+    are not replicated. The hot set carries no hint: its measured size decides
+    how it is joined."""
     d = F.col(ts).cast("date")
-    h = hot.filter(F.col("_role") == i)
     row_hash = F.xxhash64(*[F.col(c) for c in out.columns])
-    o = (out.join(h, F.col(r.fact_col).cast("string") == F.col("_hot"), "left")
-         .withColumn(f"_salt{i}", F.when(F.col("_is_hot"), F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)))
-         .drop("_role", "_hot", "_is_hot", "_n"))
-    v = (r.dim.join(h, F.col(r.natural).cast("string") == F.col("_hot"), "left")
+    o = (out.join(hot, F.col(r.fact_col) == F.col("_hot"), "left")
+         .withColumn(f"_salt{i}", F.coalesce(F.pmod(row_hash, F.col("_salts")), F.lit(0)))
+         .drop("_hot", "_salts"))
+    v = (r.dim.join(hot, F.col(r.natural) == F.col("_hot"), "left")
          .select(F.col(r.natural).alias(f"_nk{i}"), F.col(r.surrogate).alias(r.alias),
                  F.col("effective_date").alias(f"_eff{i}"), F.col("expiry_date").alias(f"_exp{i}"),
-                 F.explode(F.when(F.col("_is_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                           .otherwise(F.array(F.lit(0)))).alias(f"_vs{i}")))
+                 F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)).alias(f"_vs{i}")))
     cond = ((F.col(r.fact_col) == F.col(f"_nk{i}")) & (F.col(f"_salt{i}") == F.col(f"_vs{i}"))
             & (F.col(f"_eff{i}") <= d) & (d < F.col(f"_exp{i}")))
     return o.join(v, cond, how).drop(f"_nk{i}", f"_eff{i}", f"_exp{i}", f"_salt{i}", f"_vs{i}")
 
 
 def resolve_roles(fact: DataFrame, ts: str, roles, how: str = "left",
-                  hot_threshold: int | None = None, salts: int = 32) -> DataFrame:
+                  hot_threshold: int | None = None) -> DataFrame:
     """Add one surrogate column per role; NULL when no version covers ts.
 
-    ``hot_threshold``: keys with at least that many fact rows are salted
-    over ``salts`` partitions (their versions replicated per salt, a
-    bounded set: #hot keys x versions x salts), so a key holding a third of
-    all facts never lands in one task. Hot keys of all roles are found in
-    one partial-aggregate pass and broadcast (bounded by the threshold).
-    Without a threshold, AQE's skew-join splitting handles oversized
-    partitions at runtime.
+    ``hot_threshold``: keys with at least that many fact rows are spread over
+    ceil(rows / threshold) tasks (their versions replicated as often), so a
+    key holding a third of all facts never lands in one task. The hot keys of
+    a role are counted with one partial aggregate and written, as both join
+    sides read them. Without a threshold, AQE's skew-join splitting handles
+    oversized partitions at runtime.
     """
     out = fact
-    hot = None
-    if hot_threshold is not None:
-        # computed once and written (it is referenced by every role on both
-        # join sides); small by construction, so the broadcast is bounded
-        from daymart.sinks.materialize import materialize
-        hot = F.broadcast(materialize(hot_role_keys(fact, roles, hot_threshold), "hot_keys"))
     for i, r in enumerate(roles):
-        if hot is None:
+        if hot_threshold is None:
             out = _role_join(out, r, i, ts, how)
         else:
-            out = _salted_role_join(out, hot, r, i, ts, how, salts)
+            from daymart.sinks.materialize import materialize
+            hot = materialize(hot_keys(fact, r.fact_col, hot_threshold), "hot_keys")
+            out = _salted_role_join(out, hot, r, i, ts, how)
     return out
 
 

@@ -241,10 +241,11 @@ SELECT 'fact_sales' AS "table", "column", n FROM c WHERE n > 0""",
                       "s AS (SELECT event_key AS eventid, count(DISTINCT salesid) AS total_sales, "
                       "CAST(sum(qtysold) AS BIGINT) AS tickets_sold, CAST(sum(pricepaid) AS DECIMAL(18,2)) AS total_revenue "
                       "FROM lsales WHERE l_linestatus = 'F' GROUP BY 1) "
-                      "SELECT l.eventid, l.listings, l.tickets_listed, coalesce(s.total_sales, 0) AS total_sales, "
+                      "SELECT coalesce(l.eventid, s.eventid) AS eventid, coalesce(l.listings, 0) AS listings, "
+                      "coalesce(l.tickets_listed, 0) AS tickets_listed, coalesce(s.total_sales, 0) AS total_sales, "
                       "coalesce(s.tickets_sold, 0) AS tickets_sold, "
                       "coalesce(s.total_revenue, CAST(0 AS DECIMAL(18,2))) AS total_revenue "
-                      "FROM l LEFT JOIN s ON l.eventid = s.eventid",
+                      "FROM l FULL JOIN s ON l.eventid = s.eventid",
     "denormalise_star": "SELECT l.*, p.p_name, p.p_brand, s.s_name FROM lineitem l "
                         "LEFT JOIN part p ON l.l_partkey = p.p_partkey LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey",
     "dedup_latest": "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, "

@@ -98,7 +98,8 @@ def top_buyers(sales: DataFrame, users: DataFrame, n: int, userid: str = "userid
 
 def listed_vs_sold(listing: DataFrame, sales: DataFrame) -> DataFrame:
     """Per event: tickets listed vs tickets sold (two pre-aggregates joined
-    on the event key - each side is reduced before the join shuffle)."""
+    on the event key - each side is reduced before the join shuffle). Events
+    on one side only keep zeros for the other."""
     lst = listing.groupBy("eventid").agg(
         F.count_distinct("listid").alias("listings"),
         F.sum(F.col("numtickets").cast("long")).alias("tickets_listed"))
@@ -106,8 +107,9 @@ def listed_vs_sold(listing: DataFrame, sales: DataFrame) -> DataFrame:
         F.count_distinct("salesid").alias("total_sales"),
         F.sum(F.col("qtysold").cast("long")).alias("tickets_sold"),
         F.sum("pricepaid").cast(SUM_DEC).alias("total_revenue"))
-    return (lst.join(sold, "eventid", "left")
-            .select("eventid", "listings", "tickets_listed",
+    return (lst.join(sold, "eventid", "full")
+            .select("eventid", F.coalesce("listings", F.lit(0)).alias("listings"),
+                    F.coalesce("tickets_listed", F.lit(0)).alias("tickets_listed"),
                     F.coalesce("total_sales", F.lit(0)).alias("total_sales"),
                     F.coalesce("tickets_sold", F.lit(0)).alias("tickets_sold"),
                     F.coalesce("total_revenue", F.lit(0).cast(SUM_DEC)).alias("total_revenue")))

@@ -2,14 +2,14 @@
 
 Layout under ``root``::
 
-    tables/<table>/v=<batch>-a<attempt>/part-*.parquet   written once
-    _commits/<n>.json                                    created exclusively
+    tables/<table>/v=<batch>-a<attempt>-<run>/part-*.parquet   written once
+    _commits/<n>.json                                          renamed into place, once
 
 A commit lists, per table, the live version directories plus the
 watermark (processed load dates) and batch receipts. Readers resolve the
 highest commit. Everything is written first and checked; only then is the
-next commit file created with an exclusive create (Hadoop ``create`` with
-overwrite=false: one winner if two writers race). A failure before that
+next commit file written under a draft name and renamed without overwrite
+(one winner if two writers race). A failure before that
 step leaves the previous commit live - nothing partial is ever visible.
 
 Dimension history is split into ``<dim>_closed`` (append-only directories)
@@ -20,7 +20,9 @@ current rows. Facts are append-only directories.
 from __future__ import annotations
 
 import json
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,16 +67,26 @@ class Warehouse:
         return json.loads("\n".join(lines))
 
     def _create_exclusive(self, version: int, doc: dict) -> None:
+        """The commit appears whole or not at all: it is written under a name
+        of its own and renamed, which fails if the version already exists."""
         self._fs.mkdirs(self._commit_dir())
         path = self._Path(f"{self.root}/_commits/{version}.json")
-        try:
-            out = self._fs.create(path, False)  # overwrite=false: exclusive
-        except Exception as exc:  # FileAlreadyExistsException via py4j
-            raise ConcurrentCommitError(f"commit {version} already exists") from exc
+        draft = self._Path(f"{self.root}/_commits/.{version}-{uuid.uuid4().hex}.tmp")
+        out = self._fs.create(draft, False)
         try:
             out.write(bytearray(json.dumps(doc, sort_keys=True, indent=1).encode("utf-8")))
         finally:
             out.close()
+        jvm, sc = self.spark._jvm, self.spark.sparkContext
+        options = sc._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self._conf)
+        try:
+            files.rename(self._fs.makeQualified(draft), self._fs.makeQualified(path), options)
+        except Py4JJavaError as exc:
+            self._fs.delete(draft, False)
+            if "FileAlreadyExistsException" in exc.java_exception.getClass().getName():
+                raise ConcurrentCommitError(f"commit {version} already exists") from exc
+            raise
 
     # ------------------------------------------------------------- reads --
     def table(self, name: str, state: dict | None = None) -> DataFrame | None:
@@ -101,7 +113,7 @@ class Warehouse:
         """Write-once directory for one table version -> (path, rows written).
         The row count is observed during the write (no extra job)."""
         from pyspark.sql import Observation
-        path = f"{self.root}/tables/{name}/v={tag}"
+        path = f"{self.root}/tables/{name}/v={tag}-{uuid.uuid4().hex[:12]}"  # a retry never meets a failed attempt
         obs = Observation(f"{name}-{tag}")
         out = df.sortWithinPartitions(*sort_cols) if sort_cols else df
         out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists") \

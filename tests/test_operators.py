@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daymart.functions.columns import load_date_rules, parse_timestamp
-from daymart.operators import audit, calendar, clean, dedup, keys, scd2
+from daymart.operators import audit, calendar, clean, dedup, facts, keys, scd2
 
 
 def _raw(spark, rows, cols):
@@ -154,7 +154,6 @@ def test_audits(spark):
 
 
 def test_hot_key_split_equals_plain_join(spark):
-    from daymart.operators import facts
     # seller 1 holds most of the facts
     rows = [(i, 1 if i % 3 else (i % 50) + 2, dt.datetime(2026, 10, 29 + (i % 3), 12)) for i in range(3000)]
     fact = spark.createDataFrame(rows, "salesid int, sellerid int, saletime timestamp_ntz")
@@ -169,13 +168,46 @@ def test_hot_key_split_equals_plain_join(spark):
 
 
 def test_hot_key_split_with_text_keys(spark):
-    from daymart.operators import facts
     fact = spark.createDataFrame([(i, "u1" if i % 4 else "u2", dt.datetime(2026, 10, 29, 12)) for i in range(400)],
                                  "salesid int, sellerid string, saletime timestamp_ntz")
     dim = spark.createDataFrame([(1, "u1", dt.date(2026, 10, 1), dt.date(9999, 12, 31), True),
                                  (2, "u2", dt.date(2026, 10, 1), dt.date(9999, 12, 31), True)],
                                 "user_key long, userid string, effective_date date, expiry_date date, is_current boolean")
     role = [facts.Role(dim, "userid", "sellerid", "user_key", "seller_key")]
-    out = facts.resolve_roles(fact, "saletime", role, hot_threshold=100, salts=8)
+    out = facts.resolve_roles(fact, "saletime", role, hot_threshold=100)
     assert sorted((r["seller_key"], r["n"]) for r in out.groupBy("seller_key").agg(F.count("*").alias("n")).collect()) \
         == [(1, 300), (2, 100)]
+
+
+def test_hot_keys_of_another_type_keep_their_rows(spark):
+    import datetime as dt
+    fact = spark.createDataFrame([(i, 1.0 if i % 3 else float(i), dt.datetime(2026, 1, 2)) for i in range(1, 400)],
+                                 "salesid int, sellerid double, saletime timestamp")
+    dim = spark.createDataFrame([(k, k + 1000, dt.date(2026, 1, 1), dt.date(9999, 12, 31)) for k in range(1, 400)],
+                                "userid int, user_key int, effective_date date, expiry_date date")
+    role = [facts.Role(dim, "userid", "sellerid", "user_key", "seller_key")]
+    plain = facts.resolve_roles(fact, "saletime", role, how="inner").orderBy("salesid").collect()
+    salted = facts.resolve_roles(fact, "saletime", role, how="inner", hot_threshold=50).orderBy("salesid").collect()
+    assert len(plain) == 399 and plain == salted
+
+
+def test_sold_event_without_listing_is_reported(spark):
+    from daymart.plans import views
+    listing = spark.createDataFrame([(1, 1, 2)], "eventid int, listid int, numtickets int")
+    sales = spark.createDataFrame([(2, 9, 3, 5.0)], "eventid int, salesid int, qtysold int, pricepaid double") \
+        .selectExpr("eventid", "salesid", "qtysold", "cast(pricepaid as decimal(18,2)) as pricepaid")
+    got = {r.eventid: (r.listings, r.tickets_listed, r.total_sales, r.tickets_sold)
+           for r in views.listed_vs_sold(listing, sales).collect()}
+    assert got == {1: (1, 2, 0, 0), 2: (0, 0, 1, 3)}
+
+
+def test_commit_appears_whole_and_once(spark, tmp_path):
+    from daymart.sinks.publish import ConcurrentCommitError, Warehouse
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    empty = wh.latest()
+    assert wh.commit(empty, {}, {}, {}) == 1
+    with pytest.raises(ConcurrentCommitError):
+        wh.commit(empty, {}, {}, {})
+    assert sorted(p.name for p in (tmp_path / "wh" / "_commits").iterdir() if p.name.endswith((".json", ".tmp"))) == ["1.json"]
+    paths = [wh.write_version("t", spark.range(3), "b-a1")[0] for _ in range(2)]  # the same attempt, tried again
+    assert paths[0] != paths[1] and spark.read.parquet(paths[1]).count() == 3
