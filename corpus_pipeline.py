@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daymart.llm import decontaminate, minhash_join, packing, toxicity
 from daymart.llm.common import checkpoint_dir, table
@@ -21,10 +22,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays (five-word shingles, similarity 0.8): its smallest id;
-    rows that repeat an id stay once. Documents without words belong to no group and stay."""
+    documents without an id count as larger than all ids. Rows equal in id and text stay once; different texts under
+    one id are kept or dropped together. Documents without words belong to no group and stay."""
     settle(spark)
-    kept = minhash_join.near_duplicates(docs, words=5).where("kept").select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(kept, "doc_id", "left_semi").select(*[f"`{c}`" for c in docs.columns])
+    no_id = F.shiftrightunsigned(F.xxhash64(docs["text"]), 2).bitwiseOR(F.lit(1 << 62))
+    named = docs.withColumns({"_id": F.coalesce(docs["doc_id"].cast("long"), no_id), "_text": F.xxhash64(docs["text"])})
+    kept = minhash_join.near_duplicates(named, words=5, id_col="_id").where("kept").select(F.col("doc_id").alias("_id"))
+    return named.dropDuplicates(["_id", "_text"]).join(kept.distinct(), "_id", "left_semi") \
+        .select(*[f"`{c}`" for c in docs.columns])
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
