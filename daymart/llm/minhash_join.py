@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymart.llm.common import arrow_rows, components, lower_words, materialize
+from daymart.llm.common import components, lower_words, materialize
 
 _SETS = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64()),
                    ("signature", pa.list_(pa.int64()))])
@@ -67,18 +67,25 @@ def families(coordinates: int, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
             rng.integers(0, 1 << 63, coordinates, dtype=np.uint64))
 
 
-def signature(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, block: int = 4096) -> np.ndarray:
-    """Least value of every hash family over a set; a few thousand shingles at a time."""
+def signature(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, block: int = 512) -> np.ndarray:
+    """Least value of every hash family over a set; a few hundred shingles at a time, all families at once."""
     low = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(hashes), block):
-        h = hashes[at:at + block]
-        for k in range(len(a)):
-            v = (h * a[k] + b[k]).min()
-            if v < low[k]:
-                low[k] = v
+        grid = np.multiply.outer(a, hashes[at:at + block])
+        grid += b[:, None]
+        np.minimum(low, grid.min(axis=1), out=low)
     return low
 
 
+def _signed(signatures: list[np.ndarray | None]) -> pa.ListArray:
+    """Signatures (None for empty sets) as a list column, without a Python object per value."""
+    there = np.array([s is not None for s in signatures], bool)
+    ends = np.cumsum([0] + [0 if s is None else len(s) for s in signatures]).astype(np.int32)
+    values = [s.view(np.int64) for s in signatures if s is not None]
+    return pa.ListArray.from_arrays(pa.array(ends, mask=np.append(~there, False)),
+                                    pa.array(np.concatenate(values) if values else np.empty(0, np.int64)))
+
+
 def least_matches(coordinates: int, share: float, miss: float) -> int:
     """Largest count t for which fewer than t agreements of ``coordinates`` have probability < ``miss``."""
     total, t = 0.0, 0
@@ -95,16 +102,16 @@ def sets_of(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
 
     def run(found):
         for batch in found:
-            rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                h = shingle_hashes(text, words)
-                rows.append((doc, len(h), set_id(h) if len(h) else None,
-                             signature(h, a, b).view(np.int64) if len(h) else None))
-                if len(rows) >= 512:
-                    yield arrow_rows(rows, _SETS)
-                    rows = []
-            if rows:
-                yield arrow_rows(rows, _SETS)
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                sizes, numbers, signatures = [], [], []
+                for text in part.column(1).to_pylist():
+                    h = shingle_hashes(text, words)
+                    sizes.append(len(h))
+                    numbers.append(set_id(h) if len(h) else None)
+                    signatures.append(signature(h, a, b) if len(h) else None)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()),
+                                                  pa.array(numbers, pa.int64()), _signed(signatures)], schema=_SETS)
 
     return docs.select("doc_id", "text").mapInArrow(run, SETS)
 
