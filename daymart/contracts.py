@@ -2,7 +2,9 @@
 
 Column names, order and types of the six stage datasets and the warehouse
 tables are fixed values of the data model (they must equal the source
-system's stage DDL for files to load positionally).
+system's stage DDL for files to load positionally). Identifiers alone are
+wider than there (long instead of 16 or 32 bits), so that no key is lost when
+tables grow.
 """
 
 from __future__ import annotations
@@ -21,30 +23,30 @@ BOOL_COLUMNS = (
 )
 
 _STAGE = {
-    "category": [("catid", T.ShortType()), ("catgroup", T.StringType()),
+    "category": [("catid", T.LongType()), ("catgroup", T.StringType()),
                  ("catname", T.StringType()), ("catdesc", T.StringType())],
-    "venue": [("venueid", T.ShortType()), ("venuename", T.StringType()),
+    "venue": [("venueid", T.LongType()), ("venuename", T.StringType()),
               ("venuecity", T.StringType()), ("venuestate", T.StringType()),
               ("venueseats", T.IntegerType())],
-    "users": [("userid", T.IntegerType()), ("username", T.StringType()),
+    "users": [("userid", T.LongType()), ("username", T.StringType()),
               ("firstname", T.StringType()), ("lastname", T.StringType()),
               ("city", T.StringType()), ("state", T.StringType()),
               ("email", T.StringType()), ("phone", T.StringType())]
              + [(c, T.BooleanType()) for c in BOOL_COLUMNS],
-    "event": [("eventid", T.IntegerType()), ("venueid", T.ShortType()),
-              ("catid", T.ShortType()), ("dateid", T.IntegerType()),
+    "event": [("eventid", T.LongType()), ("venueid", T.LongType()),
+              ("catid", T.LongType()), ("dateid", T.IntegerType()),
               ("eventname", T.StringType()), ("starttime", TS),
               ("venuename", T.StringType()), ("venuecity", T.StringType()),
               ("venuestate", T.StringType()), ("venueseats", T.IntegerType()),
               ("catgroup", T.StringType()), ("catname", T.StringType()),
               ("catdesc", T.StringType())],
-    "listing": [("listid", T.IntegerType()), ("sellerid", T.IntegerType()),
-                ("eventid", T.IntegerType()), ("dateid", T.IntegerType()),
+    "listing": [("listid", T.LongType()), ("sellerid", T.LongType()),
+                ("eventid", T.LongType()), ("dateid", T.IntegerType()),
                 ("numtickets", T.ShortType()), ("priceperticket", DEC),
                 ("totalprice", DEC), ("listtime", TS)],
-    "sales": [("salesid", T.IntegerType()), ("listid", T.IntegerType()),
-              ("sellerid", T.IntegerType()), ("buyerid", T.IntegerType()),
-              ("eventid", T.IntegerType()), ("dateid", T.IntegerType()),
+    "sales": [("salesid", T.LongType()), ("listid", T.LongType()),
+              ("sellerid", T.LongType()), ("buyerid", T.LongType()),
+              ("eventid", T.LongType()), ("dateid", T.IntegerType()),
               ("qtysold", T.ShortType()), ("pricepaid", DEC),
               ("commission", DEC), ("saletime", TS)],
 }
@@ -94,13 +96,13 @@ def dim_schema(name: str) -> T.StructType:
 
 
 FACT_SALES = T.StructType([
-    T.StructField("salesid", T.IntegerType(), False),
+    T.StructField("salesid", T.LongType(), False),
     T.StructField("event_key", T.LongType(), False),
     T.StructField("seller_key", T.LongType(), False),
     T.StructField("buyer_key", T.LongType(), False),
     T.StructField("dateid", T.IntegerType(), False),
-    T.StructField("eventid", T.IntegerType(), False),
-    T.StructField("listid", T.IntegerType(), True),
+    T.StructField("eventid", T.LongType(), False),
+    T.StructField("listid", T.LongType(), True),
     T.StructField("qtysold", T.ShortType(), True),
     T.StructField("pricepaid", DEC, True),
     T.StructField("commission", DEC, True),
@@ -109,11 +111,11 @@ FACT_SALES = T.StructType([
 ])
 
 FACT_LISTING = T.StructType([
-    T.StructField("listid", T.IntegerType(), False),
+    T.StructField("listid", T.LongType(), False),
     T.StructField("event_key", T.LongType(), False),
     T.StructField("seller_key", T.LongType(), False),
     T.StructField("dateid", T.IntegerType(), False),
-    T.StructField("eventid", T.IntegerType(), False),
+    T.StructField("eventid", T.LongType(), False),
     T.StructField("numtickets", T.ShortType(), True),
     T.StructField("priceperticket", DEC, True),
     T.StructField("totalprice", DEC, True),

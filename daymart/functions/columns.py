@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column
@@ -64,10 +65,13 @@ def lenient_number(c) -> Column:
 
 
 def lenient_int(c, kind: str = "int") -> Column:
-    """Lenient key: trimmed number truncated toward zero; out of range -> NULL."""
+    """Lenient key: trimmed number truncated toward zero; out of range -> NULL.
+
+    Decimal, not double: keys above 2**53 keep every digit.
+    """
     lo, hi = INT_RANGES[kind]
-    d = lenient_number(c)
-    t = F.when((d > F.lit(float(lo) - 1.0)) & (d < F.lit(float(hi) + 1.0)), d)
+    d = strip(c).try_cast(T.DecimalType(38, 15))
+    t = F.when((d > F.lit(Decimal(lo - 1))) & (d < F.lit(Decimal(hi + 1))), d)
     return t.cast("long").cast(kind)
 
 

@@ -26,7 +26,7 @@ def _finish(df: DataFrame, name: str) -> DataFrame:
 
 
 def clean_category(raw: DataFrame) -> DataFrame:
-    df = raw.select(lenient_int("catid", "short").alias("catid"),
+    df = raw.select(lenient_int("catid", "long").alias("catid"),
                     F.upper(strip("catgroup")).alias("catgroup"),
                     strip("catname").alias("catname"), strip("catdesc").alias("catdesc"), "_pos")
     df = df.filter(F.col("catid").isNotNull())
@@ -35,7 +35,7 @@ def clean_category(raw: DataFrame) -> DataFrame:
 
 def clean_venue(raw: DataFrame) -> DataFrame:
     """Venue: invalid or missing state -> '' (unlike the event path)."""
-    df = raw.select(lenient_int("venueid", "short").alias("venueid"),
+    df = raw.select(lenient_int("venueid", "long").alias("venueid"),
                     strip("venuename").alias("venuename"), strip("venuecity").alias("venuecity"),
                     state_code("venuestate", invalid="").alias("venuestate"),
                     seats("venueseats").alias("venueseats"), "_pos")
@@ -44,7 +44,7 @@ def clean_venue(raw: DataFrame) -> DataFrame:
 
 
 def clean_users(raw: DataFrame) -> DataFrame:
-    cols = [lenient_int("userid", "int").alias("userid")]
+    cols = [lenient_int("userid", "long").alias("userid")]
     cols += [strip(c).alias(c) for c in ("username", "firstname", "lastname", "city")]
     cols += [state_code("state").alias("state"), F.lower(strip("email")).alias("email"),
              strip("phone").alias("phone")]
@@ -65,21 +65,21 @@ def clean_event(event_raw: DataFrame, venue_raw: DataFrame, category_raw: DataFr
 
     nullable = (lambda c, k: _strict_nullable(c, k)) if mode == "strict" else lenient_int
     ev = event_raw.select(
-        lenient_int("eventid", "int").alias("eventid"),
-        nullable("venueid", "short").alias("venueid"),
-        nullable("catid", "short").alias("catid"),
+        lenient_int("eventid", "long").alias("eventid"),
+        nullable("venueid", "long").alias("venueid"),
+        nullable("catid", "long").alias("catid"),
         nullable("dateid", "int").alias("dateid"),
         strip("eventname").alias("eventname"),
         parse_timestamp("starttime").alias("starttime"), "_pos",
     ).filter(F.col("eventid").isNotNull())
     venue = (venue_raw.filter(F.col("venueid").isNotNull() & (strip("venueid") != ""))
-             .select(_lookup_key("venueid", "short", mode).alias("venueid"),
+             .select(_lookup_key("venueid", "long", mode).alias("venueid"),
                      strip("venuename").alias("venuename"), strip("venuecity").alias("venuecity"),
                      state_code("venuestate").alias("venuestate"),
                      seats("venueseats").alias("venueseats"), "_pos")
              .filter(F.col("venueid").isNotNull()))
     cat = (category_raw.filter(F.col("catid").isNotNull() & (strip("catid") != ""))
-           .select(_lookup_key("catid", "short", mode).alias("catid"),
+           .select(_lookup_key("catid", "long", mode).alias("catid"),
                    F.upper(strip("catgroup")).alias("catgroup"),
                    strip("catname").alias("catname"), strip("catdesc").alias("catdesc"), "_pos")
            .filter(F.col("catid").isNotNull()))

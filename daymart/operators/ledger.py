@@ -78,14 +78,16 @@ def run_pending(ledger: DataFrame, n: int, process) -> list:
 def lineage_violations(descriptors: DataFrame, prefix: str, batch_id: str) -> DataFrame:
     """Output lineage rules over descriptor rows (dataset, path, bytes,
     sha256, rows): every object under the attempt prefix, no object listed
-    twice, hashes well-formed, sizes and row counts non-negative, all six
+    twice, no step upwards and only Parquet files, hashes well-formed, sizes
+positive, row counts non-negative, all six
     datasets present."""
     from daymart import contracts
     checks = [
         ("outside_prefix", ~F.col("path").startswith(prefix)),
         ("wrong_batch", ~F.col("path").contains(f"batch={batch_id}")),
+        ("path", F.coalesce(F.col("path").rlike(r"(^|/)\.\.(/|$)") | ~F.col("path").endswith(".parquet"), F.lit(True))),
         ("sha256", ~F.coalesce(F.col("sha256").rlike(r"^[a-f0-9]{64}$"), F.lit(False))),
-        ("size", F.coalesce(F.col("bytes") < 0, F.lit(True)) | F.coalesce(F.col("rows") < 0, F.lit(True))),
+        ("size", F.coalesce(F.col("bytes") <= 0, F.lit(True)) | F.coalesce(F.col("rows") < 0, F.lit(True))),
     ]
     per_row = descriptors.select(
         "dataset", "path",

@@ -38,6 +38,8 @@ h2 AS (
   SELECT (SELECT max(user_key) FROM h1) + CAST(row_number() OVER (ORDER BY s_id) AS BIGINT),
          s_id, s_name, s_nation, s_seg, DATE '{D2}', DATE '9999-12-31', TRUE
     FROM cls WHERE s_id IS NOT NULL AND (d_id IS NULL OR changed))"""
+SNAP_ALL = "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer"
+HIST_ALL = f"WITH snap1 AS ({SNAP_ALL}), snap2 AS ({SNAP2}), h1 AS ({H1}), {H2}"
 HIST = f"WITH snap1 AS ({SNAP1}), snap2 AS ({SNAP2}), h1 AS ({H1}), {H2}"
 SALES = ("sales AS (SELECT o_orderkey AS salesid, o_custkey AS buyerid, "
          "(o_custkey + 1) % (SELECT count(*) FROM customer) AS sellerid, "
@@ -150,14 +152,14 @@ def _event_snapshot(day2: bool) -> str:
         start = f"CASE WHEN p_retailprice > 995 THEN {start} + INTERVAL 1 HOUR ELSE {start} END"
     name = "CASE WHEN s.s_acctbal > 9000 THEN s.s_name || ' (renamed)' ELSE s.s_name END" if day2 else "s.s_name"
     where = "p_retailprice >= 901" if day2 else "p_size < 50"
-    return f"""SELECT CAST(p_partkey AS INTEGER) AS eventid, CAST(p_size AS SMALLINT) AS venueid,
-  CAST(substr(p_brand, 7, 3) AS SMALLINT) AS catid, CAST(p_size + 1827 AS INTEGER) AS dateid, p_name AS eventname,
+    return f"""SELECT CAST(p_partkey AS BIGINT) AS eventid, CAST(p_size AS BIGINT) AS venueid,
+  CAST(substr(p_brand, 7, 3) AS BIGINT) AS catid, CAST(p_size + 1827 AS INTEGER) AS dateid, p_name AS eventname,
   {start} AS starttime, {name} AS venuename, CAST(s.s_nationkey AS VARCHAR) AS venuecity,
   CASE WHEN s.s_suppkey IS NULL THEN NULL ELSE 'TX' END AS venuestate,
   CASE WHEN s.s_suppkey IS NULL THEN NULL ELSE CAST(trunc(greatest(s.s_acctbal, 0.0)) AS INTEGER) END AS venueseats,
   upper(n.n_name) AS catgroup, n.n_name AS catname, 'Nation ' || n.n_name AS catdesc
-FROM part p LEFT JOIN supplier s ON CAST(p.p_size AS SMALLINT) = s.s_suppkey
-LEFT JOIN nation n ON CAST(substr(p.p_brand, 7, 3) AS SMALLINT) = n.n_nationkey WHERE {where}"""
+FROM part p LEFT JOIN supplier s ON CAST(p.p_size AS BIGINT) = s.s_suppkey
+LEFT JOIN nation n ON CAST(substr(p.p_brand, 7, 3) AS BIGINT) = n.n_nationkey WHERE {where}"""
 
 
 EV_ATTRS = ['venueid', 'catid', 'dateid', 'eventname', 'starttime', 'venuename', 'venuecity', 'venuestate', 'venueseats', 'catgroup', 'catname', 'catdesc']
@@ -179,21 +181,21 @@ h2 AS (
     FROM e2 JOIN c ON e2.eventid = c.s_id WHERE c.d_id IS NULL OR c.changed)
 SELECT * FROM h2"""
 
-RAW_SALES = """raw AS (SELECT CAST(l_orderkey * 10 + l_linenumber AS INTEGER) AS salesid FROM lineitem)"""
+RAW_SALES = """raw AS (SELECT CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS salesid FROM lineitem)"""
 
 ORACLE = {
     "scd2_event_dim": EV_HIST,
     "clean_event": """WITH v AS (
   SELECT s_suppkey, s_name AS venuename, s_acctbal, 0 AS delivery FROM supplier
   UNION ALL SELECT s_suppkey, s_name || '   (renamed)', s_acctbal, 1 FROM supplier WHERE s_acctbal > 9000),
-venue AS (SELECT CAST(s_suppkey AS SMALLINT) AS venueid, venuename, 'Metropolis' AS venuecity,
+venue AS (SELECT CAST(s_suppkey AS BIGINT) AS venueid, venuename, 'Metropolis' AS venuecity,
     CASE WHEN s_acctbal > 5000 THEN 'TX' END AS venuestate,
     CASE WHEN s_acctbal < 0 THEN 0 ELSE CAST(trunc(s_acctbal) AS INTEGER) END AS venueseats
   FROM (SELECT *, row_number() OVER (PARTITION BY s_suppkey ORDER BY delivery DESC) AS rn FROM v) WHERE rn = 1),
-cat AS (SELECT CAST(n_nationkey AS SMALLINT) AS catid, upper(n_name) AS catgroup, n_name AS catname,
+cat AS (SELECT CAST(n_nationkey AS BIGINT) AS catid, upper(n_name) AS catgroup, n_name AS catname,
     'Nation ' || n_name AS catdesc FROM nation),
-ev AS (SELECT CAST(p_partkey AS INTEGER) AS eventid, CAST(p_size AS SMALLINT) AS venueid,
-    CASE WHEN p_retailprice > 990 THEN NULL ELSE CAST(substr(p_brand, 7, 3) AS SMALLINT) END AS catid,
+ev AS (SELECT CAST(p_partkey AS BIGINT) AS eventid, CAST(p_size AS BIGINT) AS venueid,
+    CASE WHEN p_retailprice > 990 THEN NULL ELSE CAST(substr(p_brand, 7, 3) AS BIGINT) END AS catid,
     CAST(1827 + p_size AS INTEGER) AS dateid, p_name AS eventname,
     CASE WHEN p_retailprice < 905 THEN NULL
          ELSE CAST(DATE '2008-01-01' + p_size AS TIMESTAMP) + INTERVAL 18 HOUR END AS starttime
@@ -223,14 +225,14 @@ SELECT 'fact_sales' AS "table", "column", n FROM c WHERE n > 0""",
     "v_monthly": f"WITH {LINE_SALES} SELECT CAST(year(s.saletime) AS SMALLINT) AS year, "
                  "CAST(month(s.saletime) AS INTEGER) AS month_num, strftime(s.saletime, '%b') AS month_name, "
                  f"{MEASURES} FROM lsales s WHERE s.saletime IS NOT NULL GROUP BY 1, 2, 3",
-    "v_seller": f"{HIST}, {SALES}, {RESOLVED} SELECT u.c_name AS username, u.c_name || ' ' || u.c_mktsegment "
+    "v_seller": f"{HIST_ALL}, {SALES}, {RESOLVED} SELECT u.c_name AS username, u.c_name || ' ' || u.c_mktsegment "
                 "AS seller_name, u.c_nationkey, count(DISTINCT s.salesid) AS total_sales, "
                 "CAST(sum(s.qtysold) AS BIGINT) AS total_tickets_sold, "
                 "CAST(sum(s.pricepaid) AS DECIMAL(18,2)) AS total_revenue, "
                 "CAST(sum(s.commission) AS DECIMAL(18,2)) AS total_commission_paid "
                 "FROM resolved s JOIN h2 u ON s.seller_key = u.user_key "
                 "GROUP BY u.c_name, u.c_mktsegment, u.c_nationkey",
-    "top_buyers": f"{HIST}, {SALES}, {RESOLVED} SELECT u.c_custkey AS userid, u.c_name AS username, "
+    "top_buyers": f"{HIST_ALL}, {SALES}, {RESOLVED} SELECT u.c_custkey AS userid, u.c_name AS username, "
                   "count(DISTINCT s.salesid) AS total_sales, CAST(sum(s.qtysold) AS BIGINT) AS total_tickets_sold, "
                   "CAST(sum(s.pricepaid) AS DECIMAL(18,2)) AS total_revenue "
                   "FROM resolved s JOIN h2 u ON s.buyer_key = u.user_key GROUP BY 1, 2 "
@@ -285,7 +287,7 @@ SELECT DISTINCT b.c_custkey, b.user_key, b.effective_date FROM bad a JOIN bad b
     "dup_keys": "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
     "stage_counts": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
                                        for t in tpch.TABLES),
-    "fact_resolve": f"{HIST}, {SALES}, {RESOLVED} SELECT salesid, buyer_key, seller_key, saletime, qtysold, "
+    "fact_resolve": f"{HIST_ALL}, {SALES}, {RESOLVED} SELECT salesid, buyer_key, seller_key, saletime, qtysold, "
                     "pricepaid, commission FROM resolved",
     "fact_coverage": f"""{HIST}, {SALES}, {EXISTING},
 stage AS (SELECT * FROM sales s WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.salesid = s.salesid)),
@@ -298,7 +300,7 @@ SELECT count(*) AS new_facts, count(*) FILTER (WHERE saletime IS NULL) AS null_t
   count(*) FILTER (WHERE seller_key IS NULL) AS missing_seller_key,
   count(*) FILTER (WHERE saletime IS NULL OR CAST(saletime AS DATE) > DATE '{FLD}' OR buyer_key IS NULL OR seller_key IS NULL) AS bad
 FROM r""",
-    "fact_append_idempotent": f"""{HIST}, {SALES}, {EXISTING}, {LEFT_RESOLVED}
+    "fact_append_idempotent": f"""{HIST_ALL}, {SALES}, {EXISTING}, {LEFT_RESOLVED}
 SELECT salesid, buyer_key, seller_key, saletime FROM existing
 UNION ALL
 SELECT salesid, buyer_key, seller_key, saletime FROM lresolved r
@@ -337,9 +339,9 @@ SELECT dateid, caldate, strftime(caldate, '%a') AS day, CAST(week(caldate) AS SM
                     "WHERE NOT starts_with(batch_id, 'purchase-') AND fence_epoch < "
                     "(SELECT coalesce(max(fence_epoch), 0) FROM led WHERE starts_with(batch_id, 'purchase-'))",
     "time_gate_violations": "SELECT event_id AS key, 'null_ts' AS rule FROM events WHERE event_type = 'error'",
-    "clean_sales": """WITH raw AS (SELECT CAST(l_orderkey * 10 + l_linenumber AS INTEGER) AS salesid,
-  CAST(l_orderkey AS INTEGER) AS listid, CAST(l_suppkey AS INTEGER) AS sellerid, CAST(l_partkey AS INTEGER) AS buyerid,
-  CAST(l_partkey AS INTEGER) AS eventid, CAST(CAST(l_shipdate AS DATE) - DATE '2003-01-01' + 1 AS INTEGER) AS dateid,
+    "clean_sales": """WITH raw AS (SELECT CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS salesid,
+  CAST(l_orderkey AS BIGINT) AS listid, CAST(l_suppkey AS BIGINT) AS sellerid, CAST(l_partkey AS BIGINT) AS buyerid,
+  CAST(l_partkey AS BIGINT) AS eventid, CAST(CAST(l_shipdate AS DATE) - DATE '2003-01-01' + 1 AS INTEGER) AS dateid,
   CAST(CASE WHEN l_quantity > 45 THEN NULL ELSE l_quantity - 3 END AS SMALLINT) AS qtysold,
   CAST(CASE WHEN l_discount = 0 THEN NULL ELSE round(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(0.1 AS DECIMAL(1,1)), 2) END AS DECIMAL(8,2)) AS pricepaid,
   CAST(CASE WHEN l_tax = 0 THEN NULL ELSE round(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) * CAST(0.1 AS DECIMAL(1,1)), 2) END AS DECIMAL(8,2)) AS commission,
@@ -365,7 +367,7 @@ SELECT userid, trim(c_name) AS username, c_mktsegment AS firstname, CAST(c_natio
             ("likesports", "liketheatre", "likeconcerts", "likejazz", "likeclassical",
              "likeopera", "likerock", "likevegas", "likebroadway", "likemusicals"))) + """
 FROM (SELECT *, row_number() OVER (PARTITION BY userid ORDER BY c_custkey DESC) AS rn FROM tok) WHERE rn = 1""",
-    "clean_venue": """SELECT CAST(s_suppkey AS SMALLINT) AS venueid, s_name AS venuename, 'Metropolis' AS venuecity,
+    "clean_venue": """SELECT CAST(s_suppkey AS BIGINT) AS venueid, s_name AS venuename, 'Metropolis' AS venuecity,
   CASE WHEN s_acctbal > 5000 THEN 'TX' WHEN s_acctbal > 0 THEN '' ELSE '' END AS venuestate,
   CASE WHEN s_acctbal < 0 THEN 0 ELSE CAST(trunc(s_acctbal) AS INTEGER) END AS venueseats
 FROM supplier""",

@@ -63,8 +63,13 @@ def snapshot2(spark, d):
          .otherwise(F.col("c_mktsegment")).alias("c_mktsegment"))
 
 
-def history1(spark, d):
-    snap = snapshot1(spark, d)
+def snapshot_all(spark, d):
+    """Day-1 snapshot of every customer: reports and fact loads cover all orders."""
+    return table(spark, d, "customer").select(USER_NK, *USER_ATTRS)
+
+
+def history1(spark, d, snap: DataFrame | None = None):
+    snap = snap if snap is not None else snapshot1(spark, d)
     return scd2.scd2_apply(scd2.empty_dim(spark, snap, USER_KEY), snap, USER_NK, USER_ATTRS,
                            USER_KEY, DAY1)
 
@@ -77,9 +82,13 @@ def history2(spark, d, written: bool = False, h1: DataFrame | None = None):
     return materialize(h, "dim_users") if written else h
 
 
-def histories(spark, d):
+def full_history2(spark, d):
+    return history2(spark, d, written=True, h1=history1(spark, d, snapshot_all(spark, d)))
+
+
+def histories(spark, d, snap: DataFrame | None = None):
     """(day-1, day-2) histories, each written once like published versions."""
-    h1 = materialize(history1(spark, d), "dim_users_d1")
+    h1 = materialize(history1(spark, d, snap), "dim_users_d1")
     return h1, history2(spark, d, written=True, h1=h1)
 
 
@@ -154,19 +163,19 @@ def q_v_monthly(spark, d):
 
 
 def resolved_sales(spark, d, hist=None, how="inner"):
-    hist = hist if hist is not None else history2(spark, d, written=True)
+    hist = hist if hist is not None else full_history2(spark, d)
     return facts.resolve_roles(orders_sales(spark, d), "saletime", _roles(hist), how=how,
                                hot_threshold=HOT_KEY_ROWS)
 
 
 def q_v_seller(spark, d):
-    hist = history2(spark, d, written=True)
+    hist = full_history2(spark, d)
     return views.seller_performance(resolved_sales(spark, d, hist), hist, username="c_name",
                                     first="c_name", last="c_mktsegment", extra=("c_nationkey",))
 
 
 def q_top_buyers(spark, d):
-    hist = history2(spark, d, written=True)
+    hist = full_history2(spark, d)
     return views.top_buyers(resolved_sales(spark, d, hist), hist, TOP_N,
                             userid=USER_NK, username="c_name")
 
@@ -205,11 +214,11 @@ def raw_sales(spark, d):
     li = table(spark, d, "lineitem")
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     return li.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("int").alias("salesid"),
-        F.col("l_orderkey").cast("int").alias("listid"),
-        F.col("l_suppkey").cast("int").alias("sellerid"),
-        F.col("l_partkey").cast("int").alias("buyerid"),
-        F.col("l_partkey").cast("int").alias("eventid"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("salesid"),
+        F.col("l_orderkey").cast("long").alias("listid"),
+        F.col("l_suppkey").cast("long").alias("sellerid"),
+        F.col("l_partkey").cast("long").alias("buyerid"),
+        F.col("l_partkey").cast("long").alias("eventid"),
         calendar.date_to_id("l_shipdate").cast("int").alias("dateid"),
         F.when(F.col("l_quantity") > 45, F.lit(None)).otherwise(F.col("l_quantity") - 3)
          .cast("short").alias("qtysold"),
@@ -299,7 +308,8 @@ def raw_event_inputs(spark, d):
     s = table(spark, d, "supplier").filter(F.col("s_acctbal") > 9000)
     v2 = raw_venue(spark, d).join(s.select(F.col("s_suppkey").alias("_pos")), "_pos", "left_semi") \
         .withColumn("venuename", F.concat(F.col("venuename"), F.lit(" (renamed)"))) \
-        .withColumn("_pos", F.col("_pos") + 1_000_000_000)
+        .withColumn("_pos", F.struct(F.lit(1).alias("delivery"), F.col("_pos").alias("row")))
+    v1 = v1.withColumn("_pos", F.struct(F.lit(0).alias("delivery"), F.col("_pos").alias("row")))
     n = table(spark, d, "nation")
     cat = n.select(F.col("n_nationkey").cast("string").alias("catid"),
                    F.concat(F.lit(" "), F.lower("n_name")).alias("catgroup"),
@@ -422,7 +432,7 @@ def q_fact_coverage(spark, d):
 
 
 def q_fact_append_idempotent(spark, d):
-    h1, h2 = histories(spark, d)
+    h1, h2 = histories(spark, d, snapshot_all(spark, d))
     existing = existing_facts(spark, d, h1)
     r = resolved_sales(spark, d, hist=h2, how="left").filter(
         F.col("saletime").cast("date") <= F.lit(FACT_LOAD_DATE).cast("date"))
@@ -504,8 +514,8 @@ def _event_rows(spark, d, day2: bool = False):
              + F.expr("INTERVAL 18 HOURS"))
     if day2:
         start = F.when(F.col("p_retailprice") > 995, start + F.expr("INTERVAL 1 HOURS")).otherwise(start)
-    return p.select(F.col("p_partkey").alias("eventid"), F.col("p_size").cast("short").alias("venueid"),
-                    F.substring("p_brand", 7, 3).cast("short").alias("catid"),
+    return p.select(F.col("p_partkey").alias("eventid"), F.col("p_size").cast("long").alias("venueid"),
+                    F.substring("p_brand", 7, 3).cast("long").alias("catid"),
                     (F.col("p_size") + 1827).alias("dateid"), F.col("p_name").alias("eventname"),
                     start.alias("starttime"), "p_size", "p_retailprice")
 
@@ -523,11 +533,11 @@ def event_snapshot(spark, d, day2: bool = False):
     name = F.col("s_name")
     if day2:
         name = F.when(F.col("s_acctbal") > 9000, F.concat(name, F.lit(" (renamed)"))).otherwise(name)
-    venue = s.select(F.col("s_suppkey").cast("short").alias("venueid"), name.alias("venuename"),
+    venue = s.select(F.col("s_suppkey").cast("long").alias("venueid"), name.alias("venuename"),
                      F.col("s_nationkey").cast("string").alias("venuecity"), F.lit("TX").alias("venuestate"),
                      F.greatest(F.col("s_acctbal"), F.lit(0.0)).cast("int").alias("venueseats"))
     n = table(spark, d, "nation")
-    cat = n.select(F.col("n_nationkey").cast("short").alias("catid"), F.upper("n_name").alias("catgroup"),
+    cat = n.select(F.col("n_nationkey").cast("long").alias("catid"), F.upper("n_name").alias("catgroup"),
                    F.col("n_name").alias("catname"), F.concat(F.lit("Nation "), F.col("n_name")).alias("catdesc"))
     out = enrich_event(ev.drop("p_size", "p_retailprice"), venue, cat)
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name)

@@ -10,6 +10,7 @@ other inputs and a stale fencing epoch are rejected.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -22,12 +23,14 @@ from daymart.errors import DataContractError, first_violation
 from daymart.functions.columns import load_date_rules
 from daymart.operators import facts, scd2
 from daymart.sinks.publish import Warehouse
+from daymart.sources.files import BATCH_ID_PATTERN, SHA256_PATTERN
 
 # ---- fixed values: loader messages ----------------------------------------
 MISSING_REFS = "Missing dimension references: sales={sales}, listings={listings}"
 STAGE_FACT_KEY = "stage.{table} requires unique non-null {key}"
 NOT_NULL_MSG = "NOT NULL violation in {table}.{column}"
 REUSED_BATCH = "Committed batch ID reused with different inputs"
+BAD_IDENTITY = "Invalid batch request identity"
 STALE_EPOCH = "Stale warehouse fencing epoch"
 ROW_MISMATCH = "COPY row count differs from committed output manifest"
 # ---- end of fixed values --------------------------------------------------
@@ -78,7 +81,11 @@ def _raise_first(violations: DataFrame, key_of) -> None:
 
 
 def check_request(wh: Warehouse, state: dict, req: BatchRequest, today: str) -> str | None:
-    """Receipt / epoch / load-date rules. Returns 'duplicate' for a no-op."""
+    """Identity / receipt / epoch / load-date rules. Returns 'duplicate' for a no-op."""
+    shas = [s for s in (req.input_sha, req.output_sha) if s]
+    if not (re.fullmatch(BATCH_ID_PATTERN, req.batch_id or "") and req.attempt >= 1 and req.fence_epoch >= 1
+            and all(re.fullmatch(SHA256_PATTERN, s) for s in shas)):
+        raise DataContractError(f"{BAD_IDENTITY}: {req.batch_id!r}")
     for r in state.get("receipts", []):
         if r["batch_id"] == req.batch_id:
             if r["input_sha"] != req.input_sha:
@@ -136,7 +143,7 @@ def load_batch(spark: SparkSession, wh: Warehouse, stage: dict, req: BatchReques
             for n, df in stage.items()})
     trace("stage")
 
-    # stage: declared row counts reconcile with what was staged (one job)
+    # stage: declared output rows (cleaned, not raw) reconcile with what was staged (one job)
     if req.declared_rows:
         counts = reduce(DataFrame.unionByName, [
             stage[n].agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("dataset"), "rows")

@@ -20,8 +20,12 @@ from daymart.functions.columns import null_if_token
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 
-def _csv(spark: SparkSession, schema: T.StructType | None = None):
-    r = (spark.read.option("header", True).option("multiLine", True)
+# datasets without text columns: no cell can hold a line break, so their files are split between tasks
+SPLITTABLE = ("listing", "sales")
+
+
+def _csv(spark: SparkSession, schema: T.StructType | None = None, multiline: bool = True):
+    r = (spark.read.option("header", True).option("multiLine", multiline)
          .option("escape", '"').option("encoding", "UTF-8")
          .option("enforceSchema", False)
          .option("timestampNTZFormat", TS_FORMAT))
@@ -44,7 +48,7 @@ def with_position(df: DataFrame) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, path, name: str, mode: str = "strict",
-             bronze: bool = True) -> DataFrame:
+             bronze: bool = True, multiline: bool | None = None) -> DataFrame:
     """All-string scan of a Bronze CSV with the pandas missing-value tokens
     mapped to NULL, plus the ``_pos`` scan position.
 
@@ -53,12 +57,15 @@ def read_raw(spark: SparkSession, path, name: str, mode: str = "strict",
     order) and ``FAILFAST`` rejects ragged rows.
     permissive: header names are taken from the file; required columns are
     projected (missing -> error, extra -> dropped).
+    multiline: cells may hold line breaks, which makes every file one task;
+    by default only for datasets with text columns.
     """
+    multiline = name not in SPLITTABLE if multiline is None else multiline
     schema = contracts.raw_schema(name, bronze)
     if mode == "strict":
-        df = _csv(spark, schema).option("mode", "FAILFAST").csv(_paths(path))
+        df = _csv(spark, schema, multiline).option("mode", "FAILFAST").csv(_paths(path))
     else:
-        df = _csv(spark).option("mode", "PERMISSIVE").csv(_paths(path))
+        df = _csv(spark, None, multiline).option("mode", "PERMISSIVE").csv(_paths(path))
         df = project_required(df, schema.names)
     df = with_position(df)
     return df.select(*[null_if_token(F.col(c)).alias(c) for c in schema.names], "_pos")
@@ -70,7 +77,7 @@ def read_typed(spark: SparkSession, path, name: str, mode: str = "FAILFAST") ->
     With FAILFAST a malformed cell raises when the column is materialised;
     with PERMISSIVE it becomes NULL (counted by the cleaners' observers).
     """
-    df = _csv(spark, contracts.stage_schema(name)).option("mode", mode).csv(path)
+    df = _csv(spark, contracts.stage_schema(name), name not in SPLITTABLE).option("mode", mode).csv(path)
     return with_position(df)
 
 

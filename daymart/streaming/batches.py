@@ -4,11 +4,11 @@ Each manifest names the six Bronze files of one daily batch. The stream
 reads manifests with an explicit schema and hands every micro-batch to
 ``foreachBatch``: the manifests are validated as a DataFrame (rule
 columns), ordered by (load_date, batch_id) and loaded one after another;
-the first failure stops the run so a failed date blocks later dates. By
-default a trigger takes every pending manifest, so the date order holds
-across all of them even when a later day arrives first;
-``max_files_per_trigger`` caps a trigger instead (arrival order between
-triggers). Receipts in the warehouse make re-delivered manifests no-ops,
+the first failure stops the run so a failed date blocks later dates. A
+trigger takes every pending manifest, so the date order holds across all
+of them even when a later day arrives first. Before a batch is loaded its
+Bronze files are held against the manifest: SHA-256 and raw rows (before
+cleaning and de-duplication). Receipts in the warehouse make re-delivered manifests no-ops,
 and the stream checkpoint records which manifest files were consumed.
 """
 
@@ -19,27 +19,39 @@ import posixpath
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymart import contracts
 from daymart.errors import DataContractError
-from daymart.sources.files import MANIFEST_SCHEMA, manifest_violations
+from daymart.sources.files import MANIFEST_SCHEMA, build_manifest, file_integrity_violations, manifest_violations
 
 
 def canonical_input_sha(m: DataFrame) -> F.Column:
     """SHA-256 of the manifest's canonical JSON (sorted keys, sorted files)."""
-    files = F.map_from_entries(F.array_sort(F.map_entries(F.col("files"))))
+    sorted_file = F.transform_values("files", lambda _, f: F.struct(
+        f["key"].alias("key"), f["rows"].alias("rows"), f["sha256"].alias("sha256"),
+        f["version_id"].alias("version_id")))
+    files = F.map_from_entries(F.array_sort(F.map_entries(sorted_file)))
     doc = F.struct(F.col("batch_id"), F.col("bucket"), F.col("business_timezone"),
                    F.col("datasets"), files.alias("files"), F.col("load_date"),
                    F.col("schema_version"))
-    return F.sha2(F.to_json(doc), 256)
+    return F.sha2(F.to_json(doc, {"ignoreNullFields": "false"}), 256)
 
 
-def manifest_stream(spark: SparkSession, inbox: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def manifest_stream(spark: SparkSession, inbox: str) -> DataFrame:
     r = spark.readStream.schema(MANIFEST_SCHEMA).option("multiLine", True)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.json(inbox).withColumn("manifest_path", F.col("_metadata.file_path"))
 
 
+def verify_bronze(spark: SparkSession, batch_id: str, paths: dict, files: dict) -> None:
+    """Raise unless every Bronze file has the declared SHA-256 and raw row count. Files are matched by name, which
+    the manifest rules fix to ``<dataset>.csv`` (Spark spells one path in several ways)."""
+    declared = spark.createDataFrame([(f"{ds}.csv", f["sha256"], f["rows"]) for ds, f in files.items()],
+                                     "path string, sha256 string, rows long")
+    found = build_manifest(spark, list(paths.values())) \
+        .withColumn("path", F.regexp_extract("path", r"([^/]+)$", 1))
+    bad = file_integrity_violations(declared, found).orderBy("path", "rule").limit(1).collect()
+    if bad:
+        raise DataContractError(f"Bronze file differs from batch manifest: {batch_id} {bad[0]['path']} ({bad[0]['rule']})")
+
+
 def process_manifests(spark: SparkSession, manifests: DataFrame, wh, bronze_root: str,
                       mode: str = "strict", today: str | None = None, key_prefix: str = "") -> list:
     """Validate and load the manifests of one micro-batch, in date order."""
@@ -54,17 +66,16 @@ def process_manifests(spark: SparkSession, manifests: DataFrame, wh, bronze_root
     # manifests are metadata (one small row per batch); the data stays in Spark
     for row in m.orderBy("load_date", "batch_id").collect():
         paths = {ds: posixpath.join(bronze_root, f["key"]) for ds, f in row["files"].items()}
+        if all(r["batch_id"] != row["batch_id"] for r in wh.latest().get("receipts", [])):
+            verify_bronze(spark, row["batch_id"], paths, row["files"])
         req = BatchRequest(batch_id=row["batch_id"], load_date=row["load_date"],
-                           input_sha=row["input_sha"], output_sha=row["input_sha"],
-                           declared_rows={ds: f["rows"] for ds, f in row["files"].items()
-                                          if ds in contracts.DATASETS and ds not in ("event",)})
+                           input_sha=row["input_sha"], output_sha=row["input_sha"])
         results.append((row["batch_id"], load_bronze(spark, wh, paths, req, mode=mode, today=today)["status"]))
     return results
 
 
 def stream_batches(spark: SparkSession, inbox: str, wh, bronze_root: str, checkpoint: str,
-                   mode: str = "strict", today: str | None = None, available_now: bool = True,
-                   max_files_per_trigger: int | None = None):
+                   mode: str = "strict", today: str | None = None, available_now: bool = True):
     """Consume manifests from ``inbox``; returns the per-batch statuses."""
     log = []
 
@@ -72,7 +83,7 @@ def stream_batches(spark: SparkSession, inbox: str, wh, bronze_root: str, checkp
         if batch_df.take(1):
             log.extend(process_manifests(spark, batch_df, wh, bronze_root, mode, today))
 
-    w = manifest_stream(spark, inbox, max_files_per_trigger).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    w = manifest_stream(spark, inbox).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     q = (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")).start()
     q.awaitTermination()
     return log
