@@ -6,10 +6,12 @@ by their counts; below the empty context all bytes are equal. How likely an esca
 training occurrence out in turn, over nodes alike. The code length of a text adds up over the bytes of its
 lower-cased words, single spaces between them and one end, started after an end.
 
-Counting covers the whole training text: blocks are counted in the tasks, one aggregation adds them up, every order
-is an aggregation of the one above. ``nodes`` is the capacity of the trie per long order (a model parameter like a
-layer's size): the most frequent contexts of that order are nodes, all others escape at once. That bounds what is
-sent to the tasks by nodes * 256 entries. Contexts of up to two bytes are all kept.
+Every context and symbol of the whole training text counts, at every order, without a capacity. A block's distinct
+grams (ORDER context bytes and the byte behind) are dealt to shards by their last three context bytes, packed as one
+row per block and shard, with their training occurrences. A shard then holds the suffixes, of three bytes and more, of
+all its contexts: it adds up the blocks' counts, works out the cost of its grams by itself, from the order below up,
+and sends every block the costs of the block's grams. Only what is of bounded size goes through the driver: contexts
+of up to two bytes, and per order the escapes seen by state.
 
 The unigram base counts every word of the training rows. Documents are dealt into blocks by hash; a block sends each
 of its words once, a window over the word adds up the counts, and the block gets its own words' counts back, so the
@@ -26,12 +28,13 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daymart.llm.common import lower_words, materialize, parts, text_bytes
 
-ORDER, NODES, BLOCK_BYTES, CHUNK = 6, 40_000, 8 << 20, 4 << 20
+ORDER, LOW, BLOCK_BYTES, SHARD_BYTES, CHUNK = 6, 2, 12 << 20, 16 << 20, 1 << 20
 PRIOR = 20.0  # occurrences that the plain escape estimate counts for
 END = 10  # the byte of an end; no word holds it
 SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
@@ -39,6 +42,9 @@ SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tok
 _SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                      ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()),
                      ("score", pa.float64())])
+CONTENTS = "block int, word binary, n long, shard int, size long, grams binary, ns binary, texts binary"
+_CONTENTS = pa.schema([("block", pa.int32()), ("word", pa.binary()), ("n", pa.int64()), ("shard", pa.int32()),
+                       ("size", pa.int64()), ("grams", pa.binary()), ("ns", pa.binary()), ("texts", pa.binary())])
 
 
 def stream(words: list[bytes]) -> bytes:
@@ -55,86 +61,81 @@ def grams(raw: np.ndarray) -> np.ndarray:
     return out
 
 
-def count_grams(docs: DataFrame) -> DataFrame:
-    """(gram, n) over the texts of ``docs`` (column text), counted in the tasks and added up."""
-
-    def run(found):
-        held, size = [], 0
-
-        def flush():
-            seen, n = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n)], names=["gram", "n"])
-
-        for batch in found:
-            for text in batch.column(0).to_pylist():
-                raw = np.frombuffer(stream(lower_words(text)), np.uint8)
-                for at in range(0, len(raw) - ORDER, CHUNK):
-                    held.append(grams(raw[at:at + CHUNK + ORDER]))
-                    size += len(held[-1])
-                    if size >= CHUNK:
-                        yield flush()
-                        size = 0
-        if held:
-            yield flush()
-
-    return docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def _least(totals: DataFrame, nodes: int) -> float:
-    """Least total so that at most ``nodes`` contexts reach it, from a histogram of fixed size."""
-    step = F.floor(F.log2("total") * 32)
-    left, least = nodes, 0.0
-    for r in totals.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
-        if r["count"] > left:
-            return 2 ** ((r["step"] + 1) / 32)
-        left -= r["count"]
-    return least
-
-
-def contexts(counts: DataFrame, nodes: int = NODES) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(context, symbol, count) arrays of every order from 0 up, of the contexts that are nodes."""
-    level, out = counts, []
-    for order in range(ORDER, -1, -1):
-        if order < ORDER:
-            mask = F.lit((1 << 8 * (order + 1)) - 1)
-            level = materialize(level.groupBy(F.col("gram").bitwiseAND(mask).alias("gram")).agg(F.sum("n").alias("n")),
-                                "ppm-order")
-        kept = level.select(F.shiftright("gram", 8).alias("context"), F.col("gram").bitwiseAND(F.lit(255)).alias("symbol"), "n")
-        if order > 2:
-            totals = kept.groupBy("context").agg(F.sum("n").alias("total"))
-            kept = kept.join(totals.where(F.col("total") >= _least(totals, nodes)).select("context"), "context", "left_semi")
-        got = kept.toPandas().sort_values(["context", "symbol"])
-        out.append(tuple(got[c].to_numpy(np.int64) for c in ("context", "symbol", "n")))
-    return out[::-1]
+def tally(gram: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct grams in order, and the sum of ``n`` over each."""
+    key, at = np.unique(gram, return_inverse=True)
+    return key, np.bincount(at, weights=n, minlength=len(key)).astype(np.int64)
+
+
+def rows_blob(rows: pa.RecordBatch) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as to:
+        to.write_batch(rows)
+    return out.getvalue().to_pybytes()
+
+
+def blob_rows(blob: bytes):
+    with pa.ipc.open_stream(blob) as got:
+        for batch in got:
+            yield from zip(*(c.to_pylist() for c in batch.columns))
+
+
+def block_grams(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams of some streams and how often each occurs, in pieces of bounded size."""
+    gram, n, held, size = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
+
+    def merged():
+        more, m = np.unique(np.concatenate(held), return_counts=True)
+        return tally(np.concatenate([gram, more]), np.concatenate([n, m]))
+
+    for raw in texts:
+        for at in range(0, len(raw) - ORDER, CHUNK):
+            held.append(grams(raw[at:at + CHUNK + ORDER]))
+            size += len(held[-1])
+            if size >= 2 * CHUNK:
+                gram, n = merged()
+                held, size = [], 0
+    return merged() if held else (gram, n)
+
+
+def state(total: np.ndarray, types: np.ndarray) -> np.ndarray:
+    """Nodes alike: about that many occurrences (quarter powers of two), that many symbols."""
+    return (np.log2(total) * 4).astype(np.int64) * 64 + np.minimum(types, 63)
+
+
+STATES = 64 * 4 * 64
+
+
+def speak(at: np.ndarray, n: np.ndarray, total: np.ndarray, types: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per state, the occurrences left out that were escapes, and all of them."""
+    rest = total[at] - 1
+    ok = rest > 0
+    key = state(np.maximum(rest, 1), types[at] - (n == 1))[ok]
+    return (np.bincount(key, weights=((n == 1) * n)[ok], minlength=STATES),
+            np.bincount(key, weights=n[ok], minlength=STATES))
 
 
 def escapes(at: np.ndarray, n: np.ndarray, total: np.ndarray, types: np.ndarray) -> np.ndarray:
     """Escape probability of every node, learned from nodes alike.
 
-    Each occurrence is left out in turn: the node then has one occurrence less, and one symbol less if it was the
-    symbol's only one, which would have been an escape. The share of escapes is taken over all nodes of the order
+    Each occurrence is left out in turn (``speak``): the node then has one occurrence less, and one symbol less if it
+    was the symbol's only one, which would have been an escape. The share of escapes is taken over all nodes of the order
     that have about that many occurrences (quarter powers of two) and that many symbols, drawn towards
     types / (total + types) where few speak.
     """
-    state = lambda total, types: (np.log2(total) * 4).astype(np.int64) * 64 + np.minimum(types, 63)
-    prior = types / (total + types)
-    rest = total[at] - 1
-    ok = rest > 0
-    key = state(np.maximum(rest, 1), types[at] - (n == 1))[ok]
-    size = int(max(key.max(initial=0), state(total, types).max(initial=0))) + 1
-    novel = np.bincount(key, weights=((n == 1) * n)[ok], minlength=size)
-    every = np.bincount(key, weights=n[ok], minlength=size)
+    return drawn(*speak(at, n, total, types), total, types)
+
+
+def drawn(novel: np.ndarray, every: np.ndarray, total: np.ndarray, types: np.ndarray) -> np.ndarray:
+    """Escape probability of nodes from what the states of their order say."""
     mine = state(total, types)
-    return (novel[mine] + PRIOR * prior) / (every[mine] + PRIOR)
+    return (novel[mine] + PRIOR * (types / (total + types))) / (every[mine] + PRIOR)
 
 
 class Trie:
-    """log10 probabilities of every byte after every node, and the way from a position to its longest node.
+    """log10 probabilities of every byte after every node of the orders given.
 
-    Tables have a column per byte that occurs in training and one that stands for each of the others. ``first`` maps
-    three context bytes to the row of the longest node of up to three bytes; a node of a long order has its longer
-    nodes in ``child``, one step per byte further back.
+    Tables have a column per byte that occurs in training and one that stands for each of the others.
     """
 
     def __init__(self, levels):
@@ -158,21 +159,12 @@ class Trie:
             rows_of.append((nodes, base))
             base += len(nodes)
         with np.errstate(divide="ignore"):
-            self.cost = np.log10(np.concatenate(table)).astype(np.float32)
-        byte = np.r_[seen, other[:1] if len(other) else 0].astype(np.int64)
-        triple = (byte[:, None, None] << 16 | byte[:, None] << 8 | byte).ravel()
-        self.first = self._rows(rows_of[:4], triple).astype(np.int32)
-        self.wide, self.long, self.child = wide, [], []  # of the orders from three up: first row, nodes; their children
-        for order in range(3, len(levels) - 1):
-            (nodes, base), (longer, at) = rows_of[order], rows_of[order + 1]
-            child = np.zeros((len(nodes) + 1, wide), np.int32)
-            below, back = longer & ((1 << 8 * order) - 1), longer >> 8 * order
-            place = np.searchsorted(nodes, below)
-            ok = place < len(nodes)
-            ok[ok] = nodes[place[ok]] == below[ok]
-            child[place[ok], self.column[back[ok]]] = at + np.flatnonzero(ok)
-            self.long.append((base, len(nodes)))
-            self.child.append(child)
+            self.cost = np.log10(np.concatenate(table))
+        self.rows_of = rows_of
+
+    def probability(self, gram: np.ndarray) -> np.ndarray:
+        """Of the last byte of every gram after the longest node that ends its context."""
+        return 10.0 ** self.cost[self._rows(self.rows_of, gram >> 8), self.column[gram & 255]]
 
     @staticmethod
     def _rows(rows_of, context: np.ndarray) -> np.ndarray:
@@ -185,74 +177,229 @@ class Trie:
                 out = np.where(nodes[at] == short, base + at, out)
         return out
 
-    def score(self, raw: np.ndarray) -> float:
-        """log10 probability of the bytes behind the first ORDER ones."""
-        total = 0.0
-        for at in range(0, len(raw) - ORDER, CHUNK):
-            b = self.column[raw[at:at + CHUNK + ORDER]]
-            n = len(b) - ORDER
-            near = lambda back: b[ORDER - back:ORDER - back + n]  # noqa: E731  the byte ``back`` places before
-            row = self.first[(near(3) * self.wide + near(2)) * self.wide + near(1)]
-            for k, ((base, size), child) in enumerate(zip(self.long, self.child)):
-                node = row - base
-                longer = child[np.where((node >= 0) & (node < size), node, size), near(4 + k)]
-                row = np.where(longer > 0, longer, row)
-            total += float(self.cost[row, b[ORDER:]].sum(dtype=np.float64))
-        return total
 
+class Level:
+    """The contexts of one order in a shard: (context, symbol) keys in order, and their contexts."""
 
-_tries: dict[int, Trie] = {}
+    def __init__(self, gram: np.ndarray, n: np.ndarray, order: int):
+        self.mask = (1 << 8 * (order + 1)) - 1
+        self.key, self.n = tally(gram & self.mask, n)
+        self.context, self.at = np.unique(self.key >> 8, return_inverse=True)
+        self.types = np.bincount(self.at, minlength=len(self.context))
+        self.total = np.bincount(self.at, weights=self.n, minlength=len(self.context)).astype(np.int64)
 
 
-def score(docs: DataFrame, modulus: int = 7, held: int = 2, nodes: int = NODES, id_col: str = "doc_id",
+def shard_levels(gram: np.ndarray, n: np.ndarray) -> list[Level]:
+    """Levels of the orders above LOW, of the grams that occur in training."""
+    out = []
+    for order in range(ORDER, LOW, -1):
+        out.append(Level(gram, n, order))
+        gram, n = out[-1].key, out[-1].n
+    return out[::-1]
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+def gram_costs(gram: np.ndarray, n: np.ndarray, low: Trie, spoken: dict) -> np.ndarray:
+    """log10 probability of every gram of a shard; ``n`` is 0 for grams that do not occur in training."""
+    out = low.probability(gram)
+    if not n.any():
+        return np.log10(out)
+    below = None
+    for order, level in enumerate(shard_levels(gram[n > 0], n[n > 0]), LOW + 1):
+        if below is None:
+            under = low.probability(level.key)
+        else:
+            under = p[_find(below.key, level.key & below.mask)[0]]  # every suffix is a node
+        escape = np.where(level.types < 256, drawn(*spoken[order], level.total, level.types), 0)
+        rest = np.maximum(1 - np.bincount(level.at, weights=under, minlength=len(level.context)), 1e-12)
+        p = level.n / level.total[level.at] * (1 - escape[level.at])
+        node, known = _find(level.context, gram >> 8 & level.mask >> 8)
+        entry, seen = _find(level.key, gram & level.mask)
+        out = np.where(seen, p[entry], np.where(known, out * (escape / rest)[node], out))
+        below = level
+    return np.log10(out)
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Numbers as all their first bytes, all their second ones and so on, compressed."""
+    raw = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    return pa.compress(raw.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack(packed: bytes, size: int, kind) -> np.ndarray:
+    wide = np.dtype(kind).itemsize
+    raw = np.frombuffer(pa.decompress(packed, size * wide, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(raw.reshape(wide, size).T).view(kind).ravel()
+
+
+def unpack_grams(packed: bytes, size: int) -> np.ndarray:
+    return np.cumsum(unpack(packed, size, np.int64))
+
+
+def deal(gram: np.ndarray, n: np.ndarray, shards: int) -> list[tuple[int, int, bytes, bytes]]:
+    """(shard, size, grams, occurrences) of distinct grams in order, by the last three bytes of their contexts."""
+    suffix = gram >> 8 & (1 << 8 * (LOW + 1)) - 1
+    shard = (suffix * 2654435761 >> 8 & 0xffffff) % shards
+    order = np.argsort(shard, kind="stable")
+    ends = np.searchsorted(shard[order], np.arange(shards + 1))
+    pieces = ((k, order[a:b]) for k, (a, b) in enumerate(zip(ends, ends[1:])) if b > a)
+    return [(k, len(at), pack(np.diff(gram[at], prepend=0)), pack(n[at])) for k, at in pieces]
+
+
+def shard_counts(found: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(gram, n) of a shard, added up over blocks."""
+    gram, n, held, size = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
+    for k, (length, g, c) in enumerate(zip(*(found.column(c).to_pylist() for c in ("size", "grams", "ns"))), 1):
+        held.append((unpack_grams(g, length), unpack(c, length, np.int64)))
+        size += length
+        if size >= CHUNK or k == found.num_rows:
+            gram, n = tally(np.concatenate([gram, *(h[0] for h in held)]), np.concatenate([n, *(h[1] for h in held)]))
+            held, size = [], 0
+    return gram, n
+
+
+def by_shard(inside: DataFrame) -> DataFrame:
+    """(block, size, grams, costs) of the blocks' grams (block, shard, size, grams, ns)."""
+    spark = inside.sparkSession
+
+    def statistics(found):
+        gram, n = shard_counts(found)
+        gram, n = gram[n > 0], n[n > 0]
+        level, key, a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0)]
+        for order, got in enumerate(shard_levels(gram, n) if len(gram) else [], LOW + 1):
+            novel, every = speak(got.at, got.n, got.total, got.types)
+            said = np.flatnonzero(every)
+            level.append(np.full(len(said), order))
+            key.append(said)
+            a.append(novel[said])
+            b.append(every[said])
+        short, m = tally(gram & ((1 << 8 * (LOW + 1)) - 1), n)  # contexts of up to two bytes
+        level.append(np.full(len(short), LOW))
+        key.append(short)
+        a.append(np.zeros(len(short)))
+        b.append(m.astype(float))
+        return pa.table([np.concatenate(x) for x in (level, key, a, b)], names=["level", "key", "a", "b"])
+
+    # at most STATES rows an order, and the symbols behind two bytes
+    got = inside.groupBy("shard").applyInArrow(statistics, "level long, key long, a double, b double") \
+        .groupBy("level", "key").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).toPandas()
+    spoken = {order: (np.zeros(STATES), np.zeros(STATES)) for order in range(LOW + 1, ORDER + 1)}
+    for order, (novel, every) in spoken.items():
+        mine = got[got["level"] == order]
+        novel[mine["key"]], every[mine["key"]] = mine["a"], mine["b"]
+    mine, levels = got[got["level"] == LOW], []
+    for order in range(LOW, -1, -1):
+        key, n = tally(mine["key"].to_numpy(np.int64) & ((1 << 8 * (order + 1)) - 1), mine["b"].to_numpy())
+        levels.append((key >> 8, key & 255, n))
+    sent = spark.sparkContext.broadcast((levels[::-1], spoken))
+
+    def costs(found):
+        gram, n = shard_counts(found)
+        levels, spoken = sent.value
+        cost = gram_costs(gram, n, Trie(levels), spoken).astype(np.float32)
+        back = [pack(cost[_find(gram, unpack_grams(g, size))[0]])
+                for size, g in zip(found.column("size").to_pylist(), found.column("grams").to_pylist())]
+        return pa.table([found.column("block"), found.column("size"), found.column("grams"),
+                         pa.array(back, pa.binary())], names=["block", "size", "grams", "costs"])
+
+    return inside.groupBy("shard").applyInArrow(costs, "block int, size long, grams binary, costs binary")
+
+
+def stream_costs(streams: list[np.ndarray], known: np.ndarray, cost: np.ndarray) -> np.ndarray:
+    """log10 probability of every stream, from the cost of its grams; ``known`` is in order."""
+    out = np.zeros(len(streams))
+    held, docs, size = [], [], 0
+
+    def flush():
+        gram, doc = np.concatenate(held), np.repeat(docs, [len(g) for g in held])
+        order = np.argsort(gram)
+        gram = gram[order]
+        new = np.r_[True, gram[1:] != gram[:-1]]
+        at, found = _find(known, gram[new])
+        if not found.all():
+            raise ValueError("a gram of the block has no cost")
+        out[:] += np.bincount(doc[order], weights=cost[at][np.cumsum(new) - 1], minlength=len(out))
+
+    for doc, raw in enumerate(streams):
+        for at in range(0, len(raw) - ORDER, CHUNK):
+            held.append(grams(raw[at:at + CHUNK + ORDER]))
+            docs.append(doc)
+            size += len(held[-1])
+            if size >= CHUNK:
+                flush()
+                held, docs, size = [], [], 0
+    if held:
+        flush()
+    return out
+
+
+def score(docs: DataFrame, modulus: int = 7, held: int = 2, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
-    spark = docs.sparkSession
-    blocks = parts(text_bytes(docs, text_col), BLOCK_BYTES)
+    size = text_bytes(docs, text_col)
+    blocks, shards = parts(size, BLOCK_BYTES), parts(size, SHARD_BYTES)
     crc = F.crc32(F.coalesce(docs[id_col].cast("string"), F.lit("")))
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"),
                        (F.pmod(crc, F.lit(modulus)) == held).alias("held_out")) \
         .withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-    levels = contexts(materialize(count_grams(rows.where("not held_out")), "ppm-grams"), nodes)
-    sent = spark.sparkContext.broadcast(levels)
-
-    def words(key, found):
+    def contents(key, found):
         seen: Counter = Counter()
         known: Counter = Counter()
+        streams: list[list] = [[], []]
         for text, out in zip(found.column("text").to_pylist(), found.column("held_out").to_pylist()):
             tokens = lower_words(text)
+            streams[out].append(np.frombuffer(stream(tokens), np.uint8))
             tokens.append(b"")
             (seen if out else known).update(tokens)
         every = [*known, *(w for w in seen if w not in known)]
-        return pa.table([pa.array([key[0].as_py()] * len(every), pa.int32()), pa.array(every, pa.binary()),
-                         pa.array([known[w] for w in every], pa.int64())], names=["block", "word", "n"])
-
-    dealt = rows.groupBy("block").applyInArrow(words, "block int, word binary, n long")
+        gram, n = block_grams(streams[0])
+        only = np.setdiff1d(block_grams(streams[1])[0], gram, assume_unique=True)
+        order = np.argsort(gram := np.concatenate([gram, only]))
+        n = np.concatenate([n, np.zeros(len(only), np.int64)])[order]
+        out = [(w, known[w], *[None] * 5) for w in every]
+        out += [(None, None, *piece, None) for piece in deal(gram[order], n, shards)]
+        out += [(*[None] * 6, rows_blob(b)) for b in found.select(["doc_id", "text", "held_out"])
+                .combine_chunks().to_batches(max_chunksize=256)]
+        columns = [[key[0].as_py()] * len(out), *zip(*out)]
+        return pa.table([pa.array(c, f.type) for c, f in zip(columns, _CONTENTS)], schema=_CONTENTS)
+
+    both = materialize(rows.groupBy("block").applyInArrow(contents, CONTENTS), "ppm-blocks")
+    dealt = both.where("word is not null")
+    costs = by_shard(both.where("grams is not null").select("block", "shard", "size", "grams", "ns"))
     word = Window.partitionBy("word")
     counted = materialize(dealt.select("block", "word", F.sum("n").over(word).alias("c"),
                                        (F.min("block").over(word) == F.col("block")).alias("first")), "ppm-words")
     sums = counted.where("first and c > 0").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, vocabulary = int(sums["n"] or 0), int(sums["v"])
-    key = hash((id(sent), total))
 
-    def scored(found, dictionary):
-        if key not in _tries:
-            _tries.clear()
-            _tries[key] = Trie(sent.value)
-        trie = _tries[key]
+    def scored(dictionary):
+        texts = dictionary.column("texts").drop_null().to_pylist()
+        is_gram = pc.is_valid(dictionary.column("grams"))
+        have = dictionary.filter(is_gram)
+        sizes, grams_of, costs_of = (have.column(c).to_pylist() for c in ("size", "grams", "costs"))
+        gram = np.concatenate([unpack_grams(g, n) for n, g in zip(sizes, grams_of)])
+        cost = np.concatenate([unpack(c, n, np.float32) for n, c in zip(sizes, costs_of)])
+        order = np.argsort(gram)
+        gram, cost = gram[order], cost[order]
+        dictionary = dictionary.filter(pc.is_valid(dictionary.column("word")))
         logs = np.log10(dictionary.column("c").to_numpy() + 1.0)
         value = dict(zip(dictionary.column("word").to_pylist(), logs.tolist()))
         unit = math.log10(total + vocabulary + 1)
-        out = []
-        for doc, text, held_out in zip(*(found.column(c).to_pylist() for c in ("doc_id", "text", "held_out"))):
+        out, streams = [], []
+        for doc, text, held_out in (row for blob in texts for row in blob_rows(blob)):
             tokens = lower_words(text)
-            raw = np.frombuffer(stream(tokens), np.uint8)
+            streams.append(np.frombuffer(stream(tokens), np.uint8))
             tokens.append(b"")
             got = np.fromiter(map(value.__getitem__, tokens), float, len(tokens))
             out.append((doc, held_out, len(tokens), int((got > 0).sum()), total,
-                        float(got.sum()) - len(tokens) * unit, trie.score(raw)))
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _SCORES)], schema=_SCORES) \
-            if out else _SCORES.empty_table()
+                        float(got.sum()) - len(tokens) * unit))
+        columns = [*zip(*out), stream_costs(streams, gram, cost)]
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SCORES)], schema=_SCORES)
 
-    return rows.groupBy("block").cogroup(counted.select("block", "word", "c").groupBy("block")) \
-        .applyInArrow(scored, SCORES)
+    back = counted.select("block", "word", "c").unionByName(costs, allowMissingColumns=True) \
+        .unionByName(both.where("texts is not null").select("block", "texts"), allowMissingColumns=True)
+    return back.groupBy("block").applyInArrow(scored, SCORES)
