@@ -2,7 +2,8 @@
 
 A small tolerant parser builds the element tree (raw-text elements, void elements, implied ends of paragraphs, list
 items and cells, unclosed and stray tags). Elements that are never content (navigation, page headers and footers,
-asides, forms, scripts, and what class, id or role names call so) are left out. Every paragraph-like block passes
+asides, forms, scripts, and what class, id or role names call so) are left out, but not by a name that also says
+content, by a doubtful one on prose, or by names that take three quarters of the page's prose. Every paragraph-like block passes
 points for its length and commas to its parent, half to its grandparent and less further up; a container's points
 are discounted by the share of its text that lies in links. The best container is kept, with those siblings that
 score well beside it or are paragraphs of prose. The kept blocks' texts are joined in page order.
@@ -46,10 +47,15 @@ NAMES = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|adslot|banner|breadcrum
 KEEP = set("html body article main".split())
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|"
                  r"<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+# Names that also begin or end words of articles (related-work, social-policy): inside a longer name they are a doubt.
+DOUBT = re.compile(r"(?:banner|disclaimer|notices?|related|remark|replies|share\w*|social|widget)$", re.I)
+CONTENT = re.compile("(?:content|post|article|body|entry|main|story)$", re.I)
+STATE = re.compile("(?:has|with|without|no|is|not)[_-]", re.I)  # has-sidebar says something of the page, not of this part
+ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 DEEP = 200
 BASE = {"article": 25, "main": 20, "section": 5, "div": 5, "td": 3, "blockquote": 3, "pre": 3, "form": -3, "ul": -3,
         "ol": -3, "dl": -3, "table": -3}
+SENTENCE = re.compile(r"[.!?](\s|$)")
 HEADING = re.compile("h[1-6]")
 
 
@@ -62,26 +68,44 @@ class Node:
         self.score, self.depth = 0.0, parent.depth + 1 if parent else 0
 
 
-def _unwanted(tag: str, attributes: str, stack: list[Node]) -> bool:
+def _named(word: str) -> int:
+    """What a class or id says: 2 for a part that is no content, 1 for a doubt."""
+    if STATE.match(word) or not NAMES.search(word):
+        return 0
+    parts = re.split("[_-]", word)
+    listed = [w for w in parts if NAMES.search(w)]
+    return 1 if len(listed) < len(parts) and all(map(DOUBT.match, listed)) else 2
+
+
+def _unwanted(tag: str, attributes: str, stack: list[Node], by_name: bool) -> int:
+    """2: left out; 1: left out unless it holds prose."""
     if tag in NEVER:
-        return True
+        return 2
     if tag == "header":  # a page's header; one inside the article holds its title
-        return not any(n.tag in ("article", "main") for n in stack)
+        return 0 if any(n.tag in ("article", "main") for n in stack) else 2
     if not attributes or tag in KEEP:
-        return False
+        return 0
+    named, called = 0, False
     for name, *values in ATTR.findall(attributes):
         name, value = name.lower(), "".join(values)
-        if name in ("class", "id") and NAMES.search(value) or name == "role" and value.strip().lower() in ROLES:
-            return True
+        if name in ("class", "id"):
+            named = max([named, *map(_named, value.split())])
+            called = called or any(map(CONTENT.match, value.split()))
+        if name == "role" and value.strip().lower() in ROLES:
+            return 2
         if name == "aria-hidden" and value.strip().lower() == "true":
-            return True
-    return bool(re.search(r"(?:^|\s)hidden(?:\s|$|=)", attributes))
+            return 2
+        if name == "hidden":
+            return 2
+    return 0 if called or not by_name else named
 
 
-def parse(page: str) -> Node:
-    """The element tree of a page; text is kept as it stands in the source, references undecoded."""
+def parse(page: str, by_name: bool = True) -> Node:
+    """The element tree of a page; text is kept as it stands in the source, references undecoded. ``by_name``: leave out
+    what its class or id calls something else than content."""
     root = Node("html", None, False)
     stack, at, end = [root], 0, len(page)
+    doubts: list[Node] = []
     while at < end:
         m = TAG.search(page, at)
         if m is None:
@@ -100,13 +124,20 @@ def parse(page: str) -> Node:
                 _close(stack, old, SCOPE - {"td", "th"} if tag in ("tr", "tbody", "tfoot") else SCOPE)
             if tag in ("html", "body") and len(stack) == 1:
                 continue
-            node = Node(tag, stack[-1], stack[-1].dropped or _unwanted(tag, m[3], stack))
+            unwanted = _unwanted(tag, m[3], stack, by_name)
+            node = Node(tag, stack[-1], stack[-1].dropped or unwanted == 2)
+            if unwanted == 1 and not node.dropped:
+                doubts.append(node)
             stack[-1].kids.append(node)
             if tag in RAW:
                 stop = re.compile(f"</{re.escape(tag)}\\b[^>]*>", re.I).search(page, at)
                 at = stop.end() if stop else end if tag in ("script", "style") else at
             elif tag not in VOID and not m[3].rstrip().endswith("/") and len(stack) < DEEP:
                 stack.append(node)
+    for node in reversed(doubts):  # inner ones first
+        blocks = _blocks(node)
+        links, chars = sum(b[2] for b in blocks), sum(len(b[1]) for b in blocks)
+        node.dropped = links >= 0.25 * chars or not any(len(b[1]) > 80 and SENTENCE.search(b[1]) for b in blocks)
     return root
 
 
@@ -181,12 +212,30 @@ def _score(blocks: list[tuple[Node, str, int]]) -> dict[Node, list[float]]:
     return found
 
 
+def _prose(blocks: list[tuple[Node, str, int]]) -> int:
+    """Characters outside links."""
+    return sum(len(text) - links for _, text, links in blocks)
+
+
+def _left_out(node: Node, inside: bool = False) -> int:
+    """Characters of source text in elements that are left out and not so by their tag."""
+    if node.tag in NEVER:
+        return 0
+    inside = inside or node.dropped
+    return sum((len(k) if inside else 0) if isinstance(k, str) else _left_out(k, inside) for k in node.kids)
+
+
 def main_text(page: str | None) -> str:
     """The article of a page: its blocks, white space made single, joined by line ends."""
     if not page:
         return ""
     root = parse(page)
     blocks = _blocks(root)
+    prose = _prose(blocks)
+    if _left_out(root) > 3 * prose:  # a name that takes most of the page's prose was not one of a part
+        every = _blocks(parse(page, by_name=False))
+        if prose < 0.25 * _prose(every):
+            blocks = every
     if not blocks:
         return ""
     found = _score(blocks)
@@ -203,7 +252,7 @@ def main_text(page: str | None) -> str:
                 kept.add(sibling)
             elif sibling.tag == "p" and sibling in own:
                 text, links = own[sibling]
-                if len(text) > 80 and links < 0.25 * len(text) or not links and re.search(r"[.!?](\s|$)", text):
+                if len(text) > 80 and links < 0.25 * len(text) or not links and SENTENCE.search(text):
                     kept.add(sibling)
     inside: dict[Node, bool] = {}
 

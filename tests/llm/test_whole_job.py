@@ -5,7 +5,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
-from daymart.llm import ppm, queries
+from daymart.llm import html_extract, ppm, queries
 
 
 def plain_ppm(train, others):
@@ -63,3 +63,19 @@ def test_lm_scoring_keeps_every_context(spark):
     got = {r.doc_id: r.score for r in ppm.score(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
     for i, want in zip(texts, plain_ppm(train, texts.values())):
         assert abs(got[i] - want) <= 1e-6 * abs(want)
+
+
+PROSE = "The river rose in the night, and by the morning the lower road, the mill and the yard stood under water. "
+
+
+def test_names_that_hold_the_article_are_kept():
+    filler = f"<p>{PROSE}first</p><p>{PROSE}second</p>"
+    for attributes in ('class="content has-sidebar"', 'id="related-work"', 'class="social-policy"', 'data-x="so hidden a"',
+                       'class="sidebar"', 'title="a hidden gem"'):
+        got = html_extract.main_text(f"<body><div {attributes}>{filler}</div></body>")
+        assert got.split("\n") == [f"{PROSE}first", f"{PROSE}second"], attributes
+    inner = f'<article>{filler}<section id="related-work"><p>{PROSE}third</p></section><p title="a hidden gem">{PROSE}</p>'
+    assert len(html_extract.main_text(inner + "</article>").split("\n")) == 4
+    for attributes in ("hidden", 'hidden=""', 'class="related-posts"', 'class="sidebar"', 'id="site-footer"'):
+        got = html_extract.main_text(f"<article>{filler}<div {attributes}><p>Other <a>things</a></p></div></article>")
+        assert "Other" not in got, attributes
