@@ -5,8 +5,10 @@ items and cells, unclosed and stray tags). Elements that are never content (navi
 asides, forms, scripts, and what class, id or role names call so) are left out, but not by a name that also says
 content, by a doubtful one on prose, or by names that take three quarters of the page's prose. Every paragraph-like block passes
 points for its length and commas to its parent, half to its grandparent and less further up; a container's points
-are discounted by the share of its text that lies in links. The best container is kept, with those siblings that
-score well beside it or are paragraphs of prose. The kept blocks' texts are joined in page order.
+are discounted by the share of its text that lies in links. The best container is kept, or the article or main
+element around it if few of that one's characters are links, without such lists, tables and sections in it beside the
+best container that are mostly links. Beside the container so found stay siblings that score well, paragraphs of prose,
+headings, lists, tables, preformatted text and figures with few links. The kept blocks' texts are joined in page order.
 
 The reading is one pass per page, in a narrow map. Null and empty pages give an empty text. Pages of any length are
 parsed whole; nesting deeper than ``DEEP`` is flattened, so a page cannot exhaust a task's stack. Repeated rows give
@@ -56,6 +58,8 @@ DEEP = 200
 BASE = {"article": 25, "main": 20, "section": 5, "div": 5, "td": 3, "blockquote": 3, "pre": 3, "form": -3, "ul": -3,
         "ol": -3, "dl": -3, "table": -3}
 SENTENCE = re.compile(r"[.!?](\s|$)")
+GROUPS = set("ul ol dl table div section".split())
+BESIDE = set("ul ol dl table pre figure figcaption blockquote".split())
 HEADING = re.compile("h[1-6]")
 
 
@@ -225,6 +229,28 @@ def _left_out(node: Node, inside: bool = False) -> int:
     return sum((len(k) if inside else 0) if isinstance(k, str) else _left_out(k, inside) for k in node.kids)
 
 
+def _upward(node: Node | None):
+    while node is not None:
+        yield node
+        node = node.parent
+
+
+def _enclosing(node: Node) -> Node | None:
+    """The closest article around an element, or else the closest main."""
+    around = list(_upward(node))
+    return next((n for tag in ("article", "main") for n in around if n.tag == tag), None)
+
+
+def _sizes(blocks: list[tuple[Node, str, int]]) -> dict[Node, tuple[int, int]]:
+    """(characters, characters in links) of every element that holds text."""
+    out: dict[Node, tuple[int, int]] = {}
+    for owner, text, links in blocks:
+        for node in _upward(owner):
+            chars, linked = out.get(node, (0, 0))
+            out[node] = chars + len(text), linked + links
+    return out
+
+
 def main_text(page: str | None) -> str:
     """The article of a page: its blocks, white space made single, joined by line ends."""
     if not page:
@@ -241,12 +267,21 @@ def main_text(page: str | None) -> str:
     found = _score(blocks)
     value = {n: points * (1 - links / max(1, chars)) for n, (points, chars, links) in found.items()}
     best = max(found, key=lambda n: (value[n], n.depth))
+    least = max(10.0, value[best] * 0.2)
+    size = _sizes(blocks)
+    dense = lambda node: size[node][1] / max(1, size[node][0])
+    whole = _enclosing(best)
+    cut: set[Node] = set()
+    if whole is not None and dense(whole) < 0.4:
+        path = set(_upward(best))
+        cut = {n for n in size if n.tag in GROUPS and n not in path and best not in _upward(n)
+               and whole in _upward(n) and dense(n) > 0.5}
+        best = whole
     kept = {best}
     if best.parent is not None:
-        least = max(10.0, value[best] * 0.2)
         own = {owner: (text, links) for owner, text, links in blocks}
         for sibling in best.parent.kids:
-            if isinstance(sibling, str) or sibling is best or sibling.dropped:
+            if isinstance(sibling, str) or sibling is best or sibling not in size:
                 continue
             if sibling in value and sibling.tag not in ("p", "ul", "ol", "table") and value[sibling] >= least:
                 kept.add(sibling)
@@ -254,13 +289,15 @@ def main_text(page: str | None) -> str:
                 text, links = own[sibling]
                 if len(text) > 80 and links < 0.25 * len(text) or not links and SENTENCE.search(text):
                     kept.add(sibling)
+            elif (sibling.tag in BESIDE or HEADING.fullmatch(sibling.tag)) and dense(sibling) < 0.25:
+                kept.add(sibling)
     inside: dict[Node, bool] = {}
 
     def within(node: Node | None) -> bool:
         if node is None:
             return False
         if node not in inside:
-            inside[node] = node in kept or within(node.parent)
+            inside[node] = node not in cut and (node in kept or within(node.parent))
         return inside[node]
 
     return "\n".join(text for owner, text, _ in blocks if within(owner))

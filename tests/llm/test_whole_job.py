@@ -79,3 +79,19 @@ def test_names_that_hold_the_article_are_kept():
     for attributes in ("hidden", 'hidden=""', 'class="related-posts"', 'class="sidebar"', 'id="site-footer"'):
         got = html_extract.main_text(f"<article>{filler}<div {attributes}><p>Other <a>things</a></p></div></article>")
         assert "Other" not in got, attributes
+
+
+def test_parts_beside_the_paragraphs_are_kept():
+    links = "".join(f'<li><a href="x">Another page of the site {i}</a></li>' for i in range(9))
+    for n in (1, 3, 10, 40):
+        paragraphs = "".join(f"<p>{PROSE * 3}{i}</p>" for i in range(n))
+        parts = "<h1>Title</h1>", f"<div><h2>Part</h2>{paragraphs}</div>", "<ul><li>one<li>two</ul>", "<pre>code()</pre>", \
+            "<table><tr><td>3<td>4</table>", "<figure><figcaption>A view</figcaption></figure>", "<p>Short"
+        want = ["Title", "Part", *(f"{PROSE * 3}{i}" for i in range(n)), "one", "two", "code()", "3", "4", "A view"]
+        for page in ("<article>{}</article>", "<main><div>{}</div></main>", "<article><section>{}</section></article>"):
+            got = html_extract.main_text("<body><ul>" + links + "</ul>" + page.format("".join(parts)) + "</body>")
+            assert got.split("\n") == [*want, "Short"], (n, page)
+            assert html_extract.main_text(page.format("".join(parts) + f"<ul>{links}</ul>")).split("\n")[:len(want)] == want
+        if n > 1:
+            got = html_extract.main_text("<div>" + "".join(parts[:-1]) + f"<ul>{links}</ul></div>")
+            assert [t for t in got.split("\n") if "Another" not in t] == want, n
