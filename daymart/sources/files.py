@@ -1,7 +1,7 @@
 """File-level sources: integrity inventory, batch manifests.
 
-* ``file_inventory`` - one row per file: path, bytes, SHA-256 (binaryFile
-  source; each file's bytes are hashed inside one task, files in parallel).
+* ``file_inventory`` - one row per file: path, bytes, SHA-256 (each file is
+  hashed inside one task, files in parallel; large ones as streams of lines).
 * ``build_manifest`` - inventory joined with the per-file row counts of a
   CSV/Parquet scan (counts come from a partial aggregate, not a collect).
 * ``read_manifest`` / ``manifest_violations`` - batch manifest JSON scanned
@@ -12,6 +12,9 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,23 +46,74 @@ DATE_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 # ---- end of fixed values --------------------------------------------------
 
 
-MAX_FILE_BYTES = 2**31 - 1  # one file's bytes are hashed inside one task
-
-
-def file_inventory(spark: SparkSession, paths, glob: str | None = None,
-                   max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
-    """(path, bytes, sha256) per file. Files larger than ``max_bytes`` are
-    rejected up front (a metadata-only pass: the content column is pruned)."""
+WHOLE_FILE_BYTES = 32 << 20  # files up to this size are read as one row
+
+
+def _spelled(path):
+    """One spelling of a path, whichever way Spark gave it (escapes, slashes behind the scheme)."""
+    return F.regexp_replace(path, "^([A-Za-z0-9+.-]+):/+", "$1:/")
+
+
+def _streamed_sha(rows):
+    """(name, sha256) of files whose lines come one behind another in file order (name, size, line)."""
+    name, digest, size, seen, held = None, None, 0, 0, b""
+    bom = b"\xef\xbb\xbf"
+
+    def ended():
+        rest = size - seen - len(held)  # the reader takes off a leading mark and does not tell a last line end
+        tail, digest_of = held + (b"\n" if rest in (1, 4) else b""), digest[rest in (3, 4)]
+        if rest not in (0, 1, 3, 4):
+            raise ValueError(f"{name}: {rest} bytes of the file were not read")
+        digest_of.update(tail)
+        return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([digest_of.hexdigest()])], names=["name", "sha256"])
+
+    for batch in rows:
+        for file, length, line in zip(*(batch.column(c).to_pylist() for c in ("name", "size", "line"))):
+            if file != name:
+                if name is not None:
+                    yield ended()
+                name, size, seen, digest = file, length, 0, (hashlib.sha256(), hashlib.sha256(bom))
+            else:
+                for d in digest:
+                    d.update(held)
+                    d.update(b"\n")
+                seen += len(held) + 1
+            held = line
+    if name is not None:
+        yield ended()
+
+
+def streamed_inventory(spark: SparkSession, files: list[tuple[str, int]]) -> DataFrame:
+    """(path, bytes, sha256) of large files, read as lines that are sorted into file order and hashed as a stream: any
+    size, any store that Spark reads, no file in memory."""
+    known = spark.createDataFrame(files, "path string, bytes long")
+    lines = spark.read.option("lineSep", "\n").text([path for path, _ in files]).select(
+        _spelled(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))).alias("name"),
+        F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"), F.col("value").cast("binary").alias("line"))
+    sums = lines.repartition("name").sortWithinPartitions("name", "start", "at").select("name", "size", "line") \
+        .mapInArrow(_streamed_sha, "name string, sha256 string")
+    return known.withColumn("name", _spelled(F.col("path"))).join(sums, "name").select("path", "bytes", "sha256")
+
+
+def file_inventory(spark: SparkSession, paths, glob: str | None = None, max_bytes: int | None = None,
+                   whole_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """(path, bytes, sha256) per file, of any size: files up to ``whole_bytes`` are one row each, larger ones are hashed
+    as streams. With ``max_bytes``, larger files are rejected up front. Sizes come from a metadata-only pass: the
+    content column is pruned."""
     from daymart.errors import DataContractError
     r = spark.read.format("binaryFile")
     if glob:
         r = r.option("pathGlobFilter", glob)
     df = r.load(paths if isinstance(paths, (list, tuple)) else [paths])
-    big = df.select("path", "length").filter(F.col("length") > max_bytes).limit(5).collect()
-    if big:
-        raise DataContractError(f"files too large to hash in one task: {[(b.path, b.length) for b in big]}")
-    return df.select(F.col("path"), F.col("length").alias("bytes"),
-                     F.sha2(F.col("content"), 256).alias("sha256"))
+    if max_bytes is not None:
+        big = df.select("path", "length").filter(F.col("length") > max_bytes).limit(5).collect()
+        if big:
+            raise DataContractError(f"files too large to hash in one task: {[(b.path, b.length) for b in big]}")
+    small = df.filter(F.col("length") <= whole_bytes).select(
+        "path", F.col("length").alias("bytes"), F.sha2(F.col("content"), 256).alias("sha256"))
+    large = [tuple(b) for b in df.select("path", "length").filter(F.col("length") > whole_bytes).collect()]
+    return small.unionByName(streamed_inventory(spark, large)) if large else small
 
 
 def row_counts(df: DataFrame) -> DataFrame:
