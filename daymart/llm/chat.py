@@ -187,5 +187,5 @@ def read_back(nodes: DataFrame, vocabulary: str) -> DataFrame:
 def format_chats(rows: DataFrame, vocabulary: str, shard_tokens: int = 65_536) -> tuple[DataFrame, DataFrame]:
     """(nodes, members): the written prefix trees, and the path at which each conversation ends."""
     convs = materialize(conversations(rows), "chat-conversations")
-    distinct = convs.groupBy("path").agg(F.min_by("turns", "conv_id").alias("turns"))
+    distinct = convs.groupBy("path").agg(F.first("turns").alias("turns"))  # equal within a path
     return materialize(prefix_tree(distinct, vocabulary, shard_tokens), "chat-nodes"), convs.select("conv_id", "path")

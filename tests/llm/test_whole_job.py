@@ -5,7 +5,8 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
-from daymart.llm import html_extract, ppm, queries
+from daymart.llm import chat, html_extract, ppm, queries
+from tests.llm import brute
 
 
 def plain_ppm(train, others):
@@ -95,3 +96,11 @@ def test_parts_beside_the_paragraphs_are_kept():
         if n > 1:
             got = html_extract.main_text("<div>" + "".join(parts[:-1]) + f"<ul>{links}</ul></div>")
             assert [t for t in got.split("\n") if "Another" not in t] == want, n
+
+
+def test_a_conversation_without_an_id_is_formatted(spark):
+    rows = [(None, 0, "user", "alone"), (None, 1, "assistant", "yes"), (1, 0, "user", "other")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    nodes, members = chat.format_chats(df, queries.tokenizer("byte_bpe_50k.json"))
+    got = members.join(chat.read_back(nodes, queries.tokenizer("byte_bpe_50k.json")), "path").collect()
+    assert {r.conv_id: (r.n_turns, r.turns_sha256) for r in got} == {c: x[:2] for c, x in brute.chats(rows).items()}
