@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from daymart.llm.common import components, lower_words, materialize
 
 _SETS = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64()),
-                   ("signature", pa.list_(pa.int64()))])
-SETS = "doc_id long, n_shingles long, set_id long, signature array<long>"
+                   ("signature", pa.list_(pa.int64())), ("text_hash", pa.int64())])
+SETS = "doc_id long, n_shingles long, set_id long, signature array<long>, text_hash long"
 BROADCAST = 2_000_000  # rows of two longs
 
 
@@ -111,35 +111,38 @@ def sets_of(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
                     numbers.append(set_id(h) if len(h) else None)
                     signatures.append(signature(h, a, b) if len(h) else None)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()),
-                                                  pa.array(numbers, pa.int64()), _signed(signatures)], schema=_SETS)
+                                                  pa.array(numbers, pa.int64()), _signed(signatures), part.column(2)],
+                                                 schema=_SETS)
 
-    return docs.select("doc_id", "text").mapInArrow(run, SETS)
+    return docs.select("doc_id", "text", F.xxhash64("text")).mapInArrow(run, SETS)
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(set_id, hashes): the whole shingle sets of ``wanted`` (set_id, first_id), from the texts that carry that id."""
+    """(set_id, hashes): the whole shingle sets of ``wanted`` (set_id, first_id, text_hash), from the texts that carry
+    that id and hash, so texts without an id do not all meet; repeated rows give one set."""
 
     def run(found):
         for batch in found:
             ids, sets = [], []
             for number, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 h = shingle_hashes(text, words)
-                if len(h) and set_id(h) == number:  # an id may be carried by other texts as well
+                if len(h) and set_id(h) == number:  # a hash may be carried by another text as well
                     ids.append(number)
                     sets.append(h.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())],
                                              names=["set_id", "hashes"])
 
     wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST else wanted
-    return docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["first_id"])).select("set_id", "text") \
-        .mapInArrow(run, "set_id long, hashes binary")
+    same = docs["doc_id"].eqNullSafe(wanted["first_id"]) & (F.xxhash64(docs["text"]) == wanted["text_hash"])
+    return docs.join(wanted, same).select("set_id", "text").mapInArrow(run, "set_id long, hashes binary") \
+        .groupBy("set_id").agg(F.first("hashes").alias("hashes"))
 
 
 def _confirm(pairs: DataFrame, own: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets intersect in at least ``percent`` hundredths of their union."""
     pairs = materialize(pairs, "minhash-pairs")
     both = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-    sets = _full_sets(docs, materialize(own.select("set_id", "first_id").join(both, "set_id"), "minhash-wanted"), words)
+    sets = _full_sets(docs, materialize(own.select("set_id", "first_id", "text_hash").join(both, "set_id"), "minhash-wanted"), words)
     side = lambda name: sets.select(F.col("set_id").alias(name), F.col("hashes").alias(f"{name}_hashes"))
 
     def run(found):
@@ -167,7 +170,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordina
     docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     rows = materialize(sets_of(docs, words, coordinates), "minhash-rows")
     own = materialize(rows.where("set_id is not null").groupBy("set_id").agg(
-        F.min("doc_id").alias("first_id"), F.first("signature").alias("signature")), "minhash-sets")
+        F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")).alias("least"),
+        F.first("signature").alias("signature"))
+        .select("set_id", F.col("least.doc_id").alias("first_id"), "least.text_hash", "signature"), "minhash-sets")
     posted = own.select("set_id", F.posexplode("signature").alias("coordinate", "value")) \
         .select("set_id", F.xxhash64("coordinate", "value").alias("posting"))
     shared = posted.groupBy("posting").agg(F.count(F.lit(1)).alias("n"), F.min("set_id").alias("leader")).where("n > 1")

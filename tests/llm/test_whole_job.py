@@ -5,7 +5,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
-from daymart.llm import chat, html_extract, ppm, queries
+from daymart.llm import chat, html_extract, minhash_join, ppm, queries
 from tests.llm import brute
 
 
@@ -104,3 +104,18 @@ def test_a_conversation_without_an_id_is_formatted(spark):
     nodes, members = chat.format_chats(df, queries.tokenizer("byte_bpe_50k.json"))
     got = members.join(chat.read_back(nodes, queries.tokenizer("byte_bpe_50k.json")), "path").collect()
     assert {r.conv_id: (r.n_turns, r.turns_sha256) for r in got} == {c: x[:2] for c, x in brute.chats(rows).items()}
+
+
+def test_texts_without_an_id_do_not_all_meet(spark):
+    draw = random.Random(2)
+    texts = [" ".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=40)) for _ in range(60)]
+    rows = [(None, t) for t in texts] + [(None, t + " one") for t in texts] + [(None, texts[0])] * 5 + [(7, texts[1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = minhash_join.sets_of(df, 2, 4).groupBy("set_id").agg({"text_hash": "min"}).toDF("set_id", "text_hash")
+    sets = minhash_join._full_sets(df, wanted.selectExpr("set_id", "cast(null as long) first_id", "text_hash"), 2)
+    assert sets.count() == 120
+    plan = sets._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in plan
+    got = minhash_join.near_duplicates(df, words=2).collect()
+    assert len(got) == len(rows)
+    assert sorted(r.component_id for r in got if r.component_id is not None) == [7, 7, 7]
