@@ -336,7 +336,7 @@ def q_stage_key_violations(spark, d):
 
 
 def q_fact_not_null(spark, d):
-    r = resolved_sales(spark, d, how="left")
+    r = resolved_sales(spark, d, history2(spark, d, written=True), how="left")
     return facts.not_null_violations(r, ["salesid", "buyer_key", "seller_key", "saletime"], "fact_sales")
 
 
