@@ -132,14 +132,14 @@ def clean(docs: DataFrame, items: DataFrame, n: int = 5, percent: int = 80) -> D
 
 
 ORACLE = """
-WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[ \\t-\\r]+'), x -> x <> '') AS a
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[ \\t-\\r]+'), lambda x: x <> '') AS a
            FROM documents),
 d AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest(list_transform(range(1, len(a) - 3),
-        i -> concat_ws(' ', a[i], a[i + 1], a[i + 2], a[i + 3], a[i + 4]))) AS s FROM w)),
-v AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[ \\t-\\r]+'), x -> x <> '') AS a
+        lambda i: concat_ws(' ', a[i], a[i + 1], a[i + 2], a[i + 3], a[i + 4]))) AS s FROM w)),
+v AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[ \\t-\\r]+'), lambda x: x <> '') AS a
       FROM benchmark),
 i AS (SELECT DISTINCT item_id, s FROM (SELECT item_id, unnest(list_transform(range(1, len(a) - 3),
-        i -> concat_ws(' ', a[i], a[i + 1], a[i + 2], a[i + 3], a[i + 4]))) AS s FROM v)),
+        lambda i: concat_ws(' ', a[i], a[i + 1], a[i + 2], a[i + 3], a[i + 4]))) AS s FROM v)),
 n AS (SELECT item_id, count(*) AS item_shingles FROM i GROUP BY item_id)
 SELECT doc_id, item_id, item_shingles, count(*) AS common_shingles, count(*) / item_shingles AS containment
 FROM d JOIN i USING (s) JOIN n USING (item_id)
