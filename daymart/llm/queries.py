@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymart.llm import (chat, decontaminate, html_extract, line_dedup, minhash_join, packing, permuterm, ppm,
-                         token_counts, toxicity, vector_join, warc)
+                         token_counts, toxicity, turn_repair, vector_join, warc)
 from daymart.llm.common import table
 from daymart.session import configure
 
@@ -88,6 +88,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return members.join(read, "path").drop("path")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.report(table(spark, sf_dir, "conversations"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permuterm.group_variants(table(spark, sf_dir, "documents"))
 
@@ -100,7 +104,7 @@ def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_html_extraction, op3_warc, op4_packing, op5_toxicity, op6_minhash_near_dedup,
     op7_token_counts, op8_decontamination, op9_lm_scoring, op10_chat_formatting,
-    op12_spelling_variants, op13_line_dedup)}
+    op11_conversation_repair, op12_spelling_variants, op13_line_dedup)}
 ORACLE = {"op8_decontamination": decontaminate.ORACLE, "op13_line_dedup": line_dedup.ORACLE}
 
 
