@@ -188,8 +188,9 @@ def dedup_lines(docs: DataFrame, shortest: int = 40, least_docs: int = 5, id_col
                         "line-suspects")
     document = F.struct("doc_id", F.when(F.col("doc_id").isNull(), F.col("version")).alias("version"))
     found = found.withColumn("document", document)
-    shared = found.select("key", "document").distinct().groupBy("key") \
-        .agg(F.count(F.lit(1)).alias("n"), F.max("document").alias("last")).where(F.col("n") >= least_docs)
+    shared = materialize(found.select("key", "document").distinct().groupBy("key")
+                         .agg(F.count(F.lit(1)).alias("n"), F.max("document").alias("last"))
+                         .where(F.col("n") >= least_docs), "line-shared")  # a table, so that a frequent key's join is split
     gone = found.join(shared, "key").where(~F.col("document").eqNullSafe(F.col("last")))
     drops = gone.groupBy("doc_id", "version").agg(F.flatten(F.collect_list("lines")).alias("drops")) \
         .withColumnsRenamed({"doc_id": "drop_id", "version": "drop_version"})
