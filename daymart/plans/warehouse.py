@@ -11,7 +11,7 @@ other inputs and a stale fencing epoch are rejected.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace as changed
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -22,17 +22,16 @@ from daymart import contracts
 from daymart.errors import DataContractError, first_violation
 from daymart.functions.columns import load_date_rules
 from daymart.operators import facts, scd2
-from daymart.sinks.publish import Warehouse
+from daymart.sinks.outputs import ROW_MISMATCH, Outputs
+from daymart.sinks.publish import NOT_NULL_MSG, Warehouse  # noqa: F401
 from daymart.sources.files import BATCH_ID_PATTERN, SHA256_PATTERN
 
 # ---- fixed values: loader messages ----------------------------------------
 MISSING_REFS = "Missing dimension references: sales={sales}, listings={listings}"
 STAGE_FACT_KEY = "stage.{table} requires unique non-null {key}"
-NOT_NULL_MSG = "NOT NULL violation in {table}.{column}"
 REUSED_BATCH = "Committed batch ID reused with different inputs"
 BAD_IDENTITY = "Invalid batch request identity"
 STALE_EPOCH = "Stale warehouse fencing epoch"
-ROW_MISMATCH = "COPY row count differs from committed output manifest"
 # ---- end of fixed values --------------------------------------------------
 
 DIMS = {"users": ("user_key", contracts.USER_ATTRS), "event": ("event_key", contracts.EVENT_ATTRS)}
@@ -47,10 +46,14 @@ class BatchRequest:
     attempt: int = 1
     fence_epoch: int = 1
     declared_rows: dict = field(default_factory=dict)
+    manifest_sha: str = ""  # of the output manifest; filled in by the load
+    attempt_root: str = ""
 
     def receipt(self) -> dict:
-        return {"batch_id": self.batch_id, "input_sha": self.input_sha, "output_sha": self.output_sha,
-                "attempt": self.attempt, "fence_epoch": self.fence_epoch, "load_date": self.load_date}
+        """``output_sha``: what the caller declared, else the output manifest's hash."""
+        return {"batch_id": self.batch_id, "input_sha": self.input_sha, "output_sha": self.output_sha or self.manifest_sha,
+                "manifest_sha": self.manifest_sha, "attempt": self.attempt, "fence_epoch": self.fence_epoch,
+                "load_date": self.load_date, "attempt_root": self.attempt_root}
 
 
 def run_concurrently(tasks: dict) -> dict:
@@ -118,17 +121,48 @@ class _Trace:
             self.t = now
 
 
+def reconcile(found: dict, declared: dict) -> None:
+    """Raise unless every declared dataset has exactly the declared rows."""
+    for n, rows in declared.items():
+        if found.get(n) != rows:
+            raise DataContractError(f"{ROW_MISMATCH}: {n}")
+
+
+def load_outputs(spark: SparkSession, wh: Warehouse, req: BatchRequest, today: str | None = None,
+                 hot_threshold: int | None = 1_000_000) -> dict:
+    """Load the committed output manifest of a batch attempt that another job has written: its files are checked
+    against the list, their rows against the manifest's, and the request's ``output_sha`` against its hash."""
+    import datetime as _dt
+
+    today = today or _dt.datetime.now(_dt.timezone.utc).date().isoformat()
+    state = wh.latest()
+    if check_request(wh, state, req, today) == "duplicate":
+        return {"status": "duplicate", "version": state["version"]}
+    store = Outputs(spark, wh.root)
+    manifest = store.manifest(req.batch_id, req.attempt)
+    if req.output_sha and req.output_sha != manifest.sha:
+        raise DataContractError(f"{BAD_IDENTITY}: output manifest of {req.batch_id!r}")
+    stage = store.stage(manifest)
+    declared = {**manifest.rows, **req.declared_rows}
+    req = changed(req, declared_rows=declared, manifest_sha=manifest.sha,
+                  attempt_root=store.attempt_root(req.batch_id, req.attempt))
+    return load_batch(spark, wh, stage, req, today, hot_threshold, materialize_stage=False)
+
+
 def load_batch(spark: SparkSession, wh: Warehouse, stage: dict, req: BatchRequest,
                today: str | None = None, hot_threshold: int | None = 1_000_000,
                materialize_stage: bool = True) -> dict:
     """Load one batch of six stage frames (stage contracts) atomically.
 
-    ``materialize_stage``: the stage frames are written once as tables in
-    the checkpoint folder (the stage load); every guard, the resolution and
-    the writes then read them instead of re-running the cleaners.
+    ``materialize_stage``: the stage frames are written once as the outputs
+    of the batch attempt (the stage load), listed in one output manifest and
+    read back from exactly its files; every guard, the resolution and the
+    writes then read them instead of re-running the cleaners. Rows counted by
+    those writes are held against the files and against ``declared_rows``
+    before any dimension job. A retry of the attempt with the same rows
+    reuses its outputs, other rows are refused.
     """
     import datetime as _dt
-    from daymart.sinks.materialize import materialize
 
     trace = _Trace()
     today = today or _dt.datetime.now(_dt.timezone.utc).date().isoformat()
@@ -138,19 +172,18 @@ def load_batch(spark: SparkSession, wh: Warehouse, stage: dict, req: BatchReques
     ld = req.load_date
     stage = {n: df for n, df in stage.items() if not n.startswith("_")}
     if materialize_stage:
-        stage = run_concurrently({
-            n: (lambda n=n, df=df: materialize(df.select(*contracts.stage_columns(n)), f"stage_{n}"))
-            for n, df in stage.items()})
-    trace("stage")
-
-    # stage: declared output rows (cleaned, not raw) reconcile with what was staged (one job)
-    if req.declared_rows:
-        counts = reduce(DataFrame.unionByName, [
+        store = Outputs(spark, wh.root)
+        outputs = run_concurrently({n: (lambda n=n, df=df: store.put(df, n, req.batch_id, req.attempt))
+                                    for n, df in stage.items()})
+        reconcile({n: o.rows for n, o in outputs.items()}, req.declared_rows)
+        manifest = store.commit_manifest(outputs.values(), ld, req.input_sha)
+        stage = store.stage(manifest)
+        req = changed(req, manifest_sha=manifest.sha, attempt_root=store.attempt_root(req.batch_id, req.attempt))
+    elif req.declared_rows:
+        reconcile({r["dataset"]: r["rows"] for r in reduce(DataFrame.unionByName, [
             stage[n].agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("dataset"), "rows")
-            for n in req.declared_rows]).collect()
-        for r in counts:
-            if r["rows"] != req.declared_rows[r["dataset"]]:
-                raise DataContractError(f"{ROW_MISMATCH}: {r['dataset']}")
+            for n in req.declared_rows]).collect()}, req.declared_rows)
+    trace("stage")
 
     cached = []
 
@@ -230,34 +263,32 @@ def _load_staged(spark: SparkSession, wh: Warehouse, state: dict, stage: dict, r
     if counts["sales"] or counts["listing"]:
         raise DataContractError(MISSING_REFS.format(sales=counts["sales"], listings=counts["listing"]))
     trace("fact resolution + coverage")
-    nn = reduce(DataFrame.unionByName, [
-        facts.not_null_violations(appended[t], contracts.NOT_NULL[f"fact_{t}"], f"fact_{t}")
-        for t in fact_specs]).limit(1).collect()
-    if nn:
-        raise DataContractError(NOT_NULL_MSG.format(table=nn[0]["table"], column=nn[0]["column"]))
-    trace("not null")
-
     # publish: write versions, then one exclusive commit
     # write-once directory per (batch, attempt, target commit)
     tag = f"{req.batch_id}-a{req.attempt}-c{state['version'] + 1}"
+    # every version is measured while it is written; a NULL in a NOT NULL column stops the load before the commit
     replace, append, schemas, writes = {}, {}, {}, {}
     for n in DIMS:
         writes[("append", f"dim_{n}_closed")] = (new_closed[n], [key[n]])
         writes[("replace", f"dim_{n}_current")] = (new_current[n], [key[n]])
         schemas[f"dim_{n}_closed"] = schemas[f"dim_{n}_current"] = contracts.dim_schema(n).json()
     for t, (k, ts, _, schema) in fact_specs.items():
-        writes[("append", f"fact_{t}")] = (appended[t], ["dateid", "eventid"])
+        writes[("append", f"fact_{t}")] = (appended[t], ["dateid", "eventid", k])
         schemas[f"fact_{t}"] = schema.json()
-    paths = run_concurrently({
-        w: (lambda w=w, df=df, cols=cols: wh.write_version(w[1], df, tag, cols))
+    written = run_concurrently({
+        w: (lambda w=w, df=df, cols=cols: wh.write_version(
+            w[1], df, tag, cols, cluster=2 if w[1].startswith("fact_") else 0, leave_out=["load_ts"],
+            not_null=contracts.NOT_NULL[w[1].removesuffix("_closed").removesuffix("_current")]))
         for w, (df, cols) in writes.items()})
-    affected = {}
-    for (kind, name), (path, rows) in paths.items():
-        (append if kind == "append" else replace)[name] = path
-        affected[name] = rows
+    affected, ranges = {}, {}
+    for (kind, name), done in written.items():
+        (append if kind == "append" else replace)[name] = done.path
+        affected[name] = done.rows
+        if name.startswith("fact_"):
+            ranges[name] = wh.ranges_of(done.path)
     trace("write versions")
     version = wh.commit(state, replace, append, schemas, watermark=[ld],
-                        receipt=req.receipt() if req.input_sha else None)
+                        receipt=req.receipt() if req.input_sha else None, ranges=ranges)
     trace("commit")
     # affected rows: newly closed versions, current rows, appended facts
     return {"status": "committed", "version": version, "rows": affected}
