@@ -1,8 +1,8 @@
 """Dataset cleaners (Bronze text -> typed Silver rows in stage order).
 
 Each cleaner is a pure ``DataFrame -> DataFrame`` plan of built-in
-expressions; the per-step drop/dedup metrics are collected with one
-``Observation`` per cleaner instead of repeated ``count()`` actions.
+expressions; with ``steps`` it counts rows between its steps (observations in
+the writing job instead of repeated ``count()`` actions).
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from daymart import contracts
 from daymart.functions.columns import (bool_token, lenient_int, money, parse_timestamp, seats,
                                        state_code, strict_int, strip)
 from daymart.operators.dedup import dedup_last, dedup_latest
+from daymart.operators.steps import Steps, watch
 
 DEC = "decimal(8,2)"
 
@@ -25,32 +26,33 @@ def _finish(df: DataFrame, name: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def clean_category(raw: DataFrame) -> DataFrame:
+def clean_category(raw: DataFrame, steps: Steps | None = None) -> DataFrame:
     df = raw.select(lenient_int("catid", "long").alias("catid"),
                     F.upper(strip("catgroup")).alias("catgroup"),
                     strip("catname").alias("catname"), strip("catdesc").alias("catdesc"), "_pos")
-    df = df.filter(F.col("catid").isNotNull())
-    return _finish(dedup_last(df, "catid"), "category")
+    df = watch(steps, df, "parsed", bad_keys=F.col("catid").isNull()).filter(F.col("catid").isNotNull())
+    return watch(steps, _finish(dedup_last(df, "catid"), "category"), "out")
 
 
-def clean_venue(raw: DataFrame) -> DataFrame:
+def clean_venue(raw: DataFrame, steps: Steps | None = None) -> DataFrame:
     """Venue: invalid or missing state -> '' (unlike the event path)."""
     df = raw.select(lenient_int("venueid", "long").alias("venueid"),
                     strip("venuename").alias("venuename"), strip("venuecity").alias("venuecity"),
                     state_code("venuestate", invalid="").alias("venuestate"),
                     seats("venueseats").alias("venueseats"), "_pos")
-    df = df.filter(F.col("venueid").isNotNull())
-    return _finish(dedup_last(df, "venueid"), "venue")
+    df = watch(steps, df, "parsed", bad_keys=F.col("venueid").isNull()).filter(F.col("venueid").isNotNull())
+    return watch(steps, _finish(dedup_last(df, "venueid"), "venue"), "out")
 
 
-def clean_users(raw: DataFrame) -> DataFrame:
+def clean_users(raw: DataFrame, steps: Steps | None = None) -> DataFrame:
     cols = [lenient_int("userid", "long").alias("userid")]
     cols += [strip(c).alias(c) for c in ("username", "firstname", "lastname", "city")]
     cols += [state_code("state").alias("state"), F.lower(strip("email")).alias("email"),
              strip("phone").alias("phone")]
     cols += [bool_token(c).alias(c) for c in contracts.BOOL_COLUMNS]
-    df = raw.select(*cols, "_pos").filter(F.col("userid").isNotNull())
-    return _finish(dedup_last(df, "userid"), "users")
+    df = watch(steps, raw.select(*cols, "_pos"), "parsed", bad_keys=F.col("userid").isNull())
+    df = df.filter(F.col("userid").isNotNull())
+    return watch(steps, _finish(dedup_last(df, "userid"), "users"), "out")
 
 
 def _lookup_key(c: str, kind: str, mode: str):
@@ -59,7 +61,7 @@ def _lookup_key(c: str, kind: str, mode: str):
 
 
 def clean_event(event_raw: DataFrame, venue_raw: DataFrame, category_raw: DataFrame,
-                mode: str = "strict") -> DataFrame:
+                mode: str = "strict", steps: Steps | None = None) -> DataFrame:
     """Event cleaner with denormalisation of venue and category (JOIN-1)."""
     from daymart.operators.enrich import enrich_event
 
@@ -71,7 +73,8 @@ def clean_event(event_raw: DataFrame, venue_raw: DataFrame, category_raw: DataFr
         nullable("dateid", "int").alias("dateid"),
         strip("eventname").alias("eventname"),
         parse_timestamp("starttime").alias("starttime"), "_pos",
-    ).filter(F.col("eventid").isNotNull())
+    )
+    ev = watch(steps, ev, "parsed", bad_keys=F.col("eventid").isNull()).filter(F.col("eventid").isNotNull())
     venue = (venue_raw.filter(F.col("venueid").isNotNull() & (strip("venueid") != ""))
              .select(_lookup_key("venueid", "long", mode).alias("venueid"),
                      strip("venuename").alias("venuename"), strip("venuecity").alias("venuecity"),
@@ -85,7 +88,7 @@ def clean_event(event_raw: DataFrame, venue_raw: DataFrame, category_raw: DataFr
            .filter(F.col("catid").isNotNull()))
     merged = enrich_event(ev, dedup_last(venue, "venueid").drop("_pos"),
                           dedup_last(cat, "catid").drop("_pos"))
-    return _finish(dedup_last(merged, "eventid"), "event")
+    return watch(steps, _finish(dedup_last(merged, "eventid"), "event"), "out")
 
 
 def _strict_nullable(c: str, kind: str):
@@ -134,30 +137,30 @@ def _to_contract(raw: DataFrame, name: str, mode: str) -> DataFrame:
 
 
 def _transactions(raw: DataFrame, name: str, ts: str, defaults: dict, mode: str,
-                  extra_filter=None) -> DataFrame:
+                  extra_filter=None, steps: Steps | None = None) -> DataFrame:
     if "_pos" not in raw.columns:
         raw = raw.withColumn("_pos", F.monotonically_increasing_id())
     typed = _to_contract(raw, name, mode)
     key = contracts.KEYS[name]
-    df = typed.filter(F.col(key).isNotNull())
+    df = watch(steps, typed, "parsed", bad_keys=F.col(key).isNull()).filter(F.col(key).isNotNull())
     if extra_filter is not None:
-        df = df.filter(extra_filter)
+        df = watch(steps, df.filter(extra_filter), "kept")
     df = df.na.fill(defaults)
-    return _finish(dedup_latest(df, key, ts), name)
+    return watch(steps, _finish(dedup_latest(df, key, ts), name), "out")
 
 
-def clean_listing(raw: DataFrame, mode: str = "strict") -> DataFrame:
+def clean_listing(raw: DataFrame, mode: str = "strict", steps: Steps | None = None) -> DataFrame:
     """listid not null; NULL tickets/prices -> 0; latest listtime wins.
     (The NULL-time gate is ``time_gate_violations`` - run it first.)"""
     return _transactions(raw, "listing", "listtime",
-                         {"numtickets": 0, "priceperticket": 0, "totalprice": 0}, mode)
+                         {"numtickets": 0, "priceperticket": 0, "totalprice": 0}, mode, steps=steps)
 
 
-def clean_sales(raw: DataFrame, mode: str = "strict") -> DataFrame:
+def clean_sales(raw: DataFrame, mode: str = "strict", steps: Steps | None = None) -> DataFrame:
     """salesid not null; qtysold NULL or >= 1; NULL money -> 0; latest saletime wins."""
     qty_ok = F.col("qtysold").isNull() | (F.col("qtysold") >= 1)
     return _transactions(raw, "sales", "saletime",
-                         {"commission": 0, "pricepaid": 0}, mode, extra_filter=qty_ok)
+                         {"commission": 0, "pricepaid": 0}, mode, extra_filter=qty_ok, steps=steps)
 
 
 def observed(df: DataFrame, name: str, key: str | None = None):

@@ -19,6 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+SKETCH_TOP, SKETCH_ITEMS = 1_000, 1 << 14  # hot keys a role at most; counters of a sketch
+
+
 @dataclass(frozen=True)
 class Role:
     dim: DataFrame          # SCD2 history
@@ -51,14 +54,31 @@ def hot_keys(fact: DataFrame, col: str, min_rows: int) -> DataFrame:
             .select("_hot", F.ceil(F.col("_n") / F.lit(min_rows)).cast("int").alias("_salts")))
 
 
-def _salted_role_join(out: DataFrame, hot: DataFrame, r: Role, i: int, ts: str, how: str) -> DataFrame:
+def hot_keys_of_roles(fact: DataFrame, columns, min_rows: int, top: int = SKETCH_TOP, tracked: int = SKETCH_ITEMS) -> dict:
+    """{column: [(key, salts)]} of keys with at least about ``min_rows`` rows, for all columns in one scan.
+
+    One heavy-hitter sketch per column, of ``tracked`` counters whatever the data, merged as a partial aggregate; its
+    row, at most ``top`` keys a column, is all that reaches the driver. It finds every key that holds more than about
+    1.4 / ``tracked`` of the rows; keys below that share are left to adaptive execution."""
+    columns = list(dict.fromkeys(columns))
+    row = fact.agg(*[F.expr(f"approx_top_k(`{c}`, {top}, {tracked})").alias(f"_{i}") for i, c in enumerate(columns)]).first()
+    found = {}
+    for i, c in enumerate(columns):
+        items = [(x["item"], x["count"]) for x in row[f"_{i}"] or [] if x["item"] is not None]
+        found[c] = [(item, -(-n // min_rows)) for item, n in items if n >= min_rows]
+    return found
+
+
+def _salted_role_join(out: DataFrame, hot: DataFrame, r: Role, i: int, ts: str, how: str,
+                      row_id: str | None = None) -> DataFrame:
     """One equi+interval join on (natural key, salt). Rows of hot keys get a
-    salt below the key's number of salts from a hash of the row; the hot
+    salt below the key's number of salts from a hash of ``row_id`` (without
+    one, of the row); the hot
     keys' versions are replicated once per salt, cold keys keep salt 0 and
     are not replicated. The hot set carries no hint: its measured size decides
     how it is joined."""
     d = F.col(ts).cast("date")
-    row_hash = F.xxhash64(*[F.col(c) for c in out.columns])
+    row_hash = F.xxhash64(*[F.col(c) for c in ([row_id] if row_id else out.columns)])
     o = (out.join(hot, F.col(r.fact_col) == F.col("_hot"), "left")
          .withColumn(f"_salt{i}", F.coalesce(F.pmod(row_hash, F.col("_salts")), F.lit(0)))
          .drop("_hot", "_salts"))
@@ -72,24 +92,26 @@ def _salted_role_join(out: DataFrame, hot: DataFrame, r: Role, i: int, ts: str,
 
 
 def resolve_roles(fact: DataFrame, ts: str, roles, how: str = "left",
-                  hot_threshold: int | None = None) -> DataFrame:
+                  hot_threshold: int | None = None, row_id: str | None = None) -> DataFrame:
     """Add one surrogate column per role; NULL when no version covers ts.
 
     ``hot_threshold``: keys with at least that many fact rows are spread over
     ceil(rows / threshold) tasks (their versions replicated as often), so a
-    key holding a third of all facts never lands in one task. The hot keys of
-    a role are counted with one partial aggregate and written, as both join
-    sides read them. Without a threshold, AQE's skew-join splitting handles
-    oversized partitions at runtime.
+    key holding a third of all facts never lands in one task. One scan finds
+    the hot keys of all roles; a role without any is a plain join. Without a
+    threshold, AQE's skew-join splitting handles oversized partitions at
+    runtime. ``row_id``: a column that tells facts apart, for the salt.
     """
+    hot = hot_keys_of_roles(fact, [r.fact_col for r in roles], hot_threshold) if hot_threshold is not None else {}
     out = fact
     for i, r in enumerate(roles):
-        if hot_threshold is None:
+        keys = hot.get(r.fact_col)
+        if not keys:
             out = _role_join(out, r, i, ts, how)
         else:
-            from daymart.sinks.materialize import materialize
-            hot = materialize(hot_keys(fact, r.fact_col, hot_threshold), "hot_keys")
-            out = _salted_role_join(out, hot, r, i, ts, how)
+            kind = fact.schema[r.fact_col].dataType.simpleString()
+            few = fact.sparkSession.createDataFrame(keys, f"_hot {kind}, _salts int")  # SKETCH_TOP rows at most
+            out = _salted_role_join(out, few, r, i, ts, how, row_id)
     return out
 
 

@@ -22,6 +22,7 @@ from daymart import contracts
 from daymart.errors import DataContractError, first_violation
 from daymart.functions.columns import load_date_rules
 from daymart.operators import facts, scd2
+from daymart.operators.steps import Steps
 from daymart.sinks.outputs import ROW_MISMATCH, Outputs
 from daymart.sinks.publish import NOT_NULL_MSG, Warehouse  # noqa: F401
 from daymart.sources.files import BATCH_ID_PATTERN, SHA256_PATTERN
@@ -173,10 +174,7 @@ def load_batch(spark: SparkSession, wh: Warehouse, stage: dict, req: BatchReques
     stage = {n: df for n, df in stage.items() if not n.startswith("_")}
     if materialize_stage:
         store = Outputs(spark, wh.root)
-        outputs = run_concurrently({n: (lambda n=n, df=df: store.put(df, n, req.batch_id, req.attempt))
-                                    for n, df in stage.items()})
-        reconcile({n: o.rows for n, o in outputs.items()}, req.declared_rows)
-        manifest = store.commit_manifest(outputs.values(), ld, req.input_sha)
+        manifest = publish_outputs(spark, wh, stage, req)
         stage = store.stage(manifest)
         req = changed(req, manifest_sha=manifest.sha, attempt_root=store.attempt_root(req.batch_id, req.attempt))
     elif req.declared_rows:
@@ -254,7 +252,7 @@ def _load_staged(spark: SparkSession, wh: Warehouse, state: dict, stage: dict, r
         existing = wh.table(f"fact_{t}", state)
         existing = existing if existing is not None else spark.createDataFrame([], schema)
         newf = facts.new_facts(stage[t], existing, k)
-        resolved[t] = cache(facts.resolve_roles(newf, ts, roles, hot_threshold=hot_threshold))
+        resolved[t] = cache(facts.resolve_roles(newf, ts, roles, hot_threshold=hot_threshold, row_id=k))
         bad[t] = facts.coverage_counts(resolved[t], ts, ld, [r.alias for r in roles]).select(
             F.lit(t).alias("table"), "bad")
         appended[t] = resolved[t].withColumn("load_ts", F.current_timestamp()).select(
@@ -304,28 +302,43 @@ def stage_batch(spark: SparkSession, paths: dict, mode: str = "strict") -> dict:
     from daymart.sources.scan import read_dataset
 
     raw = {n: read_dataset(spark, n, paths[n], mode=mode) for n in contracts.DATASETS}
-    # input row metrics, filled by the first action on each frame
-    metrics = {}
-    for n in contracts.DATASETS:
-        raw[n], metrics[n] = clean.observed(raw[n], f"bronze_{n}")
+    steps = {n: Steps(n) for n in contracts.DATASETS}  # filled by the jobs that write the frames
     out = {
-        "category": clean.clean_category(raw["category"]),
-        "venue": clean.clean_venue(raw["venue"]),
-        "users": clean.clean_users(raw["users"]),
-        "event": clean.clean_event(raw["event"], raw["venue"], raw["category"], mode=mode),
+        "category": clean.clean_category(raw["category"], steps["category"]),
+        "venue": clean.clean_venue(raw["venue"], steps["venue"]),
+        "users": clean.clean_users(raw["users"], steps["users"]),
+        "event": clean.clean_event(raw["event"], raw["venue"], raw["category"], mode=mode, steps=steps["event"]),
     }
     for n, ts in (("listing", "listtime"), ("sales", "saletime")):
         typed = raw[n].select(clean._typed(ts, "timestamp_ntz", mode).alias(ts),
                               F.col(contracts.KEYS[n]))
         if clean.time_gate_violations(typed, ts, contracts.KEYS[n]).limit(1).count():
             raise DataContractError(f"{n}: NULL {ts} detected after CSV parsing")
-    out["listing"] = clean.clean_listing(raw["listing"], mode=mode)
-    out["sales"] = clean.clean_sales(raw["sales"], mode=mode)
-    out["_metrics"] = metrics
+    out["listing"] = clean.clean_listing(raw["listing"], mode=mode, steps=steps["listing"])
+    out["sales"] = clean.clean_sales(raw["sales"], mode=mode, steps=steps["sales"])
+    out["_steps"] = steps
     return out
 
 
 def load_bronze(spark: SparkSession, wh: Warehouse, paths: dict, req: BatchRequest,
                 mode: str = "strict", today: str | None = None) -> dict:
-    """Bronze files -> stage -> warehouse commit (one call per batch)."""
-    return load_batch(spark, wh, stage_batch(spark, paths, mode), req, today=today)
+    """Bronze files -> stage -> warehouse commit (one call per batch). A committed load also returns, for each dataset,
+    the rows read, with bad keys, filtered, de-duplicated and written (``steps``)."""
+    stage = stage_batch(spark, paths, mode)
+    return with_steps(load_batch(spark, wh, stage, req, today=today), stage)
+
+
+def with_steps(result: dict, stage: dict) -> dict:
+    if result["status"] != "committed":
+        return result
+    return {**result, "steps": [s.report() for s in stage["_steps"].values()]}
+
+
+def publish_outputs(spark: SparkSession, wh: Warehouse, stage: dict, req: BatchRequest):
+    """Write the six stage frames as the outputs of a batch attempt and commit their manifest: the first half of a
+    load, for ``load_outputs`` to take up."""
+    store = Outputs(spark, wh.root)
+    outputs = run_concurrently({n: (lambda n=n, df=df: store.put(df, n, req.batch_id, req.attempt))
+                                for n, df in stage.items() if not n.startswith("_")})
+    reconcile({n: o.rows for n, o in outputs.items()}, req.declared_rows)
+    return store.commit_manifest(outputs.values(), req.load_date, req.input_sha)

@@ -1,7 +1,7 @@
 """File-level sources: integrity inventory, batch manifests.
 
-* ``file_inventory`` - one row per file: path, bytes, SHA-256 (each file is
-  hashed inside one task, files in parallel; large ones as streams of lines).
+* ``file_inventory`` - one row per file: path, bytes, SHA-256. One sequential
+  reader per file, files in parallel, no sort and no exchange.
 * ``build_manifest`` - inventory joined with the per-file row counts of a
   CSV/Parquet scan (counts come from a partial aggregate, not a collect).
 * ``read_manifest`` / ``manifest_violations`` - batch manifest JSON scanned
@@ -13,8 +13,11 @@
 from __future__ import annotations
 
 import hashlib
+import re
+from urllib.parse import quote
 
 import pyarrow as pa
+from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,7 +49,30 @@ DATE_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 # ---- end of fixed values --------------------------------------------------
 
 
-WHOLE_FILE_BYTES = 32 << 20  # files up to this size are read as one row
+DIRECT = ("file", "s3", "gs", "abfss")  # schemes whose bytes tasks read themselves, in pieces
+PIECE = 1 << 20
+WHOLE_FILE_BYTES = 32 << 20  # in other stores, files up to this size are read as one row
+
+
+def _hashed(rows):
+    """(path, bytes, sha256) of files read in pieces, one behind another."""
+    for batch in rows:
+        out = []
+        for path, length in zip(*(c.to_pylist() for c in batch.columns)):
+            if path.startswith("file:"):
+                store, name = arrow_fs.LocalFileSystem(), re.sub("^file:/+", "/", path)
+            else:
+                store, name = arrow_fs.FileSystem.from_uri(quote(path, safe="/:@"))
+            digest, seen = hashlib.sha256(), 0
+            with store.open_input_stream(name) as source:
+                while piece := source.read(PIECE):
+                    digest.update(piece)
+                    seen += len(piece)
+            if seen != length:
+                raise ValueError(f"{path}: {seen} bytes were read, {length} are listed")
+            out.append((path, length, digest.hexdigest()))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["path", "bytes", "sha256"])
 
 
 def _spelled(path):
@@ -84,36 +110,54 @@ def _streamed_sha(rows):
 
 
 def streamed_inventory(spark: SparkSession, files: list[tuple[str, int]]) -> DataFrame:
-    """(path, bytes, sha256) of large files, read as lines that are sorted into file order and hashed as a stream: any
-    size, any store that Spark reads, no file in memory."""
-    known = spark.createDataFrame(files, "path string, bytes long")
-    lines = spark.read.option("lineSep", "\n").text([path for path, _ in files]).select(
+    """(path, bytes, sha256) of large files in stores that only Spark reads: each file is one split, read as lines and
+    hashed as a stream in file order. A reader session of its own keeps files whole; nothing is sorted or shuffled."""
+    reader = spark.newSession()
+    reader.conf.set("spark.sql.files.minPartitionNum", "1")
+    reader.conf.set("spark.sql.files.maxPartitionBytes", str(max(size for _, size in files)))
+    lines = reader.read.option("lineSep", "\n").text([path for path, _ in files]).select(
         _spelled(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))).alias("name"),
-        F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("at"), F.col("value").cast("binary").alias("line"))
-    sums = lines.repartition("name").sortWithinPartitions("name", "start", "at").select("name", "size", "line") \
-        .mapInArrow(_streamed_sha, "name string, sha256 string")
-    return known.withColumn("name", _spelled(F.col("path"))).join(sums, "name").select("path", "bytes", "sha256")
+        F.col("_metadata.file_size").alias("size"), F.col("value").cast("binary").alias("line"))
+    sums = lines.mapInArrow(_streamed_sha, "name string, sha256 string")
+    known = reader.createDataFrame(files, "path string, bytes long")  # metadata
+    return F.broadcast(known.withColumn("name", _spelled(F.col("path")))).join(sums, "name").select("path", "bytes", "sha256")
 
 
 def file_inventory(spark: SparkSession, paths, glob: str | None = None, max_bytes: int | None = None,
-                   whole_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """(path, bytes, sha256) per file, of any size: files up to ``whole_bytes`` are one row each, larger ones are hashed
-    as streams. With ``max_bytes``, larger files are rejected up front. Sizes come from a metadata-only pass: the
-    content column is pruned."""
+                   whole_bytes: int = WHOLE_FILE_BYTES, direct=DIRECT) -> DataFrame:
+    """(path, bytes, sha256) per file, of any size. The listing is a metadata-only scan (its content column is pruned)
+    whose splits are dealt by file size; its tasks read each file in pieces and hash it. In stores whose scheme is not
+    in ``direct``, files up to ``whole_bytes`` are one row each and larger ones are streams of lines. With
+    ``max_bytes``, larger files are rejected up front. Spark's listing leaves out empty files."""
     from daymart.errors import DataContractError
-    r = spark.read.format("binaryFile")
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    df = r.load(paths if isinstance(paths, (list, tuple)) else [paths])
+    from daymart.sinks.hadoop import Files
+    paths = list(paths) if isinstance(paths, (list, tuple)) else [paths]
+
+    def listing(some):
+        r = spark.read.format("binaryFile")
+        return (r.option("pathGlobFilter", glob) if glob else r).load(some)
+
     if max_bytes is not None:
-        big = df.select("path", "length").filter(F.col("length") > max_bytes).limit(5).collect()
+        big = listing(paths).select("path", "length").filter(F.col("length") > max_bytes).limit(5).collect()
         if big:
             raise DataContractError(f"files too large to hash in one task: {[(b.path, b.length) for b in big]}")
-    small = df.filter(F.col("length") <= whole_bytes).select(
-        "path", F.col("length").alias("bytes"), F.sha2(F.col("content"), 256).alias("sha256"))
-    large = [tuple(b) for b in df.select("path", "length").filter(F.col("length") > whole_bytes).collect()]
-    return small.unionByName(streamed_inventory(spark, large)) if large else small
+    near = [p for p in paths if Files(spark, p).fs.getUri().getScheme() in direct]
+    far = [p for p in paths if p not in near]
+    found = []
+    if near:
+        found.append(listing(near).select("path", "length")
+                     .mapInArrow(_hashed, "path string, bytes long, sha256 string"))
+    if far:
+        df = listing(far)
+        found.append(df.filter(F.col("length") <= whole_bytes).select(
+            "path", F.col("length").alias("bytes"), F.sha2(F.col("content"), 256).alias("sha256")))
+        large = [tuple(b) for b in df.select("path", "length").filter(F.col("length") > whole_bytes).collect()]  # metadata
+        if large:
+            found.append(streamed_inventory(spark, large))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def row_counts(df: DataFrame) -> DataFrame:

@@ -8,13 +8,17 @@ the first failure stops the run so a failed date blocks later dates. A
 trigger takes every pending manifest, so the date order holds across all
 of them even when a later day arrives first. Before a batch is loaded its
 Bronze files are held against the manifest: SHA-256 and raw rows (before
-cleaning and de-duplication). Receipts in the warehouse make re-delivered manifests no-ops,
-and the stream checkpoint records which manifest files were consumed.
+cleaning and de-duplication). The cleaned datasets are written once, listed in an output manifest whose hash is the
+receipt's ``output_sha``, and loaded from exactly its files with its row counts. Receipts in the warehouse make
+re-delivered manifests no-ops, the stream checkpoint records which manifest files were consumed, and the batch log
+keeps every batch's state: a failed date blocks later ones after a restart too.
 """
 
 from __future__ import annotations
 
+import datetime
 import posixpath
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,25 +56,39 @@ def verify_bronze(spark: SparkSession, batch_id: str, paths: dict, files: dict)
         raise DataContractError(f"Bronze file differs from batch manifest: {batch_id} {bad[0]['path']} ({bad[0]['rule']})")
 
 
+def load_manifest_batch(spark: SparkSession, wh, row, paths: dict, attempt: int, mode: str, today: str | None) -> dict:
+    """One batch of the stream: Bronze verified, outputs written and listed, then loaded from the list."""
+    from daymart.plans.warehouse import BatchRequest, check_request, load_outputs, publish_outputs, stage_batch, with_steps
+
+    req = BatchRequest(batch_id=row["batch_id"], load_date=row["load_date"], input_sha=row["input_sha"], attempt=attempt)
+    day = today or datetime.datetime.now(datetime.timezone.utc).date().isoformat()
+    state = wh.latest()
+    if check_request(wh, state, req, day) == "duplicate":
+        return {"status": "duplicate", "version": state["version"]}
+    verify_bronze(spark, row["batch_id"], paths, row["files"])
+    stage = stage_batch(spark, paths, mode)
+    manifest = publish_outputs(spark, wh, stage, req)
+    req = replace(req, output_sha=manifest.sha, declared_rows=manifest.rows)
+    return with_steps(load_outputs(spark, wh, req, today), stage)
+
+
 def process_manifests(spark: SparkSession, manifests: DataFrame, wh, bronze_root: str,
                       mode: str = "strict", today: str | None = None, key_prefix: str = "") -> list:
     """Validate and load the manifests of one micro-batch, in date order."""
-    from daymart.plans.warehouse import BatchRequest, load_bronze
+    from daymart.sinks.batch_log import BatchLog
 
     m = manifests.withColumn("input_sha", canonical_input_sha(manifests))
     exploded = m.select("*", F.explode_outer("files").alias("dataset", "file")).drop("files")
     bad = manifest_violations(exploded, key_prefix).select("batch_id", "rule").limit(1).collect()
     if bad:
         raise DataContractError(f"invalid batch manifest: {bad[0]['batch_id']} ({bad[0]['rule']})")
-    results = []
+    results, log = [], BatchLog(spark, wh.root)
     # manifests are metadata (one small row per batch); the data stays in Spark
     for row in m.orderBy("load_date", "batch_id").collect():
         paths = {ds: posixpath.join(bronze_root, f["key"]) for ds, f in row["files"].items()}
-        if all(r["batch_id"] != row["batch_id"] for r in wh.latest().get("receipts", [])):
-            verify_bronze(spark, row["batch_id"], paths, row["files"])
-        req = BatchRequest(batch_id=row["batch_id"], load_date=row["load_date"],
-                           input_sha=row["input_sha"], output_sha=row["input_sha"])
-        results.append((row["batch_id"], load_bronze(spark, wh, paths, req, mode=mode, today=today)["status"]))
+        def load(attempt, row=row, paths=paths):
+            return load_manifest_batch(spark, wh, row, paths, attempt, mode, today)
+        results.append((row["batch_id"], log.run(row["batch_id"], row["load_date"], load)["status"]))
     return results
 
 
