@@ -92,7 +92,7 @@ def _salted_role_join(out: DataFrame, hot: DataFrame, r: Role, i: int, ts: str,
 
 
 def resolve_roles(fact: DataFrame, ts: str, roles, how: str = "left",
-                  hot_threshold: int | None = None, row_id: str | None = None) -> DataFrame:
+                  hot_threshold: int | None = None, row_id: str | None = None, hot: dict | None = None) -> DataFrame:
     """Add one surrogate column per role; NULL when no version covers ts.
 
     ``hot_threshold``: keys with at least that many fact rows are spread over
@@ -101,8 +101,10 @@ def resolve_roles(fact: DataFrame, ts: str, roles, how: str = "left",
     the hot keys of all roles; a role without any is a plain join. Without a
     threshold, AQE's skew-join splitting handles oversized partitions at
     runtime. ``row_id``: a column that tells facts apart, for the salt.
+    ``hot``: what ``hot_keys_of_roles`` has found already.
     """
-    hot = hot_keys_of_roles(fact, [r.fact_col for r in roles], hot_threshold) if hot_threshold is not None else {}
+    if hot is None:
+        hot = hot_keys_of_roles(fact, [r.fact_col for r in roles], hot_threshold) if hot_threshold is not None else {}
     out = fact
     for i, r in enumerate(roles):
         keys = hot.get(r.fact_col)

@@ -6,6 +6,7 @@ the same tables; the driver compares row count, schema and values.
 
 from __future__ import annotations
 
+from daymart.contracts import DATASETS
 from daymart.plans import tpch
 
 D1, D2, EARLY, FLD, EXB = (tpch.DAY1, tpch.DAY2, tpch.EARLY_LOAD, tpch.FACT_LOAD_DATE,
@@ -123,6 +124,16 @@ def _ledger(floor: str = "") -> str:
 FROM events {where} GROUP BY 1, 2"""
 
 
+def _outputs(floor: str = "") -> str:
+    where = f"WHERE value >= {floor}" if floor else ""
+    names = ", ".join(f"'{n}'" for n in DATASETS)
+    return f"""SELECT batch_id, dataset, bytes, n, 'batches/batch=' || batch_id || '/attempt=1/' || dataset || '/task=t/part-'
+    || hour || '.parquet' AS key, sha256(CAST(bytes AS VARCHAR) || ':' || CAST(n AS VARCHAR)) AS sha
+  FROM (SELECT 'day-' || strftime(ts, '%Y%m%d') AS batch_id, ([{names}])[CAST(event_id % 6 + 1 AS INT)] AS dataset,
+          strftime(ts, '%H') AS hour, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS bytes
+        FROM events {where} GROUP BY 1, 2, 3)"""
+
+
 # ---- fixed values: credential patterns, same text as the Spark operator ----
 from daymart.operators.audit import SECRET_ASSIGNMENT, SECRET_PATTERNS  # noqa: E402
 
@@ -329,6 +340,15 @@ SELECT dateid, caldate, strftime(caldate, '%a') AS day, CAST(week(caldate) AS SM
   FALSE AS holiday FROM d""",
     "manifest_rows": "SELECT event_type, count(*) AS n_events, "
                      "sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS declared_rows FROM events GROUP BY 1",
+    "output_shas": f"""WITH f AS ({_outputs()}), doc AS (SELECT *, '{{"bytes":' || CAST(bytes AS VARCHAR) || ',"dataset":"' || dataset
+    || '","key":"' || key || '","rows":' || CAST(n AS VARCHAR) || ',"sha256":"' || sha || '","task":"t"}}' AS j FROM f)
+SELECT batch_id, dataset, count(*) AS files, CAST(sum(n) AS BIGINT) AS rows, sha256(string_agg(j, chr(10) ORDER BY j)) AS sha
+FROM doc GROUP BY 1, 2""",
+    "output_row_faults": f"""WITH f AS (SELECT batch_id, dataset, CAST(sum(n) AS BIGINT) AS rows FROM ({_outputs()}) GROUP BY 1, 2),
+g AS (SELECT batch_id, dataset, CAST(sum(n) AS BIGINT) AS declared FROM ({_outputs('1.0')}) GROUP BY 1, 2)
+SELECT batch_id, dataset, rows, declared, CASE WHEN rows IS NULL THEN 'missing_dataset'
+  WHEN declared IS NULL THEN 'unexpected_dataset' ELSE 'row_count' END AS rule
+FROM f FULL JOIN g USING (batch_id, dataset) WHERE rows IS DISTINCT FROM declared""",
     "secret_findings": _secret_sql(),
     "pending_batches": f"SELECT batch_id, load_date, input_sha FROM ({_ledger()}) WHERE state = 'QUEUED' "
                        f"ORDER BY load_date, batch_id LIMIT {tpch.PENDING_N}",
@@ -372,3 +392,6 @@ FROM (SELECT *, row_number() OVER (PARTITION BY userid ORDER BY c_custkey DESC)
   CASE WHEN s_acctbal < 0 THEN 0 ELSE CAST(trunc(s_acctbal) AS INTEGER) END AS venueseats
 FROM supplier""",
 }
+
+ORACLE["v_category_merged"] = ORACLE["v_category"]
+ORACLE["v_monthly_merged"] = ORACLE["v_monthly"]

@@ -21,8 +21,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daymart import contracts
 from daymart.operators import audit, calendar, clean, dedup, enrich, facts, ledger, scd2
-from daymart.plans import views
+from daymart.plans import maintained, views
+from daymart.sinks import outputs
 from daymart.sinks.materialize import materialize
 from daymart.sources import files
 
@@ -485,6 +487,53 @@ def batch_ledger(spark, d, value_floor=None):
         F.count(F.lit(1)).alias("fence_epoch"))
 
 
+def event_outputs(spark, d, value_floor=None):
+    """Output descriptors: a batch a day, a dataset by event id, a file an hour (at most 24 files a dataset)."""
+    ev = table(spark, d, "events")
+    if value_floor is not None:
+        ev = ev.filter(F.col("value") >= value_floor)
+    names = F.array(*[F.lit(n) for n in contracts.DATASETS])
+    ev = ev.select("event_id", F.date_format("ts", "yyyyMMdd").alias("day"), F.date_format("ts", "HH").alias("hour"),
+                   F.element_at(names, (F.col("event_id") % 6 + 1).cast("int")).alias("dataset"))
+    g = ev.groupBy(F.concat(F.lit("day-"), F.col("day")).alias("batch_id"), "dataset", "hour").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("event_id").cast("long").alias("bytes"))
+    path = F.concat(F.lit("/w/batches/batch="), F.col("batch_id"), F.lit("/attempt=1/"), F.col("dataset"),
+                    F.lit("/task=t/part-"), F.col("hour"), F.lit(".parquet"))
+    return g.select("batch_id", "dataset", F.lit("t").alias("task"), path.alias("path"), "bytes",
+                    F.sha2(F.concat_ws(":", "bytes", "rows"), 256).alias("sha256"), "rows")
+
+
+def q_output_shas(spark, d):
+    """Canonical hash, files and rows of every dataset of every batch."""
+    return outputs.dataset_shas(event_outputs(spark, d), ("batch_id", "dataset"))
+
+
+def q_output_row_faults(spark, d):
+    """Datasets whose files do not hold the declared rows; declared are the events of value 1 or more."""
+    declared = event_outputs(spark, d, value_floor=1.0).groupBy("batch_id", "dataset").agg(F.sum("rows").alias("declared"))
+    return outputs.row_faults(event_outputs(spark, d), declared, ("batch_id", "dataset"))
+
+
+def _merged_view(view, rows):
+    """A maintained view's state built from the facts before 1996, merged with that of the others."""
+    keys = maintained.VIEWS[view]
+    early = F.coalesce(F.col("saletime") < F.lit("1996-01-01").cast("timestamp_ntz"), F.lit(False))
+    one, other = (maintained.parts(rows.where(c), keys) for c in (early, ~early))
+    return maintained.result(maintained.merged(one, other, keys), view)
+
+
+def q_v_category_merged(spark, d):
+    what = part_events(spark, d).select("event_key", *maintained.VIEWS["category"])
+    return _merged_view("category", line_sales(spark, d).join(what, "event_key"))
+
+
+def q_v_monthly_merged(spark, d):
+    s = line_sales(spark, d).filter(F.col("saletime").isNotNull())
+    return _merged_view("monthly", s.select("*", F.year("saletime").cast("short").alias("year"),
+                                            F.month("saletime").cast("int").alias("month_num"),
+                                            F.date_format("saletime", "MMM").alias("month_name")))
+
+
 def q_pending_batches(spark, d):
     return ledger.pending(batch_ledger(spark, d), PENDING_N).select("batch_id", "load_date", "input_sha")
 

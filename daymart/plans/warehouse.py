@@ -35,6 +35,8 @@ BAD_IDENTITY = "Invalid batch request identity"
 STALE_EPOCH = "Stale warehouse fencing epoch"
 # ---- end of fixed values --------------------------------------------------
 
+FACT_IDS = {"sales": "salesid", "listing": "listid"}
+ROLE_COLUMNS = {"sales": ["eventid", "sellerid", "buyerid"], "listing": ["eventid", "sellerid"]}
 DIMS = {"users": ("user_key", contracts.USER_ATTRS), "event": ("event_key", contracts.EVENT_ATTRS)}
 
 
@@ -210,8 +212,13 @@ def _load_staged(spark: SparkSession, wh: Warehouse, state: dict, stage: dict, r
         scd2.dimension_guards(dims[n], snaps[n], key[n], DIMS[n][1], ld, watermark, n, cls[n], order=i,
                               processed=ld in state.get("watermark", []))
         for i, n in enumerate(DIMS)])
-    _raise_first(guards, lambda ds: key[ds])
-    trace("dimension guards")
+    # guards of the dimensions, fact ids and hot fact keys need the stage only: their jobs run together
+    early = run_concurrently({
+        "guards": lambda: _raise_first(guards, lambda ds: key[ds]),
+        **{f"keys_{t}": (lambda t=t, k=k: facts.stage_key_violations(stage[t], k).limit(1).count()) for t, k in FACT_IDS.items()},
+        **{f"hot_{t}": (lambda t=t: facts.hot_keys_of_roles(stage[t], ROLE_COLUMNS[t], hot_threshold) if hot_threshold else {})
+           for t in FACT_IDS}})
+    trace("dimension guards, fact ids, hot keys")
 
     new_closed, new_current, new_dims = {}, {}, {}
     applied = run_concurrently({
@@ -243,16 +250,15 @@ def _load_staged(spark: SparkSession, wh: Warehouse, state: dict, stage: dict, r
             facts.Role(new_dims["users"], "userid", "sellerid", "user_key", "seller_key")],
             contracts.FACT_LISTING),
     }
-    for t, (k, _, _, _) in fact_specs.items():
-        if facts.stage_key_violations(stage[t], k).limit(1).count():
+    for t, k in FACT_IDS.items():
+        if early[f"keys_{t}"]:
             raise DataContractError(STAGE_FACT_KEY.format(table=t, key=k))
-    trace("fact stage keys")
     resolved, appended, bad = {}, {}, {}
     for t, (k, ts, roles, schema) in fact_specs.items():
         existing = wh.table(f"fact_{t}", state)
         existing = existing if existing is not None else spark.createDataFrame([], schema)
         newf = facts.new_facts(stage[t], existing, k)
-        resolved[t] = cache(facts.resolve_roles(newf, ts, roles, hot_threshold=hot_threshold, row_id=k))
+        resolved[t] = cache(facts.resolve_roles(newf, ts, roles, row_id=k, hot=early[f"hot_{t}"]))
         bad[t] = facts.coverage_counts(resolved[t], ts, ld, [r.alias for r in roles]).select(
             F.lit(t).alias("table"), "bad")
         appended[t] = resolved[t].withColumn("load_ts", F.current_timestamp()).select(

@@ -96,36 +96,38 @@ class Outputs:
         return found.join(counts, "path", "left").withColumn("task", task).join(F.broadcast(which), "task") \
             .select("dataset", "task", "path", "bytes", "sha256", F.coalesce("rows", F.lit(0)).alias("rows"))
 
-    def output_manifest(self, outputs, load_date: str, input_sha: str = "") -> tuple[DataFrame, str]:
-        """(descriptors, canonical hash) of the outputs of one attempt; raises unless they are whole and its own."""
+    def output_manifest(self, outputs, path: str, load_date: str, input_sha: str = "") -> str:
+        """Write the descriptors of one attempt's outputs to ``path``; their canonical hash. Raises unless they are
+        whole and the attempt's own."""
+        from daymart.plans.warehouse import run_concurrently
+
         outputs = list(outputs)
         attempts = {(o.batch_id, o.attempt) for o in outputs}
         if len(attempts) != 1 or sorted(o.dataset for o in outputs) != sorted(contracts.DATASETS):
             raise DataContractError(INCOMPLETE)
         (batch_id, attempt), = attempts
-        from daymart.sinks.materialize import materialize
-
-        rows = materialize(self.describe(outputs), "descriptors")
-        place = Files(self.spark, self.root).fs.makeQualified(self.files.path(self.attempt_root(batch_id, attempt))).toString()
+        self.describe(outputs).repartition("dataset").write.mode("errorifexists").parquet(path)  # a row per file
+        rows = self.spark.read.schema(DESCRIPTOR).parquet(path)
+        place = self.files.fs.makeQualified(self.files.path(self.attempt_root(batch_id, attempt))).toString()
         declared = self.spark.createDataFrame([(o.dataset, o.rows) for o in outputs], "dataset string, declared long")
-        verdict = manifest_faults(rows, declared, place, batch_id).orderBy("rule", "dataset").limit(1).collect()
-        if verdict:
-            rule = verdict[0]["rule"]
-            said = ROW_MISMATCH if rule == "row_count" else INCOMPLETE if rule == "missing_dataset" else "Invalid output manifest"
-            raise DataContractError(f"{said}: {verdict[0]['dataset']} ({rule})")
         head = {"attempt": attempt, "batch_id": batch_id, "business_timezone": "UTC", "datasets": list(contracts.DATASETS),
                 "input_sha256": input_sha, "load_date": load_date, "schema_version": 1}
-        return rows, manifest_sha(rows, head)
+        found = run_concurrently({
+            "fault": lambda: manifest_faults(rows, declared, place, batch_id).orderBy("rule", "dataset").limit(1).collect(),
+            "sha": lambda: manifest_sha(rows, head)})
+        if found["fault"]:
+            rule = found["fault"][0]["rule"]
+            said = ROW_MISMATCH if rule == "row_count" else INCOMPLETE if rule == "missing_dataset" else "Invalid output manifest"
+            raise DataContractError(f"{said}: {found['fault'][0]['dataset']} ({rule})")
+        return found["sha"]
 
     def commit_manifest(self, outputs, load_date: str, input_sha: str = "") -> Manifest:
         """Write the attempt's manifest: a table of descriptors, then ``output-manifest.json``, which names it and
         carries the hash. The same manifest again gives the first one back, another one is refused."""
         outputs = list(outputs)
-        rows, sha = self.output_manifest(outputs, load_date, input_sha)
         top = self.attempt_root(outputs[0].batch_id, outputs[0].attempt)
-        path = f"{top}/output-manifest/v={sha[:16]}-{uuid.uuid4().hex[:8]}"
-        rows.coalesce(1).write.mode("errorifexists").parquet(path)
-        own = Manifest(sha, {o.dataset: o.rows for o in outputs}, path)
+        path = f"{top}/output-manifest/v={uuid.uuid4().hex}"
+        own = Manifest(self.output_manifest(outputs, path, load_date, input_sha), {o.dataset: o.rows for o in outputs}, path)
         if self.files.create_json(f"{top}/output-manifest.json", asdict(own)):
             return own
         first = Manifest(**self.files.read_json(f"{top}/output-manifest.json"))
@@ -153,12 +155,15 @@ def manifest_faults(descriptors: DataFrame, declared: DataFrame, prefix: str, ba
     """(dataset, path, rule): lineage rules of every file, datasets that are missing, and ``row_count`` where the files
     of a dataset do not hold the ``declared`` rows (dataset, declared)."""
     lineage = ledger.lineage_violations(descriptors, prefix, batch_id)
-    totals = descriptors.groupBy("dataset").agg(F.sum("rows").alias("rows"))
-    wrong = declared.join(totals, "dataset", "full").where(~F.col("rows").eqNullSafe(F.col("declared"))) \
-        .select("dataset", F.lit(None).cast("string").alias("path"),
-                F.when(F.col("rows").isNull(), "missing_dataset").when(F.col("declared").isNull(), "unexpected_dataset")
-                .otherwise("row_count").alias("rule"))
-    return lineage.unionByName(wrong)
+    return lineage.unionByName(row_faults(descriptors, declared).select("dataset", F.lit(None).cast("string").alias("path"), "rule"))
+
+
+def row_faults(descriptors: DataFrame, declared: DataFrame, by=("dataset",)) -> DataFrame:
+    """(by..., rows, declared, rule) where the files' rows are not the ``declared`` ones (by..., declared)."""
+    totals = descriptors.groupBy(*by).agg(F.sum("rows").alias("rows"))
+    return declared.join(totals, list(by), "full").where(~F.col("rows").eqNullSafe(F.col("declared"))).select(
+        *by, "rows", "declared", F.when(F.col("rows").isNull(), "missing_dataset")
+        .when(F.col("declared").isNull(), "unexpected_dataset").otherwise("row_count").alias("rule"))
 
 
 def descriptor_json() -> F.Column:
@@ -167,9 +172,9 @@ def descriptor_json() -> F.Column:
                               "sha256", "task"))
 
 
-def dataset_shas(descriptors: DataFrame) -> DataFrame:
-    """(dataset, files, rows, sha): the hash over a dataset's sorted descriptors."""
-    return descriptors.withColumn("_doc", descriptor_json()).groupBy("dataset").agg(
+def dataset_shas(descriptors: DataFrame, by=("dataset",)) -> DataFrame:
+    """(by..., files, rows, sha): the hash over the sorted descriptors of each dataset of a batch attempt."""
+    return descriptors.withColumn("_doc", descriptor_json()).groupBy(*by).agg(
         F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"),
         F.sha2(F.concat_ws("\n", F.array_sort(F.collect_list("_doc"))), 256).alias("sha"))
 
