@@ -123,12 +123,11 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = 5, percent: int = 8
 
 
 def clean(docs: DataFrame, items: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, all columns, that contain no item."""
+    """The rows of ``docs``, all columns whatever their names, that contain no item."""
     bad = materialize(contained(docs, items, n, percent).select("doc").distinct(), "decontaminate-bad")
     small = bad.count() <= BROADCAST
-    return docs.withColumn("_doc", F.xxhash64(docs["doc_id"].cast("long"), docs["text"].cast("string"))) \
-        .join((F.broadcast(bad) if small else bad).withColumnRenamed("doc", "_doc"), "_doc", "left_anti") \
-        .select(*[f"`{c}`" for c in docs.columns])
+    whole = docs.select(F.struct("*").alias("row"), F.xxhash64(docs["doc_id"].cast("long"), docs["text"].cast("string")).alias("doc"))
+    return whole.join(F.broadcast(bad) if small else bad, "doc", "left_anti").select("row.*")
 
 
 ORACLE = """

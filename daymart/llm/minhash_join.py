@@ -10,13 +10,18 @@ the threshold with probability below ``miss``.
 * Prefix: of a set's m shared postings, ordered from rare to common, a partner with ``matches`` common ones must
   share one of the first m - matches + 1. Only these meet in the join, so frequent values rarely do.
 
-Groups of copies would meet in pairs. First, equal sets are one set. Then every posting names one member its
-*leader*, and every set is compared with the leader it shares most postings with, on full sets; what that links is
-one class, and only postings that still hold several classes are joined, pairs of one class excepted. The links kept there complete the
-classes, so no link between different texts is lost, and no group is expanded into all its pairs.
+Groups of copies would meet in pairs, so pairs are formed only where nothing else decides:
 
-Coordinates of a class of documents that share a long passage are skewed: hot values are late in the rare-first
-order, and adaptive execution splits what remains of them in the plain equi joins used here.
+1. Equal sets are one set. Every posting names ``LEADERS`` of its members, by hash; a set's collisions with its leaders
+   are merged by counting, and it is held against the one it meets most often under each hash. Pairs with ``matches``
+   collisions are *near*; those that full sets confirm are links. A row per set and hash, whatever the group's size.
+2. Sets of different near groups meet in the prefix join, sets of other sizes excepted. That completes the near groups:
+   two sets with ``matches`` collisions are in one group.
+3. Inside a near group the largest class of linked sets needs nothing; the sets outside it are held against the whole
+   group on full sets, block against block of bounded size. A block pair gives only links that join classes.
+
+So no link between different texts is lost, and no group is expanded into its pairs. Frequent values are split by
+adaptive execution in plain equi joins with stored tables on both sides.
 
 A null text and a text without words have an empty set and are linked with nothing. Repeated rows, ids given twice
 and null ids are kept: results belong to the row's set, and the smallest id ignores nulls (a class without any id has
@@ -39,6 +44,8 @@ _SETS = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id"
                    ("signature", pa.list_(pa.int64())), ("text_hash", pa.int64())])
 SETS = "doc_id long, n_shingles long, set_id long, signature array<long>, text_hash long"
 BROADCAST = 2_000_000  # rows of two longs
+LEADERS = 6
+BLOCK_SETS, BLOCK_SHINGLES = 1024, 1_500_000  # of one side of a block pair
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -165,51 +172,154 @@ def _confirm(pairs: DataFrame, own: DataFrame, docs: DataFrame, words: int, perc
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordinates: int = 40, miss: float = 1e-5,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row."""
+    """(doc_id, n_shingles, component_id, kept, text_hash, first) of every row. ``kept``: the row has its class's
+    smallest id. ``first``: it also has the text that represents the class (of several texts under that id, or of a
+    class without any id, the one of least hash); rows without words are first, each for itself."""
     matches = least_matches(coordinates, percent / 100, miss)
     docs = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     rows = materialize(sets_of(docs, words, coordinates), "minhash-rows")
     own = materialize(rows.where("set_id is not null").groupBy("set_id").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")).alias("least"),
-        F.first("signature").alias("signature"))
-        .select("set_id", F.col("least.doc_id").alias("first_id"), "least.text_hash", "signature"), "minhash-sets")
-    posted = own.select("set_id", F.posexplode("signature").alias("coordinate", "value")) \
-        .select("set_id", F.xxhash64("coordinate", "value").alias("posting"))
-    shared = posted.groupBy("posting").agg(F.count(F.lit(1)).alias("n"), F.min("set_id").alias("leader")).where("n > 1")
+        F.first("signature").alias("signature"), F.first("n_shingles").alias("size"))
+        .select("set_id", F.col("least.doc_id").alias("first_id"), "least.text_hash", "signature", "size"), "minhash-sets")
+    posted = own.select("set_id", "size", F.posexplode("signature").alias("coordinate", "value")) \
+        .select("set_id", "size", F.xxhash64("coordinate", "value").alias("posting"))
+    shared = materialize(posted.groupBy("posting").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "minhash-shared")
     # skip: shared postings only, and only of sets that have enough of them; rare ones first
-    counted = posted.join(shared, "posting").groupBy("set_id") \
-        .agg(F.sort_array(F.collect_list(F.struct("n", "posting", "leader"))).alias("p")).where(F.size("p") >= matches)
-    # prefix: the rarest postings that a partner must share one of
-    counted = materialize(counted.select(
-        "set_id", F.transform("p", lambda x: x["posting"]).alias("postings"),
-        F.array_distinct(F.transform(F.slice("p", 1, F.size("p") - (matches - 1)), lambda x: x["leader"]))
-        .alias("leaders")), "minhash-postings")
-    # every set against its best leader
-    led = counted.select("set_id", F.explode("leaders").alias("a")).where("a <> set_id") \
-        .select("a", F.col("set_id").alias("b"))
-    led = _enough(led, counted, matches).groupBy("b").agg(F.max(F.struct("n", "a")).alias("m")).select("m.a", "b")
-    links = materialize(_confirm(led, own, docs, words, percent), "minhash-leader-links")
-    # sets of different classes under one posting
-    classes = components(links, "minhash-classes").withColumnRenamed("node", "set_id")
-    prefix = counted.select("set_id", F.explode(F.slice("postings", 1, F.size("postings") - (matches - 1))).alias("posting"))
-    classed = materialize(prefix.join(classes, "set_id", "left")
-                          .select("set_id", "posting", F.coalesce("component", "set_id").alias("class")),
-                          "minhash-prefixes")
-    mixed = classed.groupBy("posting").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi")
-    open_ = classed.join(mixed.select("posting"), "posting", "left_semi")
-    left, right = (open_.select("posting", F.col("set_id").alias(x), F.col("class").alias(f"class_{x}")) for x in "ab")
-    pairs = left.join(right, "posting").where("a < b and class_a <> class_b").select("a", "b").distinct()
-    more = _confirm(_enough(pairs, counted, matches).select("a", "b"), own, docs, words, percent)
-    found = components(materialize(links.union(more), "minhash-links"), "minhash-components")
-    label = materialize(own.select("set_id", "first_id").join(found.withColumnRenamed("node", "set_id"), "set_id", "left")
-                        .select("set_id", "first_id", F.coalesce("component", "set_id").alias("class")),
-                        "minhash-labels")
-    least = label.groupBy("class").agg(F.min("first_id").alias("component_id"))
-    by_set = label.join(least, "class").select("set_id", "component_id")
-    out = rows.select("doc_id", "n_shingles", "set_id").join(by_set, "set_id", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    counted = materialize(posted.join(shared, "posting").groupBy("set_id", "size")
+                          .agg(F.sort_array(F.collect_list(F.struct("n", "posting"))).alias("p"))
+                          .where(F.size("p") >= matches)
+                          .select("set_id", "size", F.col("p.posting").alias("postings")), "minhash-postings")
+    near = materialize(_enough(_led(counted, percent), counted, matches), "minhash-near")
+    links = materialize(_confirm(near, own, docs, words, percent), "minhash-links")
+    groups = _near_groups(counted, near, matches, percent)
+    more = materialize(_inside(groups, links, own, docs, words, percent), "minhash-block-links")
+    found = components(links.union(more), "minhash-components")
+    label = materialize(own.select("set_id", F.struct(F.col("first_id").isNull().alias("without"), "first_id", "text_hash").alias("own"))
+                        .join(found.withColumnRenamed("node", "set_id"), "set_id", "left")
+                        .select("set_id", "own", F.coalesce("component", "set_id").alias("class")), "minhash-labels")
+    least = label.groupBy("class").agg(F.min("own").alias("least"))
+    by_set = label.join(least, "class").select("set_id", "least")
+    out = rows.join(by_set, "set_id", "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("least.first_id")).otherwise(F.col("doc_id"))
+    first = F.col("doc_id").eqNullSafe(F.col("least.first_id")) & (F.col("text_hash") == F.col("least.text_hash"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+                      F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"), "text_hash",
+                      ((F.col("n_shingles") == 0) | F.coalesce(first, F.lit(False))).alias("first"))
+
+
+def _fits(a, b, percent: int):
+    """Whether sets of these sizes can be similar enough."""
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+
+
+def _led(counted: DataFrame, percent: int) -> DataFrame:
+    """(a, b): every set b with, for each of ``LEADERS`` hashes, the leader a that it meets in most postings."""
+    postings = counted.select("set_id", "size", F.explode("postings").alias("posting"))
+    first = [F.min(F.struct(F.xxhash64("set_id", F.lit(k)).alias("h"), "set_id", "size")).alias(f"l{k}") for k in range(LEADERS)]
+    leaders = materialize(postings.groupBy("posting").agg(*first).select("posting", F.array(*[
+        F.struct(F.lit(k).alias("k"), F.col(f"l{k}.set_id").alias("a"), F.col(f"l{k}.size").alias("a_size"))
+        for k in range(LEADERS)]).alias("leaders")), "minhash-leaders")
+    met = postings.join(leaders, "posting").select(F.col("set_id").alias("b"), F.explode(F.filter(
+        "leaders", lambda x: (x["a"] != F.col("set_id")) & _fits(x["a_size"], F.col("size"), percent))).alias("l")) \
+        .groupBy("b", "l.k", "l.a").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return met.groupBy("b", "k").agg(F.max(F.struct("n", "a")).alias("m")).select("m.a", "b").distinct()
+
+
+def _near_groups(counted: DataFrame, near: DataFrame, matches: int, percent: int) -> DataFrame:
+    """(set_id, size, near): sets with ``matches`` collisions, directly or over others, have the same ``near``."""
+    first = components(near.select("a", "b"), "minhash-groups").withColumnsRenamed({"node": "set_id", "component": "near"})
+    named = materialize(counted.join(first, "set_id", "left").select(
+        "set_id", "size", "postings", F.coalesce("near", "set_id").alias("near")), "minhash-named")
+    prefix = materialize(named.select("set_id", "size", "near", F.explode(
+        F.slice("postings", 1, F.size("postings") - (matches - 1))).alias("posting")), "minhash-prefixes")
+    mixed = materialize(prefix.groupBy("posting").agg(F.min("near").alias("lo"), F.max("near").alias("hi"))
+                        .where("lo < hi").select("posting"), "minhash-mixed")
+    open_ = materialize(prefix.join(mixed, "posting", "left_semi"), "minhash-open")
+    left, right = (open_.select("posting", F.col("set_id").alias(x), F.col("near").alias(f"near_{x}"),
+                                F.col("size").alias(f"size_{x}")) for x in "ab")
+    pairs = left.join(right, "posting").where(F.col("a") < F.col("b")) \
+        .where(F.col("near_a") != F.col("near_b")).where(_fits(F.col("size_a"), F.col("size_b"), percent)) \
+        .select("a", "b").distinct()
+    met = _enough(pairs, counted, matches).select("a", "b")
+    side = lambda x: named.select(F.col("set_id").alias(x), F.col("near").alias(f"near_{x}"))
+    joined = components(met.join(side("a"), "a").join(side("b"), "b").select(
+        F.col("near_a").alias("a"), F.col("near_b").alias("b")), "minhash-joined-groups")
+    return named.join(joined.withColumnsRenamed({"node": "near"}), "near", "left").select(
+        "set_id", "size", F.coalesce("component", "near").alias("near"))
+
+
+def _inside(groups: DataFrame, links: DataFrame, own: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b): links that join classes inside near groups, found on full sets."""
+    classes = components(links, "minhash-classes").withColumnsRenamed({"node": "set_id", "component": "class"})
+    sets = materialize(groups.join(classes, "set_id", "left").select(
+        "set_id", "size", "near", F.coalesce("class", "set_id").alias("class")), "minhash-classed")
+    bulk = sets.groupBy("near", "class").agg(F.count(F.lit(1)).alias("n")).groupBy("near") \
+        .agg(F.max(F.struct("n", "class")).alias("m"), F.count(F.lit(1)).alias("classes")).where("classes > 1") \
+        .select("near", F.col("m.class").alias("bulk"))
+    ratio = F.lit(101 / percent)  # a little more than sizes of linked sets can differ by
+    members = materialize(sets.join(materialize(bulk, "minhash-bulk"), "near").select(
+        "set_id", "size", "near", "class", (F.col("class") != F.col("bulk")).alias("query"),
+        F.floor(F.log("size") / F.log(ratio)).cast("int").alias("range")), "minhash-members")
+    full = _full_sets(docs, materialize(own.join(members.select("set_id"), "set_id", "left_semi")
+                                        .select("set_id", "first_id", "text_hash"), "minhash-wanted"), words)
+    members = materialize(members.join(full, "set_id"), "minhash-member-sets")
+    needed = F.ceil(F.greatest(F.sum("size") / BLOCK_SHINGLES, F.count(F.lit(1)) / BLOCK_SETS)).cast("int")
+    asking, asked = members.where("query"), members
+    q, t = (df.groupBy("near", F.col("range").alias(f"{name}_range")).agg(needed.alias(f"{name}_n"))
+            for df, name in ((asking, "q"), (asked, "t")))
+    # a row for each pair of blocks: metadata
+    pairs = materialize(q.join(t, "near").where("abs(q_range - t_range) <= 1").select(
+        "near", "q_range", "q_n", "t_range", "t_n", F.explode(F.sequence(F.lit(0), F.col("q_n") - 1)).alias("q_block"))
+        .select("*", F.explode(F.sequence(F.lit(0), F.col("t_n") - 1)).alias("t_block")), "minhash-block-pairs")
+    keys = ["near", "q_range", "q_block", "t_range", "t_block"]
+    sides = []
+    for df, sizes, name, seed in ((asking, q, "q", 1), (asked, t, "t", 2)):
+        placed = df.withColumnRenamed("range", f"{name}_range").join(sizes.select("near", f"{name}_range", f"{name}_n"), ["near", f"{name}_range"]) \
+            .withColumn(f"{name}_block", F.pmod(F.xxhash64("set_id", F.lit(seed)), F.col(f"{name}_n")).cast("int")).drop(f"{name}_n")
+        sides.append(placed.join(pairs.select(*keys), ["near", f"{name}_range", f"{name}_block"])
+                     .select(*keys, F.lit(name == "q").alias("asks"), "set_id", "class", "hashes"))
+    return sides[0].unionByName(sides[1]).groupBy(*keys).applyInArrow(_held_against(percent), "a long, b long")
+
+
+def _held_against(percent: int):
+    """One block pair: its links, as few as join the same classes."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        asks = rows["asks"].to_numpy()
+        ids, classes = rows["set_id"].to_numpy(), rows["class"].to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in rows["hashes"].to_pylist()]
+        q, t = np.flatnonzero(asks), np.flatnonzero(~asks)
+        parent: dict = {}
+
+        def top(x):
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        found = []
+        if len(q) and len(t):
+            sizes = np.array([len(sets[k]) for k in t])
+            # an index of the asked sets: for each shingle the sets that hold it
+            shingles = np.concatenate([sets[k] for k in t])
+            holder = np.repeat(np.arange(len(t)), sizes)
+            order = np.argsort(shingles, kind="stable")
+            shingles, holder = shingles[order], holder[order]
+            for k in q:
+                own = sets[k]
+                low, high = np.searchsorted(shingles, own), np.searchsorted(shingles, own, "right")
+                n = high - low
+                at = np.repeat(low - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
+                common = np.bincount(holder[at], minlength=len(t))
+                hit = np.flatnonzero(100 * common >= percent * (len(own) + sizes - common))
+                for j in hit:
+                    x, y = top(classes[k]), top(classes[t[j]])
+                    if x != y:
+                        parent[y] = x
+                        found.append((ids[k], ids[t[j]]))
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return run
 
 
 def _enough(pairs: DataFrame, counted: DataFrame, matches: int) -> DataFrame:

@@ -59,7 +59,8 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_join.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+    return minhash_join.near_duplicates(table(spark, sf_dir, "documents"), words=2) \
+        .select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
