@@ -3,7 +3,8 @@
 A small tolerant parser builds the element tree (raw-text elements, void elements, implied ends of paragraphs, list
 items and cells, unclosed and stray tags). Elements that are never content (navigation, page headers and footers,
 asides, forms, scripts, and what class, id or role names call so) are left out, but not by a name that also says
-content, by a doubtful one on prose, or by names that take three quarters of the page's prose. Every paragraph-like block passes
+content, or by a doubtful one on prose. If names leave a page without a sentence, they said nothing of its parts and are
+ignored, except those of reader comments, which never are content, in an article element neither. Every paragraph-like block passes
 points for its length and commas to its parent, half to its grandparent and less further up; a container's points
 are discounted by the share of its text that lies in links. The best container is kept, or the article or main
 element around it if few of that one's characters are links, without such lists, tables and sections in it beside the
@@ -11,7 +12,7 @@ best container that are mostly links. Beside the container so found stay sibling
 headings, lists, tables, preformatted text and figures with few links. The kept blocks' texts are joined in page order.
 
 The reading is one pass per page, in a narrow map. Null and empty pages give an empty text. Pages of any length are
-parsed whole; nesting deeper than ``DEEP`` is flattened, so a page cannot exhaust a task's stack. Repeated rows give
+parsed whole; elements are walked with explicit stacks, so nesting may be of any depth. Repeated rows give
 repeated results; other columns are not read; an empty table gives no rows.
 """
 
@@ -46,15 +47,17 @@ NAMES = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|adslot|banner|breadcrum
                    r"consent|cookies?|disqus|disclaimer|footer|gdpr|masthead|menu\w*|modal|nav\w*|newsletter|"
                    r"notices?|pager|pagination|popup|promo\w*|related|remark|replies|rss|share\w*|shoutbox|"
                    r"sidebar\w*|signup|skyscraper|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
-KEEP = set("html body article main".split())
+KEEP = set("html body".split())
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|"
                  r"<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 # Names that also begin or end words of articles (related-work, social-policy): inside a longer name they are a doubt.
 DOUBT = re.compile(r"(?:banner|disclaimer|notices?|related|remark|replies|share\w*|social|widget)$", re.I)
 CONTENT = re.compile("(?:content|post|article|body|entry|main|story)$", re.I)
 STATE = re.compile("(?:has|with|without|no|is|not)[_-]", re.I)  # has-sidebar says something of the page, not of this part
+# Names of reader comments: content in no case, also beside a name that says content.
+COMMENTS = re.compile(r"(?:comments?(?:[_-](?:area|body|content|entry|items?|list|section|text|thread|wrapper))?|commentlist|"
+                      r"disqus\w*|(?:reader|user)[_-]comments?|replies|shoutbox)$", re.I)
 ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-DEEP = 200
 BASE = {"article": 25, "main": 20, "section": 5, "div": 5, "td": 3, "blockquote": 3, "pre": 3, "form": -3, "ul": -3,
         "ol": -3, "dl": -3, "table": -3}
 SENTENCE = re.compile(r"[.!?](\s|$)")
@@ -64,12 +67,43 @@ HEADING = re.compile("h[1-6]")
 
 
 class Node:
-    __slots__ = ("tag", "kids", "parent", "score", "depth", "dropped")
+    __slots__ = ("tag", "kids", "parent", "depth", "dropped", "holds_block")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+        self.tag, self.parent, self.dropped, self.holds_block = tag, parent, dropped, False
         self.kids: list = []
-        self.score, self.depth = 0.0, parent.depth + 1 if parent else 0
+        self.depth = parent.depth + 1 if parent else 0
+        if tag not in INLINE:
+            while parent is not None and not parent.holds_block:  # nodes above know already
+                parent.holds_block, parent = True, parent.parent
+
+
+class Open:
+    """The open elements, and how many there are of each tag."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.count = [root], {root.tag: 1}
+
+    def push(self, node: Node) -> None:
+        self.nodes.append(node)
+        self.count[node.tag] = self.count.get(node.tag, 0) + 1
+
+    def cut(self, at: int) -> None:
+        for node in self.nodes[at:]:
+            self.count[node.tag] -= 1
+        del self.nodes[at:]
+
+    def close(self, tag: str, scope: set[str] | None = None) -> None:
+        """Close the innermost element of a tag; not beyond an element of ``scope``, by default for inline tags only."""
+        if not self.count.get(tag):
+            return
+        for k in range(len(self.nodes) - 1, 0, -1):
+            here = self.nodes[k].tag
+            if here == tag:
+                self.cut(k)
+                return
+            if here in (scope if scope is not None else SCOPE) and (scope is not None or tag in INLINE or tag == "p"):
+                return
 
 
 def _named(word: str) -> int:
@@ -81,18 +115,20 @@ def _named(word: str) -> int:
     return 1 if len(listed) < len(parts) and all(map(DOUBT.match, listed)) else 2
 
 
-def _unwanted(tag: str, attributes: str, stack: list[Node], by_name: bool) -> int:
+def _unwanted(tag: str, attributes: str, opened: Open, by_name: bool) -> int:
     """2: left out; 1: left out unless it holds prose."""
     if tag in NEVER:
         return 2
     if tag == "header":  # a page's header; one inside the article holds its title
-        return 0 if any(n.tag in ("article", "main") for n in stack) else 2
+        return 0 if opened.count.get("article") or opened.count.get("main") else 2
     if not attributes or tag in KEEP:
         return 0
     named, called = 0, False
     for name, *values in ATTR.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name in ("class", "id"):
+            if any(map(COMMENTS.match, value.split())):
+                return 2
             named = max([named, *map(_named, value.split())])
             called = called or any(map(CONTENT.match, value.split()))
         if name == "role" and value.strip().lower() in ROLES:
@@ -108,36 +144,37 @@ def parse(page: str, by_name: bool = True) -> Node:
     """The element tree of a page; text is kept as it stands in the source, references undecoded. ``by_name``: leave out
     what its class or id calls something else than content."""
     root = Node("html", None, False)
-    stack, at, end = [root], 0, len(page)
+    opened, at, end = Open(root), 0, len(page)
     doubts: list[Node] = []
     while at < end:
-        m = TAG.search(page, at)
+        m, top = TAG.search(page, at), opened.nodes[-1]
         if m is None:
-            stack[-1].kids.append(page[at:])
+            top.kids.append(page[at:])
             break
         if m.start() > at:
-            stack[-1].kids.append(page[at:m.start()])
+            top.kids.append(page[at:m.start()])
         at = m.end()
         if m[1]:
-            _close(stack, m[1].lower())
+            opened.close(m[1].lower())
         elif m[2]:
             tag = m[2].lower()
-            if tag in ENDS_P and any(n.tag == "p" for n in stack):
-                _close(stack, "p")
+            if tag in ENDS_P and opened.count.get("p"):
+                opened.close("p")
             for old in IMPLIED.get(tag, ()):
-                _close(stack, old, SCOPE - {"td", "th"} if tag in ("tr", "tbody", "tfoot") else SCOPE)
-            if tag in ("html", "body") and len(stack) == 1:
+                opened.close(old, SCOPE - {"td", "th"} if tag in ("tr", "tbody", "tfoot") else SCOPE)
+            if tag in ("html", "body") and len(opened.nodes) == 1:
                 continue
-            unwanted = _unwanted(tag, m[3], stack, by_name)
-            node = Node(tag, stack[-1], stack[-1].dropped or unwanted == 2)
+            top = opened.nodes[-1]
+            unwanted = _unwanted(tag, m[3], opened, by_name)
+            node = Node(tag, top, top.dropped or unwanted == 2)
             if unwanted == 1 and not node.dropped:
                 doubts.append(node)
-            stack[-1].kids.append(node)
+            top.kids.append(node)
             if tag in RAW:
                 stop = re.compile(f"</{re.escape(tag)}\\b[^>]*>", re.I).search(page, at)
                 at = stop.end() if stop else end if tag in ("script", "style") else at
-            elif tag not in VOID and not m[3].rstrip().endswith("/") and len(stack) < DEEP:
-                stack.append(node)
+            elif tag not in VOID and not m[3].rstrip().endswith("/"):
+                opened.push(node)
     for node in reversed(doubts):  # inner ones first
         blocks = _blocks(node)
         links, chars = sum(b[2] for b in blocks), sum(len(b[1]) for b in blocks)
@@ -145,16 +182,6 @@ def parse(page: str, by_name: bool = True) -> Node:
     return root
 
 
-def _close(stack: list[Node], tag: str, scope: set[str] | None = None) -> None:
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].tag == tag:
-            del stack[k:]
-            return
-        if stack[k].tag in (scope if scope is not None else SCOPE) and (scope is not None or tag in INLINE
-                                                                      or tag == "p"):
-            return
-
-
 def _blocks(root: Node) -> list[tuple[Node, str, int]]:
     """(element, text, characters in links) of every run of inline content, in page order, dropped parts left out."""
     out: list[tuple[Node, str, int]] = []
@@ -169,9 +196,10 @@ def _blocks(root: Node) -> list[tuple[Node, str, int]]:
         run.clear()
         links = 0
 
-    def walk(node: Node, owner: Node, link: bool) -> None:
-        nonlocal links
-        for kid in node.kids:
+    frames = [(iter(root.kids), root, False, None)]  # kids, owner of their text, in a link, whom to flush behind them
+    while frames:
+        kids, owner, link, behind = frames[-1]
+        for kid in kids:
             if isinstance(kid, str):
                 run.append(kid)
                 links += len(kid.strip()) if link else 0
@@ -180,22 +208,22 @@ def _blocks(root: Node) -> list[tuple[Node, str, int]]:
                     flush(owner)
             elif kid.tag == "br":
                 run.append("\n")
-            elif kid.tag in INLINE and not _holds_block(kid):
-                walk(kid, owner, link or kid.tag == "a")
+            elif kid.tag in INLINE and not kid.holds_block:
+                frames.append((iter(kid.kids), owner, link or kid.tag == "a", None))
+                break
             else:
                 flush(owner)
-                walk(kid, kid if kid.tag not in INLINE else owner, link or kid.tag == "a")
-                flush(kid if kid.tag not in INLINE else owner)
-
-    walk(root, root, False)
+                own = kid if kid.tag not in INLINE else owner
+                frames.append((iter(kid.kids), own, link or kid.tag == "a", own))
+                break
+        else:
+            frames.pop()
+            if behind is not None:
+                flush(behind)
     flush(root)
     return out
 
 
-def _holds_block(node: Node) -> bool:
-    return any(not isinstance(k, str) and (k.tag not in INLINE or _holds_block(k)) for k in node.kids)
-
-
 def _score(blocks: list[tuple[Node, str, int]]) -> dict[Node, list[float]]:
     """container: [points, characters, characters in links]."""
     found: dict[Node, list[float]] = {}
@@ -216,19 +244,6 @@ def _score(blocks: list[tuple[Node, str, int]]) -> dict[Node, list[float]]:
     return found
 
 
-def _prose(blocks: list[tuple[Node, str, int]]) -> int:
-    """Characters outside links."""
-    return sum(len(text) - links for _, text, links in blocks)
-
-
-def _left_out(node: Node, inside: bool = False) -> int:
-    """Characters of source text in elements that are left out and not so by their tag."""
-    if node.tag in NEVER:
-        return 0
-    inside = inside or node.dropped
-    return sum((len(k) if inside else 0) if isinstance(k, str) else _left_out(k, inside) for k in node.kids)
-
-
 def _upward(node: Node | None):
     while node is not None:
         yield node
@@ -255,13 +270,9 @@ def main_text(page: str | None) -> str:
     """The article of a page: its blocks, white space made single, joined by line ends."""
     if not page:
         return ""
-    root = parse(page)
-    blocks = _blocks(root)
-    prose = _prose(blocks)
-    if _left_out(root) > 3 * prose:  # a name that takes most of the page's prose was not one of a part
-        every = _blocks(parse(page, by_name=False))
-        if prose < 0.25 * _prose(every):
-            blocks = every
+    blocks = _blocks(parse(page))
+    if not any(SENTENCE.search(text) and links < len(text) for _, text, links in blocks):
+        blocks = _blocks(parse(page, by_name=False))
     if not blocks:
         return ""
     found = _score(blocks)
@@ -293,12 +304,17 @@ def main_text(page: str | None) -> str:
                 kept.add(sibling)
     inside: dict[Node, bool] = {}
 
-    def within(node: Node | None) -> bool:
-        if node is None:
-            return False
-        if node not in inside:
-            inside[node] = node not in cut and (node in kept or within(node.parent))
-        return inside[node]
+    def within(node: Node) -> bool:
+        path = []
+        while node is not None and node not in inside:
+            path.append(node)
+            if node in cut or node in kept:
+                inside[node] = node not in cut
+                break
+            node = node.parent
+        result = node is not None and inside[node]
+        inside.update((n, result) for n in path)
+        return result
 
     return "\n".join(text for owner, text, _ in blocks if within(owner))
 
