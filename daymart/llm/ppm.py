@@ -6,16 +6,18 @@ by their counts; below the empty context all bytes are equal. How likely an esca
 training occurrence out in turn, over nodes alike. The code length of a text adds up over the bytes of its
 lower-cased words, single spaces between them and one end, started after an end.
 
-Every context and symbol of the whole training text counts, at every order, without a capacity. A block's distinct
-grams (ORDER context bytes and the byte behind) are dealt to shards by their last three context bytes, packed as one
-row per block and shard, with their training occurrences. A shard then holds the suffixes, of three bytes and more, of
-all its contexts: it adds up the blocks' counts, works out the cost of its grams by itself, from the order below up,
-and sends every block the costs of the block's grams. Only what is of bounded size goes through the driver: contexts
-of up to two bytes, and per order the escapes seen by state.
-
-The unigram base counts every word of the training rows. Documents are dealt into blocks by hash; a block sends each
-of its words once, a window over the word adds up the counts, and the block gets its own words' counts back, so the
-vocabulary is neither collected nor broadcast and no word has more rows than there are blocks.
+Every context and symbol of the whole training text counts, at every order, without a capacity. A task cuts the rows
+it reads into blocks of about ``BLOCK_BYTES`` of text, so no key decides where a row goes. A block's distinct grams
+(ORDER context bytes and the byte behind) are dealt to shards by their last three context bytes, packed as one row per
+block and shard, with their training occurrences. A shard then holds the suffixes, of three bytes and more, of all its
+contexts: it adds up the blocks' counts, works out the cost of its grams by itself, from the order below up, and sends
+every block the costs of the block's grams, in the order in which the block dealt them; the block finds that order again
+from its texts. Only what is of bounded size goes through the driver: contexts of up to two bytes, and per order the
+escapes seen by state.
+
+The unigram base counts every word of the training rows in the same way: a block deals its distinct words to shards by
+hash, a shard adds up the counts and sends the block those of its words, so the vocabulary is neither collected nor
+broadcast and a frequent word is one entry a block.
 
 Null and empty texts are the single end. A null id counts as training. Repeated rows count and are scored as often as
 they occur; other columns are not read. Texts of any length are read whole. Without training rows the counts are 0.
@@ -24,15 +26,16 @@ they occur; other columns are not read. Texts of any length are read whole. With
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymart.llm.common import lower_words, materialize, parts, text_bytes
+from daymart.llm.common import arrow_rows, lower_words, materialize, parts, text_bytes
 
 ORDER, LOW, BLOCK_BYTES, SHARD_BYTES, CHUNK = 6, 2, 12 << 20, 16 << 20, 1 << 20
 PRIOR = 20.0  # occurrences that the plain escape estimate counts for
@@ -42,9 +45,13 @@ SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tok
 _SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                      ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()),
                      ("score", pa.float64())])
-CONTENTS = "block int, word binary, n long, shard int, size long, grams binary, ns binary, texts binary"
-_CONTENTS = pa.schema([("block", pa.int32()), ("word", pa.binary()), ("n", pa.int64()), ("shard", pa.int32()),
-                       ("size", pa.int64()), ("grams", pa.binary()), ("ns", pa.binary()), ("texts", pa.binary())])
+#: A piece of a block: of its grams (kind 0) or words (kind 1), the shard's share with training counts; of its texts
+#: (kind 2), some rows.
+PIECES = "block long, kind int, shard int, size long, keys binary, ns binary"
+_PIECES = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("shard", pa.int32()), ("size", pa.int64()),
+                     ("keys", pa.binary()), ("ns", pa.binary())])
+#: What a shard sends back to a block: a value for each key of its piece; one row of a word shard has its sums.
+BACK = "block long, kind int, shard int, size long, keys binary, tokens long, vocabulary long"
 
 
 def stream(words: list[bytes]) -> bytes:
@@ -240,20 +247,109 @@ def unpack_grams(packed: bytes, size: int) -> np.ndarray:
     return np.cumsum(unpack(packed, size, np.int64))
 
 
-def deal(gram: np.ndarray, n: np.ndarray, shards: int) -> list[tuple[int, int, bytes, bytes]]:
-    """(shard, size, grams, occurrences) of distinct grams in order, by the last three bytes of their contexts."""
+def dealt(gram: np.ndarray, shards: int) -> list[tuple[int, np.ndarray]]:
+    """(shard, places) of distinct grams in order, by the last three bytes of their contexts."""
     suffix = gram >> 8 & (1 << 8 * (LOW + 1)) - 1
     shard = (suffix * 2654435761 >> 8 & 0xffffff) % shards
     order = np.argsort(shard, kind="stable")
     ends = np.searchsorted(shard[order], np.arange(shards + 1))
-    pieces = ((k, order[a:b]) for k, (a, b) in enumerate(zip(ends, ends[1:])) if b > a)
-    return [(k, len(at), pack(np.diff(gram[at], prepend=0)), pack(n[at])) for k, at in pieces]
+    return [(k, order[a:b]) for k, (a, b) in enumerate(zip(ends, ends[1:])) if b > a]
+
+
+def dealt_words(words, shards: int) -> list[tuple[int, list[bytes]]]:
+    """(shard, words in order) of distinct words."""
+    out: dict[int, list[bytes]] = {}
+    for word in sorted(words):
+        out.setdefault(zlib.crc32(word) % shards, []).append(word)
+    return sorted(out.items())
+
+
+def zipped(raw: bytes) -> bytes:
+    """Compressed, behind its length."""
+    return len(raw).to_bytes(4, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unzipped(packed: bytes) -> bytes:
+    return pa.decompress(packed[4:], int.from_bytes(packed[:4], "little"), codec="zstd", asbytes=True)
+
+
+class Block:
+    """Some rows (doc_id, text, held_out) with their distinct grams and words; made alike whenever it is read."""
+
+    def __init__(self, rows):
+        self.rows, self.streams, self.tokens = rows, [], []
+        self.known: Counter = Counter()  # words of training rows
+        self.words: set = set()
+        for _, text, held_out in rows:
+            tokens = lower_words(text)
+            self.streams.append(np.frombuffer(stream(tokens), np.uint8))
+            tokens.append(b"")
+            self.tokens.append(tokens)
+            self.words.update(tokens)
+            if not held_out:
+                self.known.update(tokens)
+        gram, n = block_grams([x for x, row in zip(self.streams, rows) if not row[2]])
+        only = np.setdiff1d(block_grams([x for x, row in zip(self.streams, rows) if row[2]])[0], gram, assume_unique=True)
+        order = np.argsort(gram := np.concatenate([gram, only]))
+        self.gram, self.n = gram[order], np.concatenate([n, np.zeros(len(only), np.int64)])[order]
+
+
+def cut(batches_, shards: int):
+    """Rows -> pieces of blocks of about BLOCK_BYTES of text each."""
+    at = TaskContext.get().partitionId() << 32
+
+    def pieces(rows):
+        block = Block(rows)
+        out = [(at, 0, k, len(x), pack(np.diff(block.gram[x], prepend=0)), pack(block.n[x])) for k, x in dealt(block.gram, shards)]
+        out += [(at, 1, k, len(x), zipped(b"\n".join(x)), pack(np.array([block.known[w] for w in x], np.int64)))
+                for k, x in dealt_words(block.words, shards)]
+        sizes = np.cumsum([len(r[1] or "") for r in rows]) >> 18  # text rows of about 256 k characters
+        for part in np.unique(sizes):
+            some = [rows[k] for k in np.flatnonzero(sizes == part)]
+            out.append((at, 2, int(part), len(some), rows_blob(arrow_rows(some, _ROWS)), None))
+        for k in range(0, len(out), 16):
+            yield arrow_rows(out[k:k + 16], _PIECES)
+
+    held, size = [], 0
+    for batch in batches_:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            held.append(row)
+            size += len(row[1] or "")
+            if size >= BLOCK_BYTES:
+                yield from pieces(held)
+                held, size, at = [], 0, at + 1
+    if held:
+        yield from pieces(held)
+
+
+_ROWS = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("held_out", pa.bool_())])
+
+
+def word_counts(found: pa.Table) -> pa.Table:
+    """A shard's pieces of words -> the words' counts over all blocks, for each piece; its sums once."""
+    total: Counter = Counter()
+    pieces = [*zip(*(found.column(c).to_pylist() for c in ("block", "shard", "size", "keys", "ns")))]
+    for _, _, size, keys, ns in pieces:
+        for word, n in zip(unzipped(keys).split(b"\n"), unpack(ns, size, np.int64).tolist()):
+            if n:
+                total[word] += n
+    out = [(block, 1, shard, size, pack(np.array([total[w] for w in unzipped(keys).split(b"\n")], np.int64)), 0, 0)
+           for block, shard, size, keys, _ in pieces]
+    if out:
+        out[0] = (*out[0][:5], sum(total.values()), len(total))
+    return arrow_table(out)
+
+
+def arrow_table(rows) -> pa.Table:
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
+    names = ("block", "kind", "shard", "size", "keys", "tokens", "vocabulary")
+    return pa.Table.from_batches([arrow_rows(rows, pa.schema([*zip(names, kinds)]))])
 
 
 def shard_counts(found: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """(gram, n) of a shard, added up over blocks."""
     gram, n, held, size = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
-    for k, (length, g, c) in enumerate(zip(*(found.column(c).to_pylist() for c in ("size", "grams", "ns"))), 1):
+    for k, (length, g, c) in enumerate(zip(*(found.column(c).to_pylist() for c in ("size", "keys", "ns"))), 1):
         held.append((unpack_grams(g, length), unpack(c, length, np.int64)))
         size += length
         if size >= CHUNK or k == found.num_rows:
@@ -263,7 +359,7 @@ def shard_counts(found: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 
 def by_shard(inside: DataFrame) -> DataFrame:
-    """(block, size, grams, costs) of the blocks' grams (block, shard, size, grams, ns)."""
+    """The costs of the blocks' grams (pieces of kind 0), as ``BACK``."""
     spark = inside.sparkSession
 
     def statistics(found):
@@ -301,12 +397,10 @@ def by_shard(inside: DataFrame) -> DataFrame:
         gram, n = shard_counts(found)
         levels, spoken = sent.value
         cost = gram_costs(gram, n, Trie(levels), spoken).astype(np.float32)
-        back = [pack(cost[_find(gram, unpack_grams(g, size))[0]])
-                for size, g in zip(found.column("size").to_pylist(), found.column("grams").to_pylist())]
-        return pa.table([found.column("block"), found.column("size"), found.column("grams"),
-                         pa.array(back, pa.binary())], names=["block", "size", "grams", "costs"])
+        return arrow_table([(block, 0, shard, size, pack(cost[_find(gram, unpack_grams(keys, size))[0]]), 0, 0)
+                            for block, shard, size, keys in zip(*(found.column(c).to_pylist() for c in ("block", "shard", "size", "keys")))])
 
-    return inside.groupBy("shard").applyInArrow(costs, "block int, size long, grams binary, costs binary")
+    return inside.groupBy("shard").applyInArrow(costs, BACK)
 
 
 def stream_costs(streams: list[np.ndarray], known: np.ndarray, cost: np.ndarray) -> np.ndarray:
@@ -341,65 +435,40 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2, id_col: str = "doc_i
           text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     size = text_bytes(docs, text_col)
-    blocks, shards = parts(size, BLOCK_BYTES), parts(size, SHARD_BYTES)
+    shards = parts(size, SHARD_BYTES)
     crc = F.crc32(F.coalesce(docs[id_col].cast("string"), F.lit("")))
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"),
-                       (F.pmod(crc, F.lit(modulus)) == held).alias("held_out")) \
-        .withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-    def contents(key, found):
-        seen: Counter = Counter()
-        known: Counter = Counter()
-        streams: list[list] = [[], []]
-        for text, out in zip(found.column("text").to_pylist(), found.column("held_out").to_pylist()):
-            tokens = lower_words(text)
-            streams[out].append(np.frombuffer(stream(tokens), np.uint8))
-            tokens.append(b"")
-            (seen if out else known).update(tokens)
-        every = [*known, *(w for w in seen if w not in known)]
-        gram, n = block_grams(streams[0])
-        only = np.setdiff1d(block_grams(streams[1])[0], gram, assume_unique=True)
-        order = np.argsort(gram := np.concatenate([gram, only]))
-        n = np.concatenate([n, np.zeros(len(only), np.int64)])[order]
-        out = [(w, known[w], *[None] * 5) for w in every]
-        out += [(None, None, *piece, None) for piece in deal(gram[order], n, shards)]
-        out += [(*[None] * 6, rows_blob(b)) for b in found.select(["doc_id", "text", "held_out"])
-                .combine_chunks().to_batches(max_chunksize=256)]
-        columns = [[key[0].as_py()] * len(out), *zip(*out)]
-        return pa.table([pa.array(c, f.type) for c, f in zip(columns, _CONTENTS)], schema=_CONTENTS)
-
-    both = materialize(rows.groupBy("block").applyInArrow(contents, CONTENTS), "ppm-blocks")
-    dealt = both.where("word is not null")
-    costs = by_shard(both.where("grams is not null").select("block", "shard", "size", "grams", "ns"))
-    word = Window.partitionBy("word")
-    counted = materialize(dealt.select("block", "word", F.sum("n").over(word).alias("c"),
-                                       (F.min("block").over(word) == F.col("block")).alias("first")), "ppm-words")
-    sums = counted.where("first and c > 0").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    total, vocabulary = int(sums["n"] or 0), int(sums["v"])
-
-    def scored(dictionary):
-        texts = dictionary.column("texts").drop_null().to_pylist()
-        is_gram = pc.is_valid(dictionary.column("grams"))
-        have = dictionary.filter(is_gram)
-        sizes, grams_of, costs_of = (have.column(c).to_pylist() for c in ("size", "grams", "costs"))
-        gram = np.concatenate([unpack_grams(g, n) for n, g in zip(sizes, grams_of)])
-        cost = np.concatenate([unpack(c, n, np.float32) for n, c in zip(sizes, costs_of)])
-        order = np.argsort(gram)
-        gram, cost = gram[order], cost[order]
-        dictionary = dictionary.filter(pc.is_valid(dictionary.column("word")))
-        logs = np.log10(dictionary.column("c").to_numpy() + 1.0)
-        value = dict(zip(dictionary.column("word").to_pylist(), logs.tolist()))
+                       (F.pmod(crc, F.lit(modulus)) == held).alias("held_out"))
+    pieces = materialize(rows.mapInArrow(lambda found: cut(found, shards), PIECES), "ppm-blocks")
+    costs = by_shard(pieces.where("kind = 0"))
+    words = materialize(pieces.where("kind = 1").groupBy("shard").applyInArrow(word_counts, BACK), "ppm-words")
+    sums = words.agg(F.sum("tokens").alias("n"), F.sum("vocabulary").alias("v")).first()
+    total, vocabulary = int(sums["n"] or 0), int(sums["v"] or 0)
+
+    def scored(found):
+        kinds = found.column("kind").to_pylist()
+        blobs, back = {}, ({}, {})
+        for kind, shard, length, keys in zip(kinds, *(found.column(c).to_pylist() for c in ("shard", "size", "keys"))):
+            if kind == 2:
+                blobs[shard] = keys
+            else:
+                back[kind][shard] = unpack(keys, length, np.int64 if kind else np.float32)
+        block = Block([row for k in sorted(blobs) for row in blob_rows(blobs[k])])
+        cost = np.empty(len(block.gram), np.float32)
+        for shard, at in dealt(block.gram, shards):
+            cost[at] = back[0][shard]
+        value = {}
+        for shard, own in dealt_words(block.words, shards):
+            value.update(zip(own, np.log10(back[1][shard] + 1.0).tolist()))
         unit = math.log10(total + vocabulary + 1)
-        out, streams = [], []
-        for doc, text, held_out in (row for blob in texts for row in blob_rows(blob)):
-            tokens = lower_words(text)
-            streams.append(np.frombuffer(stream(tokens), np.uint8))
-            tokens.append(b"")
+        out = []
+        for (doc, _, held_out), tokens in zip(block.rows, block.tokens):
             got = np.fromiter(map(value.__getitem__, tokens), float, len(tokens))
             out.append((doc, held_out, len(tokens), int((got > 0).sum()), total,
                         float(got.sum()) - len(tokens) * unit))
-        columns = [*zip(*out), stream_costs(streams, gram, cost)]
+        columns = [*zip(*out), stream_costs(block.streams, block.gram, cost)]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SCORES)], schema=_SCORES)
 
-    back = counted.select("block", "word", "c").unionByName(costs, allowMissingColumns=True) \
-        .unionByName(both.where("texts is not null").select("block", "texts"), allowMissingColumns=True)
-    return back.groupBy("block").applyInArrow(scored, SCORES)
+    parts_of = ["block", "kind", "shard", "size", "keys"]
+    return pieces.where("kind = 2").select(*parts_of).unionByName(words.select(*parts_of)).unionByName(costs.select(*parts_of)) \
+        .groupBy("block").applyInArrow(scored, SCORES)
