@@ -79,8 +79,10 @@ def lineage_violations(descriptors: DataFrame, prefix: str, batch_id: str) -> Da
     """Output lineage rules over descriptor rows (dataset, path, bytes,
     sha256, rows): every object under the attempt prefix, no object listed
     twice, no step upwards and only Parquet files, hashes well-formed, sizes
-positive, row counts non-negative, all six
-    datasets present."""
+    positive, row counts non-negative, all six datasets present. Where the
+    descriptors name the ``task`` that wrote an object, the object must lie
+    in that task's folder of its dataset, and a dataset must have one task:
+    the task is the version that a manifest pins."""
     from daymart import contracts
     checks = [
         ("outside_prefix", ~F.col("path").startswith(prefix)),
@@ -89,6 +91,9 @@ positive, row counts non-negative, all six
         ("sha256", ~F.coalesce(F.col("sha256").rlike(r"^[a-f0-9]{64}$"), F.lit(False))),
         ("size", F.coalesce(F.col("bytes") <= 0, F.lit(True)) | F.coalesce(F.col("rows") < 0, F.lit(True))),
     ]
+    if "task" in descriptors.columns:
+        own = F.concat(F.lit("/"), F.col("dataset"), F.lit("/task="), F.col("task"), F.lit("/"))
+        checks.append(("task", ~F.coalesce(F.col("path").contains(own), F.lit(False))))
     per_row = descriptors.select(
         "dataset", "path",
         F.explode(F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in checks]),
@@ -99,4 +104,9 @@ positive, row counts non-negative, all six
     expected = descriptors.sparkSession.createDataFrame([(d,) for d in contracts.DATASETS], "dataset string")
     missing = expected.join(present, "dataset", "left_anti").select(
         "dataset", F.lit(None).cast("string").alias("path"), F.lit("missing_dataset").alias("rule"))
-    return per_row.unionByName(dups).unionByName(missing)
+    found = per_row.unionByName(dups).unionByName(missing)
+    if "task" in descriptors.columns:
+        found = found.unionByName(descriptors.groupBy("dataset").agg(F.min("task").alias("lo"), F.max("task").alias("hi"))
+                                  .where("lo < hi").select("dataset", F.lit(None).cast("string").alias("path"),
+                                                           F.lit("several_tasks").alias("rule")))
+    return found

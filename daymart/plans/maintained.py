@@ -97,7 +97,12 @@ class MaintainedViews:
     def refresh(self) -> dict:
         """Take up the facts of all commits since the last refresh; the new state document."""
         held, commit = self.state(), self.wh.latest()
-        new = [d for d in commit["tables"].get("fact_sales", []) if d not in set(held["facts"])]
+        dirs, known = commit["tables"].get("fact_sales", []), set(held["facts"])
+        made_of = {d: set(commit.get("sources", {}).get(d, [])) | {d} for d in dirs}  # a compacted folder holds others
+        inner = {d: made_of[d] - {d} for d in dirs}
+        if any(d not in known and inner[d] & known and not inner[d] <= known for d in dirs):
+            held, known = {**held, "facts": [], "tables": {}}, set()  # it joins facts taken up and others: begin anew
+        new = [d for d in dirs if d not in known and not (inner[d] and inner[d] <= known)]
         if not new and held["tables"]:
             return held
         schema = T.StructType.fromJson(json.loads(commit["schemas"]["fact_sales"]))
@@ -114,7 +119,7 @@ class MaintainedViews:
             state.write.mode("errorifexists").parquet(path)
             return path
         tables = run_concurrently({v: (lambda v=v: write(v)) for v in VIEWS})
-        doc = {"n": held["n"] + 1, "version": commit["version"], "facts": [*held["facts"], *new], "tables": tables}
+        doc = {"n": held["n"] + 1, "version": commit["version"], "facts": sorted(known.union(*(made_of[d] for d in new))), "tables": tables}
         if not self.files.create_json(f"{self.folder}/_state/{doc['n']}.json", doc):
             raise ConcurrentCommitError(f"view state {doc['n']} already exists")
         return doc

@@ -139,6 +139,19 @@ class Warehouse:
     def ranges_of(self, path: str) -> str:
         return path.replace(f"{self.root}/tables/", f"{self.root}/ranges/", 1)
 
+    def compact(self, name: str, sort_cols, cluster: int) -> int | None:
+        """Rewrite the directories of an append-only clustered table into one, ranged over all of them, as a commit of
+        its own; earlier commits keep theirs. ``sources`` tells what a directory was made of. None if there is nothing
+        to join. Readers then open one folder and a range scan fewer files."""
+        base = self.latest()
+        dirs = base["tables"].get(name, [])
+        if len(dirs) < 2:
+            return None
+        done = self.write_version(name, self.table(name, base), f"compact-c{base['version'] + 1}", sort_cols, cluster)
+        made_of = [d for path in dirs for d in base.get("sources", {}).get(path, [path])]
+        return self.commit(base, {name: done.path}, {}, {}, ranges={name: self.ranges_of(done.path)},
+                           sources={done.path: made_of})
+
     def vacuum(self, keep_seconds: float, now: float | None = None) -> list[str]:
         """Delete version directories, range tables and batch attempts that no retained commit names, and superseded
         commit files. Retained are the latest commit and all not superseded for longer than ``keep_seconds``; nothing
@@ -174,7 +187,7 @@ class Warehouse:
         return gone
 
     def commit(self, base: dict, replace: dict, append: dict, schemas: dict,
-               watermark=None, receipt=None, ranges: dict | None = None) -> int:
+               watermark=None, receipt=None, ranges: dict | None = None, sources: dict | None = None) -> int:
         """Create commit base.version+1: ``replace`` maps table -> new dir,
         ``append`` maps table -> added dir (kept with earlier dirs), ``ranges``
         maps clustered table -> range table of the added dir."""
@@ -183,11 +196,15 @@ class Warehouse:
             tables[name] = [path]
         for name, path in append.items():
             tables[name] = list(tables.get(name, [])) + ([path] if path else [])
-        known = {name: list(base.get("ranges", {}).get(name, [])) + [path] for name, path in (ranges or {}).items()}
+        known = {name: ([] if name in replace else list(base.get("ranges", {}).get(name, []))) + [path]
+                 for name, path in (ranges or {}).items()}
+        live = {d for dirs in tables.values() for d in dirs}
+        made_of = {d: held for d, held in {**base.get("sources", {}), **(sources or {})}.items() if d in live}
         doc = {
             "version": base["version"] + 1,
             "tables": tables,
             "ranges": {**base.get("ranges", {}), **known},
+            "sources": made_of,
             "schemas": {**base.get("schemas", {}), **schemas},
             "watermark": sorted(set(base.get("watermark", [])) | set(watermark or [])),
             "receipts": list(base.get("receipts", [])) + ([receipt] if receipt else []),

@@ -183,3 +183,17 @@ def test_only_listed_files_are_read(spark, tmp_path, bronze):
     open(entries[0][0].removeprefix("file:"), "wb").write(raw[:-7])
     with pytest.raises(DataContractError, match=f"{len(raw) - 7} bytes, listed are {len(raw)}"):
         store.stage(manifest)
+
+
+def test_descriptors_name_the_task_that_wrote_them(spark):
+    from daymart.operators.ledger import lineage_violations
+
+    pre = "/w/batches/batch=b1/attempt=1"
+    rows = [(n, "t1", f"{pre}/{n}/task=t1/part-0.parquet") for n in contracts.DATASETS]
+    rows[0] = (rows[0][0], "t2", rows[0][2])
+    rows.append(("sales", "t9", f"{pre}/sales/task=t9/part-1.parquet"))
+    rows.append(("event", "t1", f"{pre}/venue/task=t1/part-1.parquet"))
+    df = spark.createDataFrame([(*r, 5, "a" * 64, 1) for r in rows],
+                               "dataset string, task string, path string, bytes long, sha256 string, rows long")
+    got = {(r["dataset"], r["rule"]) for r in lineage_violations(df, pre, "b1").collect()}
+    assert got == {("category", "task"), ("event", "task"), ("sales", "several_tasks")}

@@ -82,6 +82,36 @@ def test_loaded_facts_have_ranges(spark, loaded):
     assert wh.between("fact_sales", {"eventid": (12, None)}).count() == 0
 
 
+def test_compaction_keeps_rows_and_opens_fewer_files(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    clustered(spark, wh)
+    before, rows = wh.latest(), sorted(map(tuple, wh.table("t").collect()))
+    many = len(wh.between("t", {"dateid": (10, 12)}).inputFiles())
+    assert wh.compact("t", ["dateid", "eventid", "salesid"], 2) == 4 and wh.compact("t", ["dateid"], 1) is None
+    state = wh.latest()
+    assert len(state["tables"]["t"]) == len(state["ranges"]["t"]) == 1
+    assert state["sources"] == {state["tables"]["t"][0]: before["tables"]["t"]}
+    assert sorted(map(tuple, wh.table("t").collect())) == sorted(map(tuple, wh.table("t", before).collect())) == rows
+    some = wh.between("t", {"dateid": (10, 12)})
+    assert len(some.inputFiles()) < many and some.count() == sum(10 <= r[0] <= 12 for r in rows)
+
+
+def test_views_do_not_count_compacted_facts_twice(spark, tmp_path):
+    paths = {n: write_batch(str(tmp_path / "in"), n, t) for n, t in batches().items()}
+    for refreshed in (("initial",), ("initial", "changed"), ()):
+        wh = Warehouse(spark, str(tmp_path / f"wh{len(refreshed)}"))
+        maintained = MaintainedViews(wh)
+        for name in ("initial", "changed"):
+            load_bronze(spark, wh, paths[name], BatchRequest(name, DAYS[name], input_sha="a" * 64), today=TODAY)
+            if name in refreshed:
+                maintained.refresh()
+        wh.compact("fact_sales", ["dateid", "eventid", "salesid"], 2)
+        maintained.refresh()
+        got, want = maintained.view("category"), plain(wh, "category")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+        assert maintained.refresh() == maintained.state()
+
+
 # -------------------------------------------------------------------- NOT NULL --
 @pytest.mark.parametrize("column", ["user_key", "userid", "effective_date", "expiry_date", "is_current"])
 def test_a_null_in_a_dimension_stops_the_write(spark, tmp_path, column):
