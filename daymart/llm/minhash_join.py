@@ -15,8 +15,8 @@ Groups of copies would meet in pairs, so pairs are formed only where nothing els
 1. Equal sets are one set. Every posting names ``LEADERS`` of its members, by hash; a set's collisions with its leaders
    are merged by counting, and it is held against the one it meets most often under each hash. Pairs with ``matches``
    collisions are *near*; those that full sets confirm are links. A row per set and hash, whatever the group's size.
-2. Sets of different near groups meet in the prefix join, sets of other sizes excepted. That completes the near groups:
-   two sets with ``matches`` collisions are in one group.
+2. Near sets are grouped in a few rounds of labels; sets of different labels meet in the prefix join, sets of other
+   sizes excepted. That completes the near groups: two sets with ``matches`` collisions are in one group.
 3. Inside a near group the largest class of linked sets needs nothing; the sets outside it are held against the whole
    group on full sets, block against block of bounded size. A block pair gives only links that join classes.
 
@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymart.llm.common import components, lower_words, materialize
+from daymart.llm.common import components, joined_components, lower_words, materialize
 
 _SETS = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64()),
                    ("signature", pa.list_(pa.int64())), ("text_hash", pa.int64())])
@@ -193,8 +193,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, coordina
     near = materialize(_enough(_led(counted, percent), counted, matches), "minhash-near")
     links = materialize(_confirm(near, own, docs, words, percent), "minhash-links")
     groups = _near_groups(counted, near, matches, percent)
-    more = materialize(_inside(groups, links, own, docs, words, percent), "minhash-block-links")
-    found = components(links.union(more), "minhash-components")
+    # some rounds: classes that are too fine only ask more of the blocks, which join them
+    classes = components(links, "minhash-classes", rounds=2)
+    sets = materialize(groups.join(classes.withColumnsRenamed({"node": "set_id", "component": "class"}), "set_id", "left")
+                       .select("set_id", "size", "near", F.coalesce("class", "set_id").alias("class")), "minhash-classed")
+    more = materialize(_inside(sets, own, docs, words, percent), "minhash-block-links")
+    found = joined_components(sets.select(F.col("set_id").alias("node"), F.col("class").alias("label")),
+                              links.union(more), "minhash-components")
     label = materialize(own.select("set_id", F.struct(F.col("first_id").isNull().alias("without"), "first_id", "text_hash").alias("own"))
                         .join(found.withColumnRenamed("node", "set_id"), "set_id", "left")
                         .select("set_id", "own", F.coalesce("component", "set_id").alias("class")), "minhash-labels")
@@ -228,13 +233,12 @@ def _led(counted: DataFrame, percent: int) -> DataFrame:
 
 def _near_groups(counted: DataFrame, near: DataFrame, matches: int, percent: int) -> DataFrame:
     """(set_id, size, near): sets with ``matches`` collisions, directly or over others, have the same ``near``."""
-    first = components(near.select("a", "b"), "minhash-groups").withColumnsRenamed({"node": "set_id", "component": "near"})
+    first = components(near.select("a", "b"), "minhash-groups", rounds=2).withColumnsRenamed({"node": "set_id", "component": "near"})
     named = materialize(counted.join(first, "set_id", "left").select(
         "set_id", "size", "postings", F.coalesce("near", "set_id").alias("near")), "minhash-named")
     prefix = materialize(named.select("set_id", "size", "near", F.explode(
         F.slice("postings", 1, F.size("postings") - (matches - 1))).alias("posting")), "minhash-prefixes")
-    mixed = materialize(prefix.groupBy("posting").agg(F.min("near").alias("lo"), F.max("near").alias("hi"))
-                        .where("lo < hi").select("posting"), "minhash-mixed")
+    mixed = prefix.groupBy("posting").agg(F.min("near").alias("lo"), F.max("near").alias("hi")).where("lo < hi").select("posting")
     open_ = materialize(prefix.join(mixed, "posting", "left_semi"), "minhash-open")
     left, right = (open_.select("posting", F.col("set_id").alias(x), F.col("near").alias(f"near_{x}"),
                                 F.col("size").alias(f"size_{x}")) for x in "ab")
@@ -242,23 +246,18 @@ def _near_groups(counted: DataFrame, near: DataFrame, matches: int, percent: int
         .where(F.col("near_a") != F.col("near_b")).where(_fits(F.col("size_a"), F.col("size_b"), percent)) \
         .select("a", "b").distinct()
     met = _enough(pairs, counted, matches).select("a", "b")
-    side = lambda x: named.select(F.col("set_id").alias(x), F.col("near").alias(f"near_{x}"))
-    joined = components(met.join(side("a"), "a").join(side("b"), "b").select(
-        F.col("near_a").alias("a"), F.col("near_b").alias("b")), "minhash-joined-groups")
-    return named.join(joined.withColumnsRenamed({"node": "near"}), "near", "left").select(
-        "set_id", "size", F.coalesce("component", "near").alias("near"))
-
-
-def _inside(groups: DataFrame, links: DataFrame, own: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b): links that join classes inside near groups, found on full sets."""
-    classes = components(links, "minhash-classes").withColumnsRenamed({"node": "set_id", "component": "class"})
-    sets = materialize(groups.join(classes, "set_id", "left").select(
-        "set_id", "size", "near", F.coalesce("class", "set_id").alias("class")), "minhash-classed")
+    groups = joined_components(named.select(F.col("set_id").alias("node"), F.col("near").alias("label")),
+                               near.select("a", "b").union(met), "minhash-joined-groups")
+    return named.select("set_id", "size").join(groups.withColumnsRenamed({"node": "set_id", "component": "near"}), "set_id")
+
+
+def _inside(sets: DataFrame, own: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b): links that join classes inside near groups (set_id, size, near, class), found on full sets."""
     bulk = sets.groupBy("near", "class").agg(F.count(F.lit(1)).alias("n")).groupBy("near") \
         .agg(F.max(F.struct("n", "class")).alias("m"), F.count(F.lit(1)).alias("classes")).where("classes > 1") \
         .select("near", F.col("m.class").alias("bulk"))
     ratio = F.lit(101 / percent)  # a little more than sizes of linked sets can differ by
-    members = materialize(sets.join(materialize(bulk, "minhash-bulk"), "near").select(
+    members = materialize(sets.join(bulk, "near").select(
         "set_id", "size", "near", "class", (F.col("class") != F.col("bulk")).alias("query"),
         F.floor(F.log("size") / F.log(ratio)).cast("int").alias("range")), "minhash-members")
     full = _full_sets(docs, materialize(own.join(members.select("set_id"), "set_id", "left_semi")
