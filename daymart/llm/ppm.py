@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from daymart.llm.common import arrow_rows, lower_words, materialize, parts, text_bytes
 
-ORDER, LOW, BLOCK_BYTES, SHARD_BYTES, CHUNK = 6, 2, 12 << 20, 16 << 20, 1 << 20
+ORDER, LOW, BLOCK_BYTES, SHARD_BYTES, CHUNK, MERGE = 6, 2, 14 << 20, 16 << 20, 1 << 20, 8 << 20
 PRIOR = 20.0  # occurrences that the plain escape estimate counts for
 END = 10  # the byte of an end; no word holds it
 SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
@@ -76,7 +76,7 @@ def tally(gram: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def rows_blob(rows: pa.RecordBatch) -> bytes:
     out = pa.BufferOutputStream()
-    with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as to:
+    with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as to:
         to.write_batch(rows)
     return out.getvalue().to_pybytes()
 
@@ -99,7 +99,7 @@ def block_grams(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         for at in range(0, len(raw) - ORDER, CHUNK):
             held.append(grams(raw[at:at + CHUNK + ORDER]))
             size += len(held[-1])
-            if size >= 2 * CHUNK:
+            if size >= MERGE:
                 gram, n = merged()
                 held, size = [], 0
     return merged() if held else (gram, n)
@@ -277,21 +277,27 @@ class Block:
     """Some rows (doc_id, text, held_out) with their distinct grams and words; made alike whenever it is read."""
 
     def __init__(self, rows):
-        self.rows, self.streams, self.tokens = rows, [], []
+        self.rows, self.streams = rows, []
         self.known: Counter = Counter()  # words of training rows
         self.words: set = set()
         for _, text, held_out in rows:
             tokens = lower_words(text)
             self.streams.append(np.frombuffer(stream(tokens), np.uint8))
             tokens.append(b"")
-            self.tokens.append(tokens)
             self.words.update(tokens)
             if not held_out:
                 self.known.update(tokens)
-        gram, n = block_grams([x for x, row in zip(self.streams, rows) if not row[2]])
-        only = np.setdiff1d(block_grams([x for x, row in zip(self.streams, rows) if row[2]])[0], gram, assume_unique=True)
-        order = np.argsort(gram := np.concatenate([gram, only]))
-        self.gram, self.n = gram[order], np.concatenate([n, np.zeros(len(only), np.int64)])[order]
+
+    def distinct(self) -> np.ndarray:
+        """The distinct grams of all rows, in order."""
+        return block_grams(self.streams)[0]
+
+    def counted(self) -> tuple[np.ndarray, np.ndarray]:
+        """The same with their occurrences in training rows."""
+        gram, n = block_grams([x for x, row in zip(self.streams, self.rows) if not row[2]])
+        only = np.setdiff1d(block_grams([x for x, row in zip(self.streams, self.rows) if row[2]])[0], gram, assume_unique=True)
+        order = np.argsort(gram := np.concatenate([gram, only]), kind="stable")  # two runs in order: a merge
+        return gram[order], np.concatenate([n, np.zeros(len(only), np.int64)])[order]
 
 
 def cut(batches_, shards: int):
@@ -300,7 +306,8 @@ def cut(batches_, shards: int):
 
     def pieces(rows):
         block = Block(rows)
-        out = [(at, 0, k, len(x), pack(np.diff(block.gram[x], prepend=0)), pack(block.n[x])) for k, x in dealt(block.gram, shards)]
+        gram, n = block.counted()
+        out = [(at, 0, k, len(x), pack(np.diff(gram[x], prepend=0)), pack(n[x])) for k, x in dealt(gram, shards)]
         out += [(at, 1, k, len(x), zipped(b"\n".join(x)), pack(np.array([block.known[w] for w in x], np.int64)))
                 for k, x in dealt_words(block.words, shards)]
         sizes = np.cumsum([len(r[1] or "") for r in rows]) >> 18  # text rows of about 256 k characters
@@ -454,19 +461,21 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2, id_col: str = "doc_i
             else:
                 back[kind][shard] = unpack(keys, length, np.int64 if kind else np.float32)
         block = Block([row for k in sorted(blobs) for row in blob_rows(blobs[k])])
-        cost = np.empty(len(block.gram), np.float32)
-        for shard, at in dealt(block.gram, shards):
+        gram = block.distinct()
+        cost = np.empty(len(gram), np.float32)
+        for shard, at in dealt(gram, shards):
             cost[at] = back[0][shard]
         value = {}
         for shard, own in dealt_words(block.words, shards):
             value.update(zip(own, np.log10(back[1][shard] + 1.0).tolist()))
         unit = math.log10(total + vocabulary + 1)
         out = []
-        for (doc, _, held_out), tokens in zip(block.rows, block.tokens):
+        for doc, text, held_out in block.rows:
+            tokens = [*lower_words(text), b""]
             got = np.fromiter(map(value.__getitem__, tokens), float, len(tokens))
             out.append((doc, held_out, len(tokens), int((got > 0).sum()), total,
                         float(got.sum()) - len(tokens) * unit))
-        columns = [*zip(*out), stream_costs(block.streams, block.gram, cost)]
+        columns = [*zip(*out), stream_costs(block.streams, gram, cost)]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SCORES)], schema=_SCORES)
 
     parts_of = ["block", "kind", "shard", "size", "keys"]
