@@ -233,7 +233,7 @@ def _led(counted: DataFrame, percent: int) -> DataFrame:
 
 def _near_groups(counted: DataFrame, near: DataFrame, matches: int, percent: int) -> DataFrame:
     """(set_id, size, near): sets with ``matches`` collisions, directly or over others, have the same ``near``."""
-    first = components(near.select("a", "b"), "minhash-groups", rounds=2).withColumnsRenamed({"node": "set_id", "component": "near"})
+    first = components(near.select("a", "b"), "minhash-groups", rounds=3).withColumnsRenamed({"node": "set_id", "component": "near"})
     named = materialize(counted.join(first, "set_id", "left").select(
         "set_id", "size", "postings", F.coalesce("near", "set_id").alias("near")), "minhash-named")
     prefix = materialize(named.select("set_id", "size", "near", F.explode(
