@@ -8,7 +8,8 @@ Payloads of at least ``least`` bytes that are equal (by SHA-1) are stored once:
 a ``response``, the others ``revisit`` it; their HTTP header keeps the payload's length. The largest id per digest is
 a combining aggregate, and the join back is a plain equi join on the digest that adaptive execution splits when one
 payload makes up a large share of the rows. Tasks write archives into a shared folder under names of their own and
-return a manifest, so an archive of a lost or repeated task is never read.
+return a manifest, so an archive of a lost or repeated task is never read. A task goes on with a new archive once one
+holds ``limit`` bytes.
 
 A null payload is empty. Null ids are written as such and read back as null; they neither keep nor revisit. Rows
 repeated with the largest id are all responses. Line ends, blanks and control characters in a url are percent-encoded
@@ -18,6 +19,7 @@ in the header and the url is read back as it was. An empty table writes no archi
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 import urllib.parse
 import uuid
@@ -184,7 +186,7 @@ def write(pages: DataFrame, folder: str | None = None, least: int = 1000, limit:
                     serial += 1
 
         store, base = fs.FileSystem.from_uri(folder)
-        source, more = records(), True
+        source, more = records(), True  # goes on behind a full archive, so nothing may close it
         while more:
             name = f"pages-{uuid.uuid4().hex}.warc.zst"
             first = next(source, None)
@@ -192,7 +194,7 @@ def write(pages: DataFrame, folder: str | None = None, least: int = 1000, limit:
                 return
             store.create_dir(base, recursive=True)
             with store.open_output_stream(f"{base}/{name}") as out:
-                n, size, more = write_archive(out, _with(first, source), limit=limit)
+                n, size, more = write_archive(out, itertools.chain([first], source), limit=limit)
             yield f"{folder}/{name}", n, size
 
     def run(found):
@@ -201,11 +203,6 @@ def write(pages: DataFrame, folder: str | None = None, least: int = 1000, limit:
     return materialize(dealt.mapInArrow(run, MANIFEST), "warc-manifest")
 
 
-def _with(first, rest):
-    yield first
-    yield from rest
-
-
 def read(manifest: DataFrame) -> DataFrame:
     """Every record of the manifest's archives, validated; an archive is one task's stream."""
 
