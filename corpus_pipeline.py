@@ -18,7 +18,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     have a score and stay unless it reaches the threshold; a null or unknown language has the common threshold;
     repeated rows are judged alike and all kept or dropped; an empty table stays empty."""
     settle(spark)
-    model = toxicity.train(docs, training_rows(table(spark, sf_dir, "labels")))
+    model = toxicity.train(training_rows(docs), training_rows(table(spark, sf_dir, "labels")))
     whole = docs.select(F.struct("*").alias("row"), docs["text"].alias("text"), docs["lang"].alias("lang"))
     return toxicity.score(whole, model).where("toxic_score < toxic_cut").select("row.*")
 

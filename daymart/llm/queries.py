@@ -50,7 +50,7 @@ def training_rows(docs: DataFrame, held_out: bool = False) -> DataFrame:
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = toxicity.train(docs, training_rows(table(spark, sf_dir, "labels")))
+    model = toxicity.train(training_rows(docs), training_rows(table(spark, sf_dir, "labels")))
     held = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(3)) == 1
     return toxicity.score(docs.select("doc_id", "text", "lang"), model).select(
         "doc_id", held.alias("held_out"), F.col("toxic_score").alias("score"),
