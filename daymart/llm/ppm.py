@@ -27,7 +27,8 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -278,15 +279,24 @@ class Block:
 
     def __init__(self, rows):
         self.rows, self.streams = rows, []
-        self.known: Counter = Counter()  # words of training rows
-        self.words: set = set()
-        for _, text, held_out in rows:
+        self.place = defaultdict(count().__next__)  # of every word, in the order in which they are met
+        self.tokens = []  # the places of a row's words
+        for _, text, _ in rows:
             tokens = lower_words(text)
             self.streams.append(np.frombuffer(stream(tokens), np.uint8))
             tokens.append(b"")
-            self.words.update(tokens)
-            if not held_out:
-                self.known.update(tokens)
+            self.tokens.append(np.fromiter(map(self.place.__getitem__, tokens), np.int32, len(tokens)))
+
+    def places(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+
+    def known(self) -> np.ndarray:
+        """Occurrences of every word in training rows, by place."""
+        out = np.zeros(len(self.place), np.int64)
+        for at, row in zip(self.tokens, self.rows):
+            if not row[2]:
+                np.add.at(out, at, 1)
+        return out
 
     def distinct(self) -> np.ndarray:
         """The distinct grams of all rows, in order."""
@@ -308,8 +318,9 @@ def cut(batches_, shards: int):
         block = Block(rows)
         gram, n = block.counted()
         out = [(at, 0, k, len(x), pack(np.diff(gram[x], prepend=0)), pack(n[x])) for k, x in dealt(gram, shards)]
-        out += [(at, 1, k, len(x), zipped(b"\n".join(x)), pack(np.array([block.known[w] for w in x], np.int64)))
-                for k, x in dealt_words(block.words, shards)]
+        known = block.known()
+        out += [(at, 1, k, len(x), zipped(b"\n".join(x)), pack(known[block.places(x)]))
+                for k, x in dealt_words(block.place, shards)]
         sizes = np.cumsum([len(r[1] or "") for r in rows]) >> 18  # text rows of about 256 k characters
         for part in np.unique(sizes):
             some = [rows[k] for k in np.flatnonzero(sizes == part)]
@@ -465,14 +476,13 @@ def score(docs: DataFrame, modulus: int = 7, held: int = 2, id_col: str = "doc_i
         cost = np.empty(len(gram), np.float32)
         for shard, at in dealt(gram, shards):
             cost[at] = back[0][shard]
-        value = {}
-        for shard, own in dealt_words(block.words, shards):
-            value.update(zip(own, np.log10(back[1][shard] + 1.0).tolist()))
+        value = np.empty(len(block.place))
+        for shard, own in dealt_words(block.place, shards):
+            value[block.places(own)] = np.log10(back[1][shard] + 1.0)
         unit = math.log10(total + vocabulary + 1)
         out = []
-        for doc, text, held_out in block.rows:
-            tokens = [*lower_words(text), b""]
-            got = np.fromiter(map(value.__getitem__, tokens), float, len(tokens))
+        for (doc, _, held_out), tokens in zip(block.rows, block.tokens):
+            got = value[tokens]
             out.append((doc, held_out, len(tokens), int((got > 0).sum()), total,
                         float(got.sum()) - len(tokens) * unit))
         columns = [*zip(*out), stream_costs(block.streams, gram, cost)]
