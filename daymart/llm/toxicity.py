@@ -304,12 +304,17 @@ def average_steps(rows: DataFrame, model: Model, seen: dict, each: dict, turn: i
 
     wide = [x.split()[0] for x in _STEP[1:]]
     got = rows.select("_block", "_id", "_toxic", "_words").mapInArrow(run, ", ".join(_STEP)) \
-        .groupBy("row").agg(*(F.avg(c).cast("float").alias(c) for c in wide)).toPandas().sort_values("row")
-    row, step = got["row"].to_numpy(), got[wide[1:]].to_numpy(np.float32)
+        .groupBy("row").agg(*(F.avg(c).cast("float").alias(c) for c in wide)).toArrow()
+    sent.destroy()
+    row = got.column("row").to_numpy()
     own = row < 2 * ROWS
-    model.embed.reshape(-1, DIM)[row[own]] += step[own]
-    seen["e"].reshape(-1)[row[own]] += got["seen"].to_numpy(np.float32)[own]
-    take_small(model, seen, small(model, seen) + step[~own])
+    rest = small(model, seen)
+    for k, name in enumerate(wide[1:]):
+        step = got.column(name).to_numpy()
+        model.embed.reshape(-1, DIM)[row[own], k] += step[own]
+        rest[row[~own] - 2 * ROWS, k] += step[~own]
+    seen["e"].reshape(-1)[row[own]] += got.column("seen").to_numpy()[own]
+    take_small(model, seen, rest)
     return model, seen
 
 
@@ -325,6 +330,7 @@ def output_counts(rows: DataFrame, model: Model):
 
     raw = materialize(rows.select("_lang", "_toxic", "_words").mapInArrow(run, "lang string, toxic int, raw double"),
                       "toxicity-outputs")
+    sent.destroy()
     low, high = raw.agg(F.min("raw"), F.max("raw")).first()
     at = F.least(F.floor((F.col("raw") - low) * (BINS / max(high - low, 1e-9))), F.lit(BINS - 1))
     return raw.groupBy("lang", at.alias("bin")).agg(
